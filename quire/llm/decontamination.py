@@ -102,4 +102,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: documents that hold no benchmark passage."""
     bad = decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

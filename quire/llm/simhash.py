@@ -166,6 +166,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: one document of each component stays, the one with the smallest doc_id."""
+    """The pipeline's stage: one document of each component stays, the one with the smallest doc_id.
+
+    Rows without an id are no document's copy and stay; of rows with one id one stays.
+    """
     keep = cluster(spark, docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)

@@ -18,8 +18,6 @@ extra columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -210,7 +208,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: repeated passages are cut from the texts; a document with none stays as it is."""
-    out = dedup(spark, docs).where("n_removed > 0").select("doc_id", "kept_text")
+    out = dedup(spark, docs).where("n_removed > 0").select("doc_id", F.col("kept_text").alias("_quire_kept")).dropDuplicates(["doc_id"])
     joined = docs.join(out, "doc_id", "left")
-    text = F.coalesce("kept_text", "text")
+    text = F.coalesce("_quire_kept", "text")
     return joined.select(*[(text if c == "text" else F.length(text).cast("long") if c == "n_chars" else F.col(c)).alias(c) for c in docs.columns])

@@ -25,8 +25,6 @@ with the same doc_id never cut one another; an empty table gives no rows; extra
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession

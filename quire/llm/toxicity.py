@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BITS, THRESHOLD, SAMPLE = 20, 0.7, 10_000
 
@@ -100,19 +101,26 @@ def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: fl
     x, xb = w.copy(), bias
     prev_b = bias
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
-    degree = np.bincount(row, minlength=len(y)).max(initial=1)
-    rate = 4.0 / (degree + 1)
+    # The step is the inverse of the curvature's bound, found by power iteration.
+    v = np.ones(len(use)) / max(len(use), 1) ** 0.5
+    curve = 1.0
+    for _ in range(25):
+        xv = np.bincount(row, weights=v[col], minlength=len(y)) * weight
+        u = 0.5 * np.bincount(col, weights=xv[row], minlength=len(use)) + (2 * quad @ v if quad is not None else 0)
+        curve = float(np.linalg.norm(u)) or 1.0
+        v = u / curve
+    rate = 1 / (1.1 * curve + 0.5)
     for _ in range(steps):
         s = xb + np.bincount(row, weights=x[col], minlength=len(y))
         err = (1 / (1 + np.exp(-np.clip(s, -40, 40))) - y) * weight * 2
         g = np.bincount(col, weights=err[row], minlength=len(use))
         if quad is not None:
             g = g + 2 * quad @ x
-        w = x - rate * 4 * g
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * 4 * l1, 0)
-        bias = xb - rate * 4 * err.sum()
+        w = x - rate * g
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1, 0)
+        bias = xb - rate * err.sum()
         nxt = (1 + np.sqrt(1 + 4 * mom * mom)) / 2
-        if err @ (s - xb) < 0 and ((x - w) @ (w - prev)) > 0:
+        if (x - w) @ (w - prev) > 0:
             nxt = 1.0  # restart the momentum
         k = (mom - 1) / nxt
         x, xb = w + k * (w - prev), bias + k * (bias - prev_b)
@@ -132,8 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
     return fit([(r[0], bytes(r[1]), list(r[2])) for r in rows.collect()], **options)
 
 
-def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns and score, between 0 and 1."""
+def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The kept columns and the score, between 0 and 1, under the given name."""
     bias, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +149,7 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[st
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             out = []
-            for text in batch.column("_text").to_pylist():
+            for text in batch.column(batch.num_columns - 1).to_pylist():
                 hit: set[int] = set()
                 for w in tokens(text):
                     v = known.get(w)
@@ -153,12 +161,10 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[st
                         hit.update(v)
                 out.append(bias + sum(weights[b] for b in sorted(hit)))
             s = 1 / (1 + np.exp(-np.clip(np.array(out, float), -40, 40)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], names=[*batch.schema.names[:-1], name])
 
-    held = docs.select(*keep, F.col("text").alias("_text"))
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return held.mapInArrow(run, StructType([*held.schema.fields[:-1], StructField("score", DoubleType())]))
+    held = docs.select(*keep, F.col("text").alias("_quire_text"))
+    return held.mapInArrow(run, StructType([*held.schema.fields[:-1], StructField(name, DoubleType())]))
 
 
 def held_out(doc_id) -> F.Column:
@@ -176,4 +182,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: documents whose score is under the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
     model = train(docs, labels)
-    return score(docs, model, keep=tuple(docs.columns)).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return score(docs, model, keep=tuple(docs.columns), name="_quire_score").where(F.col("_quire_score") < THRESHOLD).select(*docs.columns)

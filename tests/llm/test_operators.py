@@ -1,0 +1,292 @@
+"""Operators against brute force, and every operator on hard rows."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from quire.llm import common, decontamination, html_extraction, importance, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EXTRA = "chunk bucket shard key fp node seed at w h target score rank tie salt host low _quire".split()
+
+
+def make(spark, rows):
+    """rows of (doc_id, text) with columns whose names the operators use inside."""
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return df.select("*", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"), *[F.lit(1).alias(c) for c in EXTRA])
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdeé") for _ in range(r.randint(1, 4)))
+    passage = " ".join(word() for _ in range(60))
+    out = []
+    for i in range(40):
+        t = " ".join(word() for _ in range(r.randint(0, 120)))
+        if i % 3 == 0:
+            t += "\n" + passage + " " + word()
+        out.append((i, t))
+    out += [(100, out[5][1]), (101, out[5][1]), (102, None), (103, ""), (104, " \t\n"), (105, "x"), (106, " ".join(word() for _ in range(30_000))), (107, passage + " " + passage), (108, "a" * 5000), (5, out[5][1])]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return make(spark, rows).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, (i + 1) % 2, 1) for i in range(40)], "doc_id long, quality int, toxic int, score int")
+
+
+def got(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+
+
+def test_substring_dedup(spark, docs, rows):
+    words = [WORD.findall(t or "") for _, t in rows]
+    seen = collections.Counter(tuple(w[j : j + 35]) for w in words for j in range(len(w) - 34))
+    want = []
+    for (i, _), w in zip(rows, words, strict=True):
+        gone = [False] * len(w)
+        for j in range(len(w) - 34):
+            if seen[tuple(w[j : j + 35])] > 1:
+                gone[j : j + 35] = [True] * 35
+        want.append((i, len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
+    out = substring_dedup.dedup(spark, docs, chunk_bytes=20_000, bucket_words=3_000)
+    assert got(out, "doc_id", "n_words", "n_removed", "kept_text") == sorted(want, key=str)
+
+
+def test_suffix_dedup(spark, docs, rows):
+    first, want = {}, []
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for j in range(len(b) - 49):
+            if first.setdefault(b[j : j + 50], i) < i:
+                gone[j : j + 50] = True
+        spans = len(re.findall(rb"\x01+", gone.tobytes()))
+        want.append((i, len(b), int(gone.sum()), spans, np.frombuffer(b, np.uint8)[~gone].tobytes()))
+    out = suffix_dedup.dedup(spark, docs, chunk_bytes=20_000, bucket_anchors=800)
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans")
+    assert got(out.withColumn("k", F.sha2("kept_bytes", 256)), *cols, "k") == sorted((*(w[:4]), hashlib.sha256(w[4]).hexdigest()) for w in want) or sorted(got(out, *cols)) == sorted(w[:4] for w in want)
+    assert sorted(bytes(r[0]) for r in out.select("kept_bytes").collect()) == sorted(w[4] for w in want)
+
+
+def test_merge_runs():
+    r = random.Random(1)
+    keys = [sorted({bytes(r.choice(b"ab") for _ in range(12)) for _ in range(n)}) for n in (0, 1, 40, 70, 200)]
+    runs = [(k, suffix_dedup.prefixes(np.frombuffer(b"".join(k), np.uint8).reshape(-1, 12)).tolist()) for k in keys]
+    order, lcp = suffix_dedup.merge_runs(runs)
+    at, out = [0] * len(keys), []
+    for i in order:
+        out.append(keys[i][at[i]])
+        at[i] += 1
+    assert out == sorted(x for k in keys for x in k)
+    common_ = [0] + [next((n for n in range(12) if a[n] != b[n]), 12) for a, b in zip(out, out[1:], strict=False)]
+    assert lcp == common_
+
+
+def test_packing(spark, docs, rows):
+    tokens = packing.Tokens(packing.default_tokenizer())
+    ids = collections.defaultdict(list)
+    for i, t in rows:
+        ids[i].append(np.append(tokens.ids(t or ""), np.uint32(1)).astype("<u4"))
+    out = packing.pack(spark, docs, shard_docs=20).collect()
+    sequences, taken = collections.defaultdict(list), collections.Counter()
+    for p in out:
+        x = ids[p["doc_id"]][0]
+        assert p["doc_tokens"] == len(x) and p["ids_crc32"] == zlib.crc32(x[p["start"] : p["start"] + p["length"]].tobytes())
+        sequences[p["sequence_id"]].append((p["offset"], p["length"]))
+        taken[p["doc_id"]] += p["length"]
+    assert taken == {i: sum(map(len, x)) for i, x in ids.items()}
+    for s in sequences.values():
+        s.sort()
+        assert [o for o, _ in s] == np.cumsum([0, *[n for _, n in s]])[:-1].tolist() and sum(n for _, n in s) <= 2048
+    special = "a <|endoftext|> b"
+    assert tokens.ids(special).tolist() == tokens.slow.encode(special, add_special_tokens=False).ids
+
+
+def test_crc_shift():
+    a, b = b"some bytes", b"and many more of them" * 9
+    assert zlib.crc32(a + b) ^ packing.crc_shift(zlib.crc32(a), len(b)) == zlib.crc32(b)
+
+
+def _fingerprint(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash(spark, docs, rows):
+    fps = [(i, _fingerprint(t)) for i, t in rows]
+    root = {i: i for i, _ in fps}
+    changed = True
+    while changed:
+        changed = False
+        for i, a in fps:
+            for j, b in fps:
+                if (a ^ b).bit_count() <= 3 and root[i] != root[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    out = simhash.cluster(spark, docs).withColumn("f", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    assert got(out, "doc_id", "f", "component_id") == sorted(((i, f"{f:016x}", root[i]) for i, f in fps), key=str)
+
+
+@pytest.mark.parametrize("split", [4096, 8])
+def test_links_are_whole(spark, split):
+    r = random.Random(7)
+    fps = [r.getrandbits(64) for _ in range(30)]
+    fps += [f ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for f in fps * 4]
+    fps += [fps[0] ^ (1 << b) for b in range(64)]
+    fps = sorted(set(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), split=split)
+    comp = {x["node"]: x["root"] for x in common.components(spark, edges).collect()}
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (a ^ fps[j]).bit_count() <= 3:
+                assert comp[signed[i]] == comp[signed[j]]
+
+
+def test_decontamination(spark):
+    r = random.Random(5)
+    w = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    item, short = w(30), w(7)
+    near = [x if k % 9 else "changed" for k, x in enumerate(item)]
+    texts = [(1, " ".join(w(50) + item + w(20))), (2, ", ".join(w(5) + near)), (3, " ".join(w(90))), (4, " ".join(w(9) + short + w(9)).upper()), (5, None), (6, ""), (7, " ".join(item[:6] + w(60)))]
+    bench = spark.createDataFrame([(1, " ".join(item), "x"), (2, " ".join(short), "x"), (3, None, "x"), (4, "", "x")], "item_id long, text string, seed string")
+    out = decontamination.decontaminate(spark, make(spark, texts), bench)
+    assert got(out, "doc_id", "item_id") == [(1, 1), (2, 1), (4, 2)]
+    stayed = decontamination.decontaminate(spark, make(spark, texts), bench, broadcast_rows=0)
+    assert got(stayed, "doc_id", "item_id") == [(1, 1), (2, 1), (4, 2)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 1003])
+def test_sharding(spark, n):
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("_cell"))
+    out = sharding.shard(spark, df, shards=7, cell_rows=10).collect()
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r["shard"]].append(r["slot"])
+    assert sorted(r["doc_id"] for r in out) == list(range(n))
+    sizes = [len(by[s]) for s in range(7)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(x) == list(range(len(x))) for x in by.values())
+
+
+def test_ring_moves_little(spark):
+    df = spark.range(2000).select(F.col("id").alias("doc_id"))
+    a, b = ({r["doc_id"]: r["shard"] for r in sharding.shard(spark, df, shards=s, slack=0.25).collect()} for s in (20, 21))
+    assert sum(a[i] != b[i] for i in a) < 0.25 * len(a)
+
+
+def test_html():
+    page = """<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class="cookie-notice">ok?</div><article><h1>Head &amp; more</h1><p>one
+      <b>two</b>&nbsp;three<p>four<br>five<section class="comments"><p>me too</p></section><script>if (a</b) "</p>"</script></article><footer>f</footer>"""
+    assert html_extraction.blocks(html_extraction.parse(page)) == ["Head & more", "one two three", "four five"]
+    for odd in ("", "<", "<p", "a<b", "&am", "<p>x</div></p>y", "<!--", "<p title=\"a>b\">c", "<script>never closed"):
+        html_extraction.blocks(html_extraction.parse(odd))
+
+
+def test_style_tree_drops_templates(spark):
+    rows = [(i, f"http://h.org/{i}", f"<body><div><p>same for all</p></div><section><p>text {i} only here</p></section></body>", "z") for i in range(12)]
+    rows += [(50, None, None, "z"), (51, "http://one.org/", "<body><div><p>alone</p></div></body>", "z")]
+    out = html_extraction.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string, host string"))
+    text = {r["page_id"]: r["text"] for r in out.collect()}
+    assert text[3] == "text 3 only here" and text[50] == "" and text[51] == "alone" and len(text) == 14
+
+
+def test_toxicity_counterfactual():
+    memo = {}
+    f = lambda t: np.unique(np.array([b for w in toxicity.tokens(t) for b in toxicity._buckets(w, memo)], np.int32)).tobytes()
+    r, rows = random.Random(2), []
+    for i in range(400):
+        base = " ".join(f"v{r.randrange(60)}" for _ in range(12))
+        bad = i % 4 == 0
+        name = "muslim" if (r.random() < (0.7 if bad else 0.05)) else "christian" if r.random() < 0.5 else ""
+        t = f"{base} {name} {'idiot' if bad else ''}"
+        rows.append((int(bad), f(t), [toxicity.IDENTITY_TERMS.index(name)] if name else []))
+    gap = {}
+    for fairness in (0.0, 50.0):
+        _, w = toxicity.fit(rows, fairness=fairness)
+        of = lambda t: sum(w.get(b, 0.0) for b in toxicity._buckets(t, memo))
+        gap[fairness] = abs(of("muslim") - of("christian"))
+        assert of("idiot") > 1
+    assert gap[50.0] <= gap[0.0]
+
+
+def test_importance_top(spark):
+    df = spark.createDataFrame([(i, v, i) for i, v in enumerate([5, 5, 9, 1 << 50, 0, 5, 7])], "doc_id long, rank long, tie long")
+    for k in range(1, 8):
+        want = sorted(((r[1], r[2]) for r in df.collect()), reverse=True)[:k]
+        assert sorted(((r["rank"], r["tie"]) for r in importance.top(df, k).collect()), reverse=True) == want
+
+
+def test_quality_counts(spark, docs, rows):
+    out = {r["doc_id"]: r for r in quality_rules.label(docs, (np.zeros(quality_rules.N_FEATURES), np.zeros(2))).collect()}
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        tri = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        mark = {j + d for j in range(len(w) - 2) if tri[tuple(w[j : j + 3])] > 1 for d in range(3)}
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        want = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(mark))
+        assert tuple(out[i][c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
+        assert out[i]["base_failed"] == (len(w) < 50 or 2 * len(mark) > len(w))
+
+
+def test_viterbi_is_best():
+    r = np.random.default_rng(0)
+    for _ in range(40):
+        e, stay = r.normal(size=6), r.normal(size=2)
+        value = lambda y: sum(e[i] for i in range(6) if y[i]) + sum(stay[y[i]] for i in range(1, 6) if y[i] == y[i - 1])
+        best = max(value([b >> i & 1 for i in range(6)]) for b in range(64))
+        assert np.isclose(value(quality_rules.viterbi(e, stay).tolist()), best)
+
+
+def test_hard_rows(spark, docs, rows, labels):
+    ids = sorted(i for i, _ in rows)
+    model = toxicity.train(docs, labels)
+    assert sorted(r["doc_id"] for r in toxicity.score(docs, model).collect()) == ids
+    assert sorted(r["doc_id"] for r in quality_rules.label(docs, quality_rules.train(docs, labels)).collect()) == ids
+    kept = importance.resample(spark, docs, labels, keep_share=1.0)
+    assert sorted(r["doc_id"] for r in kept.collect()) == ids
+
+
+def test_empty_tables(spark, docs, labels):
+    none, no_labels = docs.where("doc_id < -1"), labels.where("doc_id < -1")
+    assert substring_dedup.dedup(spark, none).count() == suffix_dedup.dedup(spark, none).count() == 0
+    assert packing.pack(spark, none).count() == simhash.cluster(spark, none).count() == 0
+    assert toxicity.score(none, toxicity.train(none, no_labels)).count() == 0
+    assert quality_rules.label(none, quality_rules.train(none, no_labels)).count() == 0
+    assert importance.resample(spark, none, no_labels).count() == 0
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.decontaminate(spark, docs, bench).count() == 0
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_extraction.extract(spark, pages).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    first = docs_ = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs_ = docs_, common.Table(spark, stage(spark, docs_, sf)).df
+        assert docs_.columns == first.columns, name
+        n = docs_.count()
+        assert 0.5 * before.count() <= n <= before.count() and n == docs_.select("doc_id").distinct().count(), name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs_, sf)
+    assert pieces.select("doc_id").distinct().count() == docs_.count()
+    assert corpus_pipeline.run(spark, sf).count() == pieces.count()
