@@ -110,7 +110,8 @@ def score(images: DataFrame, decode: Callable[[bytes], np.ndarray], detector: Ca
                 except Exception:
                     row["status"] = "decode_failed"
                 rows.append(row)
-            yield pd.DataFrame(rows, columns=[key, *[c.split()[0] for c in SCORES.split(", ")]])
+            names = [key, *[c.split()[0] for c in SCORES.split(", ")]]
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
 
     return images.select(key, "bytes").mapInPandas(run, f"{key} string, {SCORES}")
 
