@@ -61,12 +61,13 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 
 
 def chunked(df: DataFrame, n_bytes: int, chunk_bytes: int) -> DataFrame:
-    """Add ``chunk``: rows dealt by a hash of doc_id, so that a chunk holds about chunk_bytes of text.
+    """Add ``chunk``: rows dealt by a hash of doc_id and text, so that a chunk holds about chunk_bytes of text.
 
-    The chunk depends on the row alone; a recomputed task deals the same rows.
+    The chunk depends on the row alone; a recomputed task deals the same rows. Rows that share an id (or have none)
+    are spread by their texts.
     """
     n = max(1, -(-n_bytes // chunk_bytes))
-    return df.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    return df.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
 # ---- numpy kernels -------------------------------------------------------

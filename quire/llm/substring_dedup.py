@@ -37,13 +37,17 @@ def bucket_count(values: int, per_bucket: int) -> int:
     return 1 << max(0, (max(values, 1) - 1) // per_bucket).bit_length()
 
 
-def _bucket_bounds(buckets: int) -> np.ndarray:
-    """The first hash of each bucket: equal parts of 64 bits."""
-    return np.array([(i << 64) // buckets for i in range(buckets)], _U)
+Cuts = tuple[np.ndarray, np.ndarray]
 
 
-def _send(chunk: int, step: int, buckets: int, h: np.ndarray, block: np.ndarray | None, check: np.ndarray | None = None) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    """Distinct hashes by bucket; also each value's place among the distinct ones, and the buckets' bounds."""
+def groups(sorted_numbers: np.ndarray) -> Cuts:
+    """The numbers that occur and where each one's run starts, with the end at last: work follows the runs, not the range."""
+    first = np.flatnonzero(np.diff(sorted_numbers, prepend=sorted_numbers[:1] - 1)) if len(sorted_numbers) else np.zeros(0, np.int64)
+    return sorted_numbers[first], np.append(first, len(sorted_numbers))
+
+
+def _send(chunk: int, step: int, buckets: int, h: np.ndarray, block: np.ndarray | None, check: np.ndarray | None = None) -> tuple[pa.Table, np.ndarray, Cuts]:
+    """Distinct hashes by bucket (the leading bits); also each value's place among the distinct ones, and the buckets' bounds."""
     order = np.lexsort((check, h)) if check is not None else np.argsort(h, kind="stable")
     s = h[order]
     new = np.ones(len(s), bool)
@@ -60,26 +64,26 @@ def _send(chunk: int, step: int, buckets: int, h: np.ndarray, block: np.ndarray
         anchored = np.zeros(len(first), bool)
         anchored[rank[block]] = True
         many = np.concatenate([many[:, None], anchored[:, None]], 1)
-    cuts = np.append(np.searchsorted(distinct, _bucket_bounds(buckets)), len(distinct))
+    width = int(buckets - 1).bit_length()
+    held, cuts = groups((distinct >> _U(64 - width)).astype(np.int64) if width else np.zeros(len(distinct), np.int64))
     rows: dict[str, list] = {n.split()[0]: [] for n in EXCHANGE.split(", ")}
-    for b in range(buckets):
-        lo, hi = cuts[b], cuts[b + 1]
-        if lo == hi:
-            continue
+    for b, lo, hi in zip(held.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         part = distinct[lo:hi]
-        if check is None:  # within a bucket 32 bits tell hashes apart well enough for candidates
-            part = np.minimum((part - _bucket_bounds(buckets)[b]) >> _U(max(0, 32 - int(buckets - 1).bit_length())), _U(0xFFFFFFFF)).astype(np.uint32)
+        if check is None:  # the 32 bits after the bucket's tell hashes apart well enough for candidates
+            part = (part >> _U(max(0, 32 - width))).astype(np.uint32)
         for name, v in (("chunk", chunk), ("bucket", b), ("hash", pack_sorted(part)), ("check", b"" if check is None else c[first[lo:hi]].tobytes()), ("marks", pack(np.packbits(many[lo:hi].ravel()).tobytes()))):
             rows[name].append(v)
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.table({n: pa.array(v, k) for (n, v), k in zip(rows.items(), kinds, strict=True)}), rank, cuts
+    return pa.table({n: pa.array(v, k) for (n, v), k in zip(rows.items(), kinds, strict=True)}), rank, (held, cuts)
 
 
-def _received(replies: list[tuple[int, bytes]], cuts: np.ndarray) -> np.ndarray:
+def _received(replies: list[tuple[int, bytes]], bounds: Cuts) -> np.ndarray:
+    held, cuts = bounds
     hit = np.zeros(cuts[-1], bool)
     for b, bits in replies:
-        n = cuts[b + 1] - cuts[b]
-        hit[cuts[b] : cuts[b + 1]] = np.unpackbits(np.frombuffer(unpack(bits), np.uint8), count=n).astype(bool)
+        i = int(np.searchsorted(held, b))
+        n = cuts[i + 1] - cuts[i]
+        hit[cuts[i] : cuts[i + 1]] = np.unpackbits(np.frombuffer(unpack(bits), np.uint8), count=n).astype(bool)
     return hit
 
 

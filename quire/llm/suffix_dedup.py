@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunked, mix, pack, text_bytes, unpack, utf8
-from .substring_dedup import EXCHANGE, REPLY, _by_step, _probe_reply, _received, _send, bucket_count
+from .substring_dedup import EXCHANGE, REPLY, _by_step, _probe_reply, _received, _send, bucket_count, groups
 
 LENGTH, GRAM, CHUNK_BYTES, BUCKET_ANCHORS = 50, 24, 6 << 20, 1_000_000
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a string
@@ -269,13 +269,12 @@ def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
             keys, h, least, _ = c.entries(shared(c, replies))
             lot = lots(h)
             order = np.argsort(lot, kind="stable")
-            cuts = np.searchsorted(lot[order], np.arange(merges + 1))
-            for b in range(merges):
-                at = order[cuts[b] : cuts[b + 1]]
-                if len(at):
-                    prefix, rest = encode_run(keys[at])
-                    for name, v in (("chunk", docs_.column("chunk")[0].as_py()), ("bucket", b), ("prefix", prefix), ("rest", rest), ("docs", pack(least[at].tobytes()))):
-                        out[name].append(v)
+            held, cuts = groups(lot[order])
+            for b, lo, hi in zip(held.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                at = order[lo:hi]
+                prefix, rest = encode_run(keys[at])
+                for name, v in (("chunk", docs_.column("chunk")[0].as_py()), ("bucket", b), ("prefix", prefix), ("rest", rest), ("docs", pack(least[at].tobytes()))):
+                    out[name].append(v)
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds, strict=True)})
 
@@ -285,10 +284,11 @@ def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
         keys, h, _, rank = c.entries(use)
         lot = lots(h)
         order = np.argsort(lot, kind="stable")
-        bounds = np.searchsorted(lot[order], np.arange(merges + 1))
+        held, bounds = groups(lot[order])
         least = np.full((len(keys), SPAN), _NONE)
         for b, bits in _by_step(replies, 2):
-            at = order[bounds[b] : bounds[b + 1]]
+            i = int(np.searchsorted(held, b))
+            at = order[bounds[i] : bounds[i + 1]]
             least[at] = np.cumsum(np.frombuffer(unpack(bits), np.int64).reshape(SPAN, len(at)), axis=0).T
         number = np.full(len(c.anchors), -1)
         number[use] = rank
