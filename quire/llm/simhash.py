@@ -24,12 +24,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD_RE, Table, components
 
 RADIUS, SHINGLE, TILE, SPLIT = 3, 3, 256, 4096
+#: A fingerprint with over this part of all rows joins by broadcast; there are HOT_PARTS of them at most.
+HOT_PARTS = 1000
 #: Five blocks of 64 bits; a link of radius 3 leaves two of them equal.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 _WORDS = re.compile(WORD_RE.encode())
@@ -148,16 +150,24 @@ def links(distinct: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> Data
     return dealt.groupBy("key", "i", "j").applyInArrow(lambda k, t: run(k, t), "a long, b long")
 
 
-def cluster(spark: SparkSession, docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id of every row of docs."""
+def cluster(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, hot_parts: int = HOT_PARTS) -> DataFrame:
+    """doc_id, fp, component_id of every row of docs.
+
+    Rows meet their fingerprint's component by a shuffled join, but for fingerprints with over one row in
+    ``hot_parts``: fewer than that many fingerprints, whatever the input, and broadcast.
+    """
     held = Table(spark, fingerprints(docs))
-    distinct = held.df.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    distinct = held.df.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     found = components(spark, links(distinct, radius))
     roots = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "first", "root")
     least = roots.groupBy("root").agg(F.min("first").alias("component"))
     moved = roots.join(least, "root").select("fp", "component")
-    ids = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return held.df.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = distinct.join(moved, "fp", "left").select("fp", "copies", F.coalesce("component", "first").alias("component_id"))
+    ids = Table(spark, ids).df
+    hot = F.col("copies") > held.df.count() / hot_parts
+    often = F.broadcast(ids.where(hot).drop("copies"))
+    cold = held.df.join(F.broadcast(ids.where(hot).select("fp")), "fp", "left_anti").join(ids.where(~hot).drop("copies"), "fp")
+    return held.df.join(often, "fp").unionByName(cold).select("doc_id", "fp", "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
