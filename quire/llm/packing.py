@@ -1,7 +1,7 @@
 """Packing by lexical retrieval.
 
 A document is cut into whole windows of ``window`` tokens, sequences of their own, and a rest. Rests are dealt to
-shards by a hash of the doc_id, about ``shard_docs`` each. A shard builds a BM25 inverted index over
+shards by a hash of the doc_id and the rest, about ``shard_docs`` each. A shard builds a BM25 inverted index over
 the token ids of its rests (document frequencies and mean length over all rests of the corpus: a vector of the
 vocabulary's size, the only thing that is broadcast). A seed document's unused neighbours, best first,
 fill its window; the last one is cut at the window's end, on a grid of ``grid`` tokens, and its remainder
@@ -250,7 +250,7 @@ def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, window:
                 number += 1
         return pa.table({n.split()[0]: pa.array(c, pa.int64()) for n, c in zip(PIECES.split(", "), zip(*out, strict=True), strict=True)})
 
-    dealt = held.df.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    dealt = held.df.withColumn("shard", F.pmod(F.xxhash64("doc_id", "tokens", "prefix"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(run, PIECES)
 
 

@@ -129,7 +129,8 @@ def _fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def test_simhash(spark, docs, rows):
+@pytest.mark.parametrize("hot_parts", [1, 20, 1000])
+def test_simhash(spark, docs, rows, hot_parts):
     fps = [(i, _fingerprint(t)) for i, t in rows]
     root = {i: i for i, _ in fps}
     changed = True
@@ -140,7 +141,7 @@ def test_simhash(spark, docs, rows):
                 if (a ^ b).bit_count() <= 3 and root[i] != root[j]:
                     root[i] = root[j] = min(root[i], root[j])
                     changed = True
-    out = simhash.cluster(spark, docs).withColumn("f", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    out = simhash.cluster(spark, docs, hot_parts=hot_parts).withColumn("f", F.lower(F.lpad(F.hex("fp"), 16, "0")))
     assert got(out, "doc_id", "f", "component_id") == sorted(((i, f"{f:016x}", root[i]) for i, f in fps), key=str)
 
 
@@ -263,6 +264,24 @@ def test_hard_rows(spark, docs, rows, labels):
     assert sorted(r["doc_id"] for r in kept.collect()) == ids
 
 
+def test_null_ids(spark, docs, labels):
+    """Rows without an id are rows like any other, and come back as often as they are given."""
+    none = docs.unionByName(docs.where("doc_id in (5, 100, 103)").withColumn("doc_id", F.lit(None).cast("long")))
+    n, nulls = none.count(), none.where("doc_id is null").count()
+    bench = spark.createDataFrame([(None, "x y z"), (1, None)], "item_id long, text string")
+    sized = none.select("doc_id", F.length("text").alias("size"))
+    out = [substring_dedup.dedup(spark, none), suffix_dedup.dedup(spark, none), simhash.cluster(spark, none), sharding.shard(spark, sized, shards=3, keep=("size",))]
+    out += [toxicity.score(none, toxicity.train(none, labels)), quality_rules.label(none, quality_rules.train(none, labels)), importance.resample(spark, none, labels, keep_share=1.0)]
+    for df in out:
+        held = df.select("doc_id").collect()
+        assert len(held) == n and sum(r[0] is None for r in held) == nulls
+    pieces = packing.pack(spark, none).where("start = 0").collect()
+    assert len(pieces) == n and sum(r["doc_id"] is None for r in pieces) == nulls
+    assert decontamination.decontaminate(spark, none, bench).where("doc_id is null").count() == 0
+    pages = spark.createDataFrame([(None, None, "<p>a"), (None, None, None)], "page_id long, url string, html string")
+    assert sorted(r["text"] for r in html_extraction.extract(spark, pages).collect()) == ["", "a"]
+
+
 def test_empty_tables(spark, docs, labels):
     none, no_labels = docs.where("doc_id < -1"), labels.where("doc_id < -1")
     assert substring_dedup.dedup(spark, none).count() == suffix_dedup.dedup(spark, none).count() == 0
