@@ -42,5 +42,52 @@ FROM t LEFT JOIN g USING (doc_id)
 """
 
 
+_OP3 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+least_id AS (SELECT s, min(doc_id) AS lo FROM w GROUP BY s),
+hit AS (SELECT doc_id, i FROM w JOIN least_id USING (s) WHERE lo < doc_id),
+fresh AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS f FROM hit),
+numbered AS (SELECT doc_id, i, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM fresh),
+span AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, k),
+gap AS (SELECT doc_id, k, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS prev FROM span),
+cut AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, string_agg(substr(x, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY k) AS head, max(b) AS last
+        FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+_OP9 = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+items AS (SELECT item_id, w, len(w) AS n FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+shapes AS (SELECT 0 AS tag, 10 AS size, [1, 2, 3, 5, 6, 8, 9, 10] AS kept, 0 AS only_n
+           UNION ALL SELECT 1, 13, [1, 2, 4, 5, 7, 8, 9, 11, 12, 13], 0
+           UNION ALL SELECT DISTINCT 100 + n, n, range(1, n + 1), n FROM items WHERE n < 10),
+seeds AS (SELECT item_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
+          FROM (SELECT *, unnest(range(n - size + 1)) AS i FROM items JOIN shapes ON n >= size AND only_n IN (0, n))),
+probes AS (SELECT doc_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
+           FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i FROM docs JOIN shapes ON len(w) >= size)),
+hits AS (SELECT DISTINCT doc_id, item_id, probes.i - seeds.i AS diagonal FROM probes JOIN seeds USING (tag, seed)),
+laid AS (SELECT doc_id, item_id, n, greatest(diagonal, 0) AS doc_start,
+                list_transform(range(greatest(diagonal, 0), least(diagonal + n, len(docs.w))), lambda j: docs.w[j + 1] = items.w[j - diagonal + 1]) AS same
+         FROM hits JOIN items USING (item_id) JOIN docs USING (doc_id)),
+steps AS (SELECT doc_id, item_id, n, doc_start, list_transform(same, lambda h: CASE WHEN h THEN 1::DOUBLE ELSE -(0.8::DOUBLE / (1::DOUBLE - 0.8::DOUBLE)) END) AS v FROM laid),
+walked AS (SELECT doc_id, item_id, n, doc_start, list_reduce(
+             list_prepend({s: 0::DOUBLE, n: 0, ok: 0, best_n: 0, best_ok: 0}, list_transform(v, lambda x: {s: x, n: 0, ok: 0, best_n: 0, best_ok: 0})),
+             lambda a, x: CASE WHEN a.s + x.s > 0 THEN {
+               s: a.s + x.s, n: a.n + 1, ok: a.ok + (x.s > 0)::INT,
+               best_n: CASE WHEN x.s > 0 AND a.n + 1 >= a.best_n THEN a.n + 1 ELSE a.best_n END,
+               best_ok: CASE WHEN x.s > 0 AND a.n + 1 >= a.best_n THEN a.ok + 1 ELSE a.best_ok END}
+             ELSE {s: 0::DOUBLE, n: 0, ok: 0, best_n: a.best_n, best_ok: a.best_ok} END) AS r FROM steps),
+best AS (SELECT doc_id, item_id, r.best_n AS n_words, r.best_ok AS n_agree, doc_start,
+                row_number() OVER (PARTITION BY doc_id, item_id ORDER BY r.best_ok DESC, r.best_n DESC, doc_start) AS k
+         FROM walked WHERE r.best_n >= least(n, 13) AND r.best_ok >= 0.8::DOUBLE * r.best_n)
+SELECT doc_id, item_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_agree AS BIGINT) AS n_agree, CAST(doc_start AS BIGINT) AS doc_start,
+       round(n_agree::DOUBLE / n_words, 6) AS share
+FROM best WHERE k = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1}
+    return {"op1_substring_dedup": _OP1, "op3_suffix_dedup": _OP3, "op9_decontamination": _OP9}
