@@ -110,18 +110,18 @@ def placeholder_extract(spark, sf):
 
 
 def _replies(spark, sf) -> DataFrame:
-    """A reply for two of three documents: its source and language."""
-    d = read(spark, sf, "documents").where("doc_id % 3 <> 0")
+    """A reply for documents in all languages but one: its source and language."""
+    d = read(spark, sf, "documents").where("lang <> 'fr'")
     return d.select(T.image_id(F.col("doc_id"), F.lit(0), F.lit(1)).alias("image_id"), F.concat(F.lit(" "), "source", F.lit(" "), "lang", F.lit("\n")).alias("content"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN source || ' ' || lang ELSE '' END || chr(10) AS text FROM documents")
+@query("SELECT doc_id, CASE WHEN lang <> 'fr' THEN source || ' ' || lang ELSE '' END || chr(10) AS text FROM documents")
 def placeholder_join(spark, sf):
     blocks = _marked(spark, sf).select("doc_id", "image_id", F.lit("").alias("text"))
     return A.with_replies(blocks, _replies(spark, sf)).select("doc_id", "text")
 
 
-@query("SELECT doc_id, text || chr(10) || CASE WHEN doc_id % 3 <> 0 THEN source || ' ' || lang ELSE '' END || chr(10) || 'tail' AS text FROM documents")
+@query("SELECT doc_id, text || chr(10) || CASE WHEN lang <> 'fr' THEN source || ' ' || lang ELSE '' END || chr(10) || 'tail' AS text FROM documents")
 def placeholder_splice(spark, sf):
     m = _marked(spark, sf).join(_replies(spark, sf), "image_id", "left")
     replies = F.when(F.col("content").isNull(), F.create_map().cast("map<string,string>")).otherwise(F.create_map("image_id", "content"))
@@ -364,7 +364,7 @@ def document_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["document_pipeline"] = document_pipeline
 SQL["document_pipeline"] = f"""
 WITH p AS (SELECT doc_id, string_agg({NORMAL_SQL}, '' ORDER BY block_no) AS t FROM ({LINES_SQL}) GROUP BY doc_id)
-SELECT doc_id, t || CASE WHEN doc_id % 3 <> 0 THEN source || ' ' || lang ELSE '' END || chr(10) AS text FROM p JOIN documents USING (doc_id)"""
+SELECT doc_id, t || CASE WHEN lang <> 'fr' THEN source || ' ' || lang ELSE '' END || chr(10) AS text FROM p JOIN documents USING (doc_id)"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
