@@ -4,9 +4,11 @@ Words are lower-cased runs of letters and digits. Fixed masks over ``SPAN`` word
 and ignore others, so that a window survives substitutions at ignored places. The hashes of all
 benchmark windows are joined with those of all training windows; every hit names an item and a
 diagonal (document place less item place). Around each hit the whole item is laid over the
-document and words are compared in place; a document is contaminated if at least ``min_share`` of
-the longest common stretch's words agree over at least ``min_words`` words (or the whole item, if
-it has fewer). Items shorter than a mask are looked up whole: by the hash of all their words.
+document and words are compared in place; a document is contaminated if a stretch of at least ``min_words``
+words (or the whole item, if it has fewer) has at least ``min_share`` (in thousandths) of its words in agreement.
+Reported is, of the stretches that start at the lowest balance before their end, the one with the most agreeing
+words, then the shortest, then the first. Items shorter than every mask are looked up whole: by the hash of all
+their words.
 
 Skew: the document side only streams through the seed join (a broadcast while the benchmark's
 seed table is under ``broadcast_rows``, a shuffled join otherwise); hits are reduced to distinct
@@ -22,9 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed masks: places kept (1) and ignored (0). Of any two substitutions within a window at
-#: least one mask misses both for most placements.
-MASKS = ("1110110111", "1101101110111")
+#: Fixed masks: places kept (1) and ignored (0). Wherever two of 13 words are substituted (the most that MIN_SHARE
+#: leaves of MIN_WORDS), one of the masks fits between them somewhere, so no such stretch goes without a hit.
+MASKS = ("1110111", "11010000111")
 #: A stretch this long with this share of agreeing words is contamination.
 MIN_WORDS, MIN_SHARE = 13, 0.8
 
@@ -75,23 +77,31 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, ma
     item_part = F.slice("item_words", at - F.col("diagonal") + 1, F.greatest(overlap_end - at, F.lit(0)))
     same = F.zip_with(doc_part, item_part, lambda a, b: F.when(a == b, 1).otherwise(0))
     both = both.select("doc_id", "item_id", at.alias("doc_start"), n.alias("item_n"), once(same).alias("same"))
-    # The longest stretch around the hits with the share: between the first and last run of agreement,
-    # walked once: score +1 for agreement and -share/(1-share) for a substitution, best local sum.
-    loss = float(min_share) / (1 - float(min_share))
-    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0).alias("ok"), F.lit(0.0).alias("best"), F.lit(0).alias("best_n"), F.lit(0).alias("best_ok"))
-
-    def walk(s, hit):
-        total = s["sum"] + F.when(hit == 1, F.lit(1.0)).otherwise(F.lit(-loss))
-        keep = total > 0
-        n2, ok2, t2 = F.when(keep, s["n"] + 1).otherwise(0), F.when(keep, s["ok"] + hit).otherwise(0), F.when(keep, total).otherwise(0.0)
-        longer = (hit == 1) & keep & (n2 >= s["best_n"])
-        return F.struct(t2.alias("sum"), n2.alias("n"), ok2.alias("ok"), F.greatest(s["best"], t2).alias("best"), F.when(longer, n2).otherwise(s["best_n"]).alias("best_n"), F.when(longer, ok2).otherwise(s["best_ok"]).alias("best_ok"))
-
-    both = both.select("doc_id", "item_id", "doc_start", "item_n", once(F.aggregate("same", zero, walk)).alias("r"))
+    # A word that agrees adds 1 - min_share to the balance, a substitution takes min_share: a stretch has the share if the
+    # balance does not fall over it. So, for every end, it is held against the lowest balance at least ``need`` words before.
+    loss, gain = round(min_share * 1000), 1000 - round(min_share * 1000)
     need = F.least(F.col("item_n"), F.lit(min_words))
-    bad = both.where((F.col("r.best_n") >= need) & (F.col("r.best_ok") >= F.lit(min_share) * F.col("r.best_n")))
-    best = bad.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("r.best_ok").alias("n_agree"), F.col("r.best_n").alias("n_words"), (-F.col("doc_start")).alias("neg"))).alias("b"))
-    return best.select("doc_id", "item_id", F.col("b.n_words").cast("long").alias("n_words"), F.col("b.n_agree").cast("long").alias("n_agree"), (-F.col("b.neg")).cast("long").alias("doc_start"), F.round(F.col("b.n_agree") / F.col("b.n_words"), 6).alias("share"))
+    steps = F.transform("same", lambda x, i: F.struct(x.alias("new"), F.when(i >= need, F.get("same", i - need)).alias("old")))
+    fields = ("n", "sum", "ok", "back", "back_sum", "back_ok", "low", "low_sum", "low_ok", "best_n", "best_ok", "best_at")
+    zero = F.struct(*[F.lit(0).cast("long").alias(f) for f in fields])
+    worth = lambda hit: F.when(hit == 1, F.lit(gain)).otherwise(F.lit(-loss))
+
+    def walk(s, x):
+        n, total, ok = s["n"] + 1, s["sum"] + worth(x["new"]), s["ok"] + x["new"]
+        late = x["old"].isNotNull()
+        back, back_sum, back_ok = (F.when(late, s[f] + v).otherwise(s[f]) for f, v in (("back", F.lit(1)), ("back_sum", worth(x["old"])), ("back_ok", x["old"])))
+        lower = late & (back_sum < s["low_sum"])
+        low, low_sum, low_ok = (F.when(lower, v).otherwise(s[f]) for f, v in (("low", back), ("low_sum", back_sum), ("low_ok", back_ok)))
+        agree, size = ok - low_ok, n - low
+        better = (n >= need) & (total >= low_sum) & ((agree > s["best_ok"]) | ((agree == s["best_ok"]) & (size < s["best_n"])))
+        best = (F.when(better, v).otherwise(s[f]) for f, v in (("best_n", size), ("best_ok", agree), ("best_at", low)))
+        return F.struct(*[v.cast("long").alias(f) for f, v in zip(fields, (n, total, ok, back, back_sum, back_ok, low, low_sum, low_ok, *best), strict=True)])
+
+    both = both.select("doc_id", "item_id", "doc_start", once(F.aggregate(steps, zero, walk)).alias("r")).where("r.best_n > 0")
+    found = F.struct(F.col("r.best_ok").alias("n_agree"), (-F.col("r.best_n")).alias("less"), (-(F.col("doc_start") + F.col("r.best_at"))).alias("early"))
+    best = both.groupBy("doc_id", "item_id").agg(F.max(found).alias("b"))
+    n_words = -F.col("b.less")
+    return best.select("doc_id", "item_id", n_words.cast("long").alias("n_words"), F.col("b.n_agree").cast("long").alias("n_agree"), (-F.col("b.early")).cast("long").alias("doc_start"), F.round(F.col("b.n_agree") / n_words, 6).alias("share"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

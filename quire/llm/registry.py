@@ -61,31 +61,27 @@ FROM d LEFT JOIN cut USING (doc_id)
 _OP9 = r"""
 WITH docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 items AS (SELECT item_id, w, len(w) AS n FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
-shapes AS (SELECT 0 AS tag, 10 AS size, [1, 2, 3, 5, 6, 8, 9, 10] AS kept, 0 AS only_n
-           UNION ALL SELECT 1, 13, [1, 2, 4, 5, 7, 8, 9, 11, 12, 13], 0
-           UNION ALL SELECT DISTINCT 100 + n, n, range(1, n + 1), n FROM items WHERE n < 10),
+shapes AS (SELECT 0 AS tag, 7 AS size, [1, 2, 3, 5, 6, 7] AS kept, 0 AS only_n
+           UNION ALL SELECT 1, 11, [1, 2, 4, 9, 10, 11], 0
+           UNION ALL SELECT DISTINCT 100 + n, n, range(1, n + 1), n FROM items WHERE n < 7),
 seeds AS (SELECT item_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
           FROM (SELECT *, unnest(range(n - size + 1)) AS i FROM items JOIN shapes ON n >= size AND only_n IN (0, n))),
 probes AS (SELECT doc_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
            FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i FROM docs JOIN shapes ON len(w) >= size)),
 hits AS (SELECT DISTINCT doc_id, item_id, probes.i - seeds.i AS diagonal FROM probes JOIN seeds USING (tag, seed)),
-laid AS (SELECT doc_id, item_id, n, greatest(diagonal, 0) AS doc_start,
-                list_transform(range(greatest(diagonal, 0), least(diagonal + n, len(docs.w))), lambda j: docs.w[j + 1] = items.w[j - diagonal + 1]) AS same
-         FROM hits JOIN items USING (item_id) JOIN docs USING (doc_id)),
-steps AS (SELECT doc_id, item_id, n, doc_start, list_transform(same, lambda h: CASE WHEN h THEN 1::DOUBLE ELSE -(0.8::DOUBLE / (1::DOUBLE - 0.8::DOUBLE)) END) AS v FROM laid),
-walked AS (SELECT doc_id, item_id, n, doc_start, list_reduce(
-             list_prepend({s: 0::DOUBLE, n: 0, ok: 0, best_n: 0, best_ok: 0}, list_transform(v, lambda x: {s: x, n: 0, ok: 0, best_n: 0, best_ok: 0})),
-             lambda a, x: CASE WHEN a.s + x.s > 0 THEN {
-               s: a.s + x.s, n: a.n + 1, ok: a.ok + (x.s > 0)::INT,
-               best_n: CASE WHEN x.s > 0 AND a.n + 1 >= a.best_n THEN a.n + 1 ELSE a.best_n END,
-               best_ok: CASE WHEN x.s > 0 AND a.n + 1 >= a.best_n THEN a.ok + 1 ELSE a.best_ok END}
-             ELSE {s: 0::DOUBLE, n: 0, ok: 0, best_n: a.best_n, best_ok: a.best_ok} END) AS r FROM steps),
-best AS (SELECT doc_id, item_id, r.best_n AS n_words, r.best_ok AS n_agree, doc_start,
-                row_number() OVER (PARTITION BY doc_id, item_id ORDER BY r.best_ok DESC, r.best_n DESC, doc_start) AS k
-         FROM walked WHERE r.best_n >= least(n, 13) AND r.best_ok >= 0.8::DOUBLE * r.best_n)
+laid AS (SELECT doc_id, item_id, diagonal, least(n, 13) AS need, doc_start, j, dw[j + 1] = iw[j - diagonal + 1] AS same
+         FROM (SELECT *, unnest(range(doc_start, least(diagonal + n, len(dw)))) AS j
+               FROM (SELECT doc_id, item_id, diagonal, n, greatest(diagonal, 0) AS doc_start, docs.w AS dw, items.w AS iw FROM hits JOIN items USING (item_id) JOIN docs USING (doc_id)))),
+balance AS (SELECT doc_id, item_id, diagonal, need, j + 1 AS j, sum(CASE WHEN same THEN 1 ELSE -4 END) OVER w AS p, sum(same::INT) OVER w AS ok
+            FROM laid WINDOW w AS (PARTITION BY doc_id, item_id, diagonal ORDER BY j)
+            UNION ALL SELECT DISTINCT doc_id, item_id, diagonal, need, doc_start, 0, 0 FROM laid),
+pairs AS (SELECT e.doc_id, e.item_id, e.j - s.j AS n_words, e.ok - s.ok AS n_agree, s.j AS doc_start, e.p - s.p AS gained,
+                 row_number() OVER (PARTITION BY e.doc_id, e.item_id, e.diagonal, e.j ORDER BY s.p, s.j) AS k
+          FROM balance e JOIN balance s ON e.doc_id = s.doc_id AND e.item_id = s.item_id AND e.diagonal = s.diagonal AND e.j - s.j >= e.need),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_agree DESC, n_words, doc_start) AS r FROM pairs WHERE k = 1 AND gained >= 0)
 SELECT doc_id, item_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_agree AS BIGINT) AS n_agree, CAST(doc_start AS BIGINT) AS doc_start,
        round(n_agree::DOUBLE / n_words, 6) AS share
-FROM best WHERE k = 1
+FROM best WHERE r = 1
 """
 
 

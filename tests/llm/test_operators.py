@@ -1,6 +1,7 @@
 """Operators against brute force, and every operator on hard rows."""
 
 import collections
+import itertools
 import random
 import re
 import zlib
@@ -175,6 +176,20 @@ def test_decontamination(spark):
     assert got(stayed, "doc_id", "item_id") == [(1, 1), (2, 1), (4, 2)]
 
 
+def test_two_substitutions_of_thirteen(spark):
+    """Every pair of substituted places, against brute force; three of thirteen are too many."""
+    r = random.Random(8)
+    item = [f"i{k}" for k in range(13)]
+    texts, want = [], set()
+    for k, gone in enumerate([*itertools.combinations(range(13), 2), *itertools.combinations(range(13), 3)]):
+        text = [f"w{r.randrange(500)}" for _ in range(6)] + [f"s{j}" if j in gone else x for j, x in enumerate(item)] + [f"w{r.randrange(500)}" for _ in range(6)]
+        texts.append((k, " ".join(text)))
+        if len(gone) == 2:
+            want.add((k, 1, 13, 11, 6))
+    out = decontamination.decontaminate(spark, make(spark, texts), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert set(got(out, "doc_id", "item_id", "n_words", "n_agree", "doc_start")) == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 37, 1003])
 def test_sharding(spark, n):
     df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("_cell"))
