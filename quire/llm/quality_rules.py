@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD_RE
 
-SAMPLE, MIN_SHARE = 3_000, 0.5
+SAMPLE, MIN_SHARE, SEGMENT = 3_000, 0.5, 200
 WORDS = re.compile(WORD_RE)
 _SYMBOLS = "#*$%&|<>"
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -115,24 +115,27 @@ def viterbi(scores: np.ndarray, stay: np.ndarray) -> np.ndarray:
 def fit(rows: list[tuple[int, list[list[int]]]], steps: int = 60, l2: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
     """Emission weights for boilerplate and the two scores for staying in a label.
 
-    Sequences are laid side by side, so that forward and backward run over all of them at once.
+    Sequences are laid side by side, so that forward and backward run over all of them at once; a document of more
+    than ``SEGMENT`` lines is laid as several, all of which count, and loses only the transitions between them.
     """
     w, stay = np.zeros(N_FEATURES), np.zeros(2)
     rows = [r for r in rows if r[1]]
     if not rows or len({r[0] for r in rows}) < 2:
         return w, stay
-    rows = [(y, f[:200]) for y, f in rows]  # training only: a long document is 200 lines of evidence
+    # Each document weighs the same, each label half; a line has its document's weight by the number of its lines.
+    label = np.array([1 - q for q, _ in rows])
+    share = np.where(label == 1, 0.5 / max(label.sum(), 1), 0.5 / max((1 - label).sum(), 1)) / [len(f) for _, f in rows]
+    parts = [(i, f[k : k + SEGMENT]) for i, (_, f) in enumerate(rows) for k in range(0, len(f), SEGMENT)]
+    of = np.array([i for i, _ in parts])
+    y, share, rows = label[of], share[of], parts
     length = np.array([len(f) for _, f in rows])
     t_max, n = int(length.max()), len(rows)
-    y = np.array([1 - q for q, _ in rows])
     seq = np.repeat(np.arange(n), length)
     pos = np.concatenate([np.arange(k) for k in length])
     sizes = [len(f) for _, fs in rows for f in fs]
     cell = np.repeat(np.arange(len(seq)), sizes)
     feat = np.array([x for _, fs in rows for f in fs for x in f])
-    # Each document weighs the same, each label half.
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    per = (share / length)[seq]
+    per = share[seq]
     g2w, g2s = np.full(N_FEATURES, 1e-8), np.full(2, 1e-8)
     inside = np.zeros((t_max, n), bool)
     inside[pos, seq] = True
@@ -156,7 +159,7 @@ def fit(rows: list[tuple[int, list[list[int]]]], steps: int = 60, l2: float = 1e
         gw = np.bincount(feat, weights=err[cell], minlength=N_FEATURES) - l2 * 1e-2 * w
         gs = np.zeros(2)
         if t_max > 1:
-            live = inside[1:] / length * share
+            live = inside[1:] * share
             for k in (0, 1):
                 p = np.exp(alpha[:-1, :, k] + trans[k, k] + (e[1:] if k else 0) + beta[1:, :, k] - z)
                 gs[k] = (((y == k)[None, :] - p) * live).sum() - l2 * 1e-2 * stay[k]
@@ -169,7 +172,7 @@ def fit(rows: list[tuple[int, list[list[int]]]], steps: int = 60, l2: float = 1e
 
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        feats = [lines_of(t or "")[0][:200] for t in batch.column("text").to_pylist()]
+        feats = [lines_of(t or "")[0] for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int32()), pa.array(feats, pa.list_(pa.list_(pa.int32())))], names=["quality", "lines"])
 
 
