@@ -11,7 +11,9 @@ an article on one host lower its entropy, but do not turn it into a template.
 
 The tree is never gathered whole: counts of (host, node, content) are pre-aggregated before their
 shuffle and reduced to sums of c and c ln c, which combine. Pages meet their host's low-importance nodes by a join on
-(host, salt), so that a host with a third of all pages is dealt over ``salts`` tasks.
+(host, salt): a host is dealt over ``salts`` tasks, and one with over ``salts * salt_pages`` pages over as many as make
+about ``salt_pages`` each. Of those hosts only the ones with over a thousandth of all pages are told apart, so the
+table of them, which is broadcast, has under 1,000 rows whatever the input.
 
 Cases: null or empty html gives an empty text; a null url is a host of its own; repeated rows give
 repeated results; an empty table gives none; extra columns are ignored; unclosed tags are closed by
@@ -29,7 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-GAMMA, THRESHOLD, MIN_PAGES, SALTS = 0.9, 0.5, 4, 16
+GAMMA, THRESHOLD, MIN_PAGES, SALTS, SALT_PAGES = 0.9, 0.5, 4, 16, 5_000
+#: A host with over this part of all pages may get more salts; there are HOT_PARTS of them at most.
+HOT_PARTS = 1000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[/!?a-zA-Z](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|<[/!?a-zA-Z][^<>]*+>?|[^<]++|<""", re.S)
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -203,13 +207,17 @@ def style_tree(pages: DataFrame) -> DataFrame:
     return both.select("host", "node", "n", (GAMMA * F.col("content") + (1 - GAMMA) * F.col("style")).alias("importance"))
 
 
-def extract(spark: SparkSession, pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, salts: int = SALTS) -> DataFrame:
+def extract(spark: SparkSession, pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, salts: int = SALTS, salt_pages: int = SALT_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     low = style_tree(pages).where((F.col("n") >= min_pages) & (F.col("importance") < threshold))
     low = low.groupBy("host").agg(F.collect_list("node").alias("low"))
-    low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
+    least = max(pages.count() / HOT_PARTS, salts * salt_pages)
+    large = pages.groupBy("host").count().where(F.col("count") > least).select("host", F.ceil(F.col("count") / salt_pages).cast("int").alias("more"))
+    large = F.broadcast(spark.createDataFrame(large.collect(), "host string, more int"))
+    salts_of = F.coalesce("more", F.lit(salts))
+    low = low.join(large, "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts_of - 1)))
+    dealt = pages.join(large, "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.xxhash64("html")), salts_of).cast("int"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

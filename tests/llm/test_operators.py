@@ -221,6 +221,8 @@ def test_style_tree_drops_templates(spark):
     rows += [(50, None, None, "z"), (51, "http://one.org/", "<body><div><p>alone</p></div></body>", "z")]
     out = html_extraction.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string, host string"))
     text = {r["page_id"]: r["text"] for r in out.collect()}
+    more = html_extraction.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string, host string"), salts=1, salt_pages=3)
+    assert {r["page_id"]: r["text"] for r in more.collect()} == text
     assert text[3] == "text 3 only here" and text[50] == "" and text[51] == "alone" and len(text) == 14
 
 
@@ -262,6 +264,14 @@ def test_quality_counts(spark, docs, rows):
         assert out[i]["base_failed"] == (len(w) < 50 or 2 * len(mark) > len(w))
 
 
+def test_training_reads_whole_documents():
+    """Lines after the first segment count: only they tell the labels apart here."""
+    same = [[0]] * quality_rules.SEGMENT
+    rows = [(i % 2, same + [[0, 1] if i % 2 else [0, 2]] * 300) for i in range(20)]
+    w, _ = quality_rules.fit(rows)
+    assert w[2] - w[1] > 1
+
+
 def test_viterbi_is_best():
     r = np.random.default_rng(0)
     for _ in range(40):
