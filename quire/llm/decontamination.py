@@ -12,7 +12,7 @@ their words.
 
 Skew: the document side only streams through the seed join (a broadcast while the benchmark's
 seed table is under ``broadcast_rows``, a shuffled join otherwise); hits are reduced to distinct
-(document, item, diagonal) before anything is grouped. Frequent words are not a group anywhere.
+(document, item, diagonal) before anything is grouped, written, counted, and joined with the texts in the same two ways. Frequent words are not a group anywhere.
 
 Cases: null or empty texts have no words and are clean; a null id keeps its row; repeated rows give
 repeated results collapsed to one row per (doc_id, item_id); empty tables give no rows; extra
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Table
+
 #: Fixed masks: places kept (1) and ignored (0). Wherever two of 13 words are substituted (the most that MIN_SHARE
 #: leaves of MIN_WORDS), one of the masks fits between them somewhere, so no such stretch goes without a hit.
 MASKS = ("1110111", "11010000111")
@@ -68,9 +70,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, ma
     side = F.broadcast(index) if n_seeds <= broadcast_rows else index
     hits = probes.join(side, "seed").select("doc_id", "at", F.explode("found").alias("f"))
     hits = hits.select("doc_id", "f.item_id", (F.col("at") - F.col("f.item_at")).alias("diagonal")).distinct()
-    # Lay each item over the document at its diagonals.
-    laid = hits.join(items.select("item_id", "item_words"), "item_id")
-    both = laid.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "item_id", "diagonal", "item_words", once(words(F.col("text"))).alias("w"))
+    # Lay each item over the document at its diagonals. Hits are few next to documents, so they go to the texts, not the
+    # texts to them, as long as there are ``broadcast_rows`` of them at most; beyond that both are shuffled.
+    held = Table(spark, hits).df
+    hits = F.broadcast(held) if held.count() <= broadcast_rows else held
+    laid = docs.select("doc_id", "text").join(hits, "doc_id").join(items.select("item_id", "item_words"), "item_id")
+    both = laid.select("doc_id", "item_id", "diagonal", "item_words", once(words(F.col("text"))).alias("w"))
     n, at = F.size("item_words"), F.greatest(F.col("diagonal"), F.lit(0))
     overlap_end = F.least(F.col("diagonal") + n, F.size("w"))
     doc_part = F.slice("w", at + 1, F.greatest(overlap_end - at, F.lit(0)))
