@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import near_copies
 from .common import WORD_RE, Table, components
 
 RADIUS, SHINGLE, TILE, SPLIT = 3, 3, 256, 4096
@@ -176,10 +177,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: one document of each component stays, the one with the smallest doc_id.
+    """The pipeline's stage: one document of each component of near copies stays, the one with the smallest doc_id.
 
-    Rows without an id are no document's copy and stay; of rows with one id one stays.
+    The stage links texts by its own threshold, 0.8 on five-word shingles (see ``near_copies``); the radius of 3 bits is
+    the query's. Rows are judged by their texts: rows without an id are copies like any other and go before rows
+    with one, and rows that share an id with different texts are told apart.
     """
-    keep = cluster(spark, docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    nodes = near_copies.cluster(spark, docs)
+    order = F.struct(F.col("first").isNull().alias("none"), "first", "node")
+    keep = nodes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.node").alias("_quire_node"), F.col("k.first").alias("_quire_first"))
+    keep = Table(spark, keep).df
+    named = docs.withColumn("_quire_text", near_copies.name())
+    same = (named["_quire_text"] == keep["_quire_node"]) & named["doc_id"].cast("long").eqNullSafe(keep["_quire_first"])
+    return named.join(keep, same, "left_semi").dropDuplicates(["_quire_text"]).select(*docs.columns)

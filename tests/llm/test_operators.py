@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quire.llm import common, decontamination, html_extraction, importance, packing, quality_rules, registry, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from quire.llm import common, decontamination, html_extraction, importance, near_copies, packing, quality_rules, registry, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EXTRA = "chunk bucket shard key fp node seed at w h target score rank tie salt host low _quire".split()
@@ -147,6 +147,46 @@ def test_simhash(spark, docs, rows, hot_parts):
     assert got(out, "doc_id", "f", "component_id") == sorted(((i, f"{f:016x}", root[i]) for i, f in fps), key=str)
 
 
+@pytest.mark.parametrize("hot_parts", [1000, 5])
+def test_near_copies(spark, hot_parts):
+    """Planted copies at a similarity of 0.8 and around it, and a chain, against brute force on the shingles' words."""
+    r = random.Random(12)
+    w = lambda n: [f"w{r.randrange(10_000)}" for _ in range(n)]
+    texts = []
+    for n in (60, 104, 204, 500):
+        for _ in range(4):
+            base = w(n)
+            texts.append(base)
+            for share in (0.01, 0.02, 0.022, 0.025, 0.04):
+                copy = list(base)
+                for k in r.sample(range(n), max(1, round(share * n))):
+                    copy[k] = "new"
+                texts.append(copy)
+    base = w(204)
+    texts += [base, [x.upper() for x in base], base + w(22), base[:3], base[:3], base[:4], w(7), []]
+    texts += [[*base[:k], *w(9), *base[k:]] for k in range(0, 200, 5)]  # a large group
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, " "), (0, rows_ := " ".join(w(30))), (None, rows_), (None, " ".join(texts[0])), (None, "only here")]
+    sets = [{tuple(t[j : j + 5]) for j in range(max(1, len(t) - 4))} if t else set() for t in ((x or "").lower().split() for _, x in rows)]
+    root = list(range(len(rows)))
+    n_links = far = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                n_links, far = n_links + 1, far + ((_fingerprint(rows[i][1]) ^ _fingerprint(rows[j][1])).bit_count() > 3)
+                x, y = root[i], root[j]
+                root = [min(x, y) if z in (x, y) else z for z in root]
+    assert far > 50  # the query's radius would miss these
+    of = dict(zip((t or "" for _, t in rows), root, strict=True))
+    name = {x["node"]: x["text"] for x in spark.createDataFrame([(t,) for t in of], "text string").select("text", near_copies.name().alias("node")).collect()}
+    found = {name[x["node"]]: x["component"] for x in near_copies.cluster(spark, make(spark, rows), hot_parts).collect()}
+    assert set(found) == set(of)
+    assert len({(of[t], c) for t, c in found.items()}) == len(set(of.values())) == len(set(found.values()))
+    kept = simhash.stage(spark, make(spark, rows), "").collect()
+    assert sorted(of[x["text"] or ""] for x in kept) == sorted(set(root))
+    ids = {c: [i for (i, _), z in zip(rows, root, strict=True) if z == c and i is not None] for c in set(root)}
+    assert all(x["doc_id"] == min(ids[of[x["text"] or ""]], default=None) for x in kept)
+
+
 @pytest.mark.parametrize("split", [4096, 8])
 def test_links_are_whole(spark, split):
     r = random.Random(7)
