@@ -7,8 +7,8 @@ diagonal (document place less item place). Around each hit the whole item is lai
 document and words are compared in place; a document is contaminated if a stretch of at least ``min_words``
 words (or the whole item, if it has fewer) has at least ``min_share`` (in thousandths) of its words in agreement.
 Reported is, of the stretches that start at the lowest balance before their end, the one with the most agreeing
-words, then the shortest, then the first. Items shorter than every mask are looked up whole: by the hash of all
-their words.
+words, then the shortest, then the first. Items under 13 words have lighter masks of their own, and those under 5,
+which leave no room for a substitution, are looked up whole: by the hash of all their words.
 
 Skew: the document side only streams through the seed join (a broadcast while the benchmark's
 seed table is under ``broadcast_rows``, a shuffled join otherwise); hits are reduced to distinct
@@ -26,9 +26,12 @@ from pyspark.sql import functions as F
 
 from .common import Table
 
-#: Fixed masks: places kept (1) and ignored (0). Wherever two of 13 words are substituted (the most that MIN_SHARE
-#: leaves of MIN_WORDS), one of the masks fits between them somewhere, so no such stretch goes without a hit.
-MASKS = ("1110111", "11010000111")
+#: Fixed masks: places kept (1) and ignored (0). Whatever places MIN_SHARE lets be substituted in a stretch of 13 to 25
+#: words, one of the masks fits between them somewhere (searched exhaustively; tests repeat it up to 20). A longer stretch is a row of
+#: such stretches, one of which has the share, so no stretch that has it goes without a hit.
+MASKS = ("1110111", "11010000111", "110110011")
+#: The same for whole items under 13 words, by their least and greatest length.
+SHORT_MASKS = ((5, 6, ("111", "1101")), (7, 12, ("1111", "11011")))
 #: A stretch this long with this share of agreeing words is contamination.
 MIN_WORDS, MIN_SHARE = 13, 0.8
 
@@ -54,18 +57,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, ma
     """One row per contaminated (doc_id, item_id): n_words compared, n_agree, doc_start, share."""
     items = benchmark.select("item_id", once(words(F.col("text"))).alias("item_words")).where(F.size("item_words") > 0)
     items = items.select("item_id", "item_words", once(F.transform("item_words", lambda w: F.xxhash64(w))).alias("hw"))
-    shortest = min(map(len, masks))
-    lengths = sorted(r[0] for r in items.where(F.size("hw") < max(map(len, masks))).select(F.size("hw")).distinct().collect())  # under a mask's length
-    shapes = [(m, t) for t, m in enumerate(masks)] + [("1" * n, 100 + n) for n in lengths if n < shortest]
-    is_short = lambda m: F.size("hw") == len(m) if set(m) == {"1"} else F.lit(True)
+    short = max(SHORT_MASKS)[1]
+    lengths = sorted(r[0] for r in items.where(F.size("hw") <= short).select(F.size("hw")).distinct().collect())
+    of = lambda lo, hi: F.size("hw").between(lo, hi)
+    shapes = [(m, t, F.lit(True)) for t, m in enumerate(masks)] + [("1" * n, 100 + n, of(n, n)) for n in lengths if n < min(SHORT_MASKS)[0]]
+    for i, (lo, hi, some) in enumerate(SHORT_MASKS):
+        if any(lo <= n <= hi for n in lengths):
+            shapes += [(m, 50 + 10 * i + k, of(lo, hi)) for k, m in enumerate(some)]
     index = None
-    for m, t in shapes:
-        part = items.where(is_short(m)).select("item_id", F.posexplode(seeds(F.col("hw"), m, t)).alias("item_at", "seed"))
+    for m, t, which in shapes:
+        part = items.where(which).select("item_id", F.posexplode(seeds(F.col("hw"), m, t)).alias("item_at", "seed"))
         index = part if index is None else index.unionByName(part)
     index = index.groupBy("seed").agg(F.collect_set(F.struct("item_id", "item_at")).alias("found"))
     n_seeds = index.count()
     hashed = docs.select("doc_id", once(F.transform(words(F.col("text")), lambda w: F.xxhash64(w))).alias("h"))
-    rolled = hashed.select("doc_id", F.explode(F.array(*[seeds(F.col("h"), m, t) for m, t in shapes])).alias("s"))
+    rolled = hashed.select("doc_id", F.explode(F.array(*[seeds(F.col("h"), m, t) for m, t, _ in shapes])).alias("s"))
     probes = rolled.select("doc_id", F.posexplode_outer("s").alias("at", "seed"))
     side = F.broadcast(index) if n_seeds <= broadcast_rows else index
     hits = probes.join(side, "seed").select("doc_id", "at", F.explode("found").alias("f"))

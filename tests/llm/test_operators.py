@@ -230,6 +230,46 @@ def test_two_substitutions_of_thirteen(spark):
     assert set(got(out, "doc_id", "item_id", "n_words", "n_agree", "doc_start")) == want
 
 
+def _fits(masks, n, gone):
+    kept = [{i + o for i, c in enumerate(m) if c == "1"} for m in masks for o in range(n - len(m) + 1)]
+    bits, hidden = [sum(1 << i for i in k) for k in kept], sum(1 << i for i in gone)
+    return any(not b & hidden for b in bits)
+
+
+def test_masks_fit_everywhere():
+    """All places that 80 % of agreement lets be substituted, in every length that longer stretches are made of."""
+    for lo, hi, masks in [*decontamination.SHORT_MASKS, (13, 20, decontamination.MASKS)]:
+        for n in range(lo, hi + 1):
+            assert all(_fits(masks, n, gone) for gone in itertools.combinations(range(n), n // 5)), n
+    r = random.Random(4)
+    for n in range(21, 26):  # a mask search went through all of these
+        assert all(_fits(decontamination.MASKS, n, r.sample(range(n), n // 5)) for _ in range(2000)), n
+
+
+def test_short_items_and_long_stretches(spark):
+    """Items of 1 to 12 words with every permitted substitution, and the stretches of 15 to 20 words that two masks lost."""
+    r = random.Random(9)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in (*range(1, 13), 15, 16, 17, 20)}
+    texts, want = [], set()
+
+    def put(n, gone, within):
+        text = [f"w{r.randrange(500)}" for _ in range(3)] + [f"s{j}" if j in gone else x for j, x in enumerate(items[n])] + ["end"]
+        texts.append((len(texts), " ".join(text)))
+        if within:
+            want.add((len(texts) - 1, n))
+
+    for n in range(1, 13):
+        for gone in itertools.combinations(range(n), n // 5):
+            put(n, gone, True)
+        put(n, set(range(n // 5 + 1)), False)  # one too many
+    lost = [(n, gone) for n in (15, 16, 17, 20) for gone in itertools.combinations(range(n), n // 5) if not _fits(("1110111", "11010000111"), n, gone)]
+    assert len(lost) == 7 + 4 + 2 + 7
+    for n, gone in lost:
+        put(n, gone, True)
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")
+    assert set(got(decontamination.decontaminate(spark, make(spark, texts), bench), "doc_id", "item_id")) == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 37, 1003])
 def test_sharding(spark, n):
     df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("_cell"))
