@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,21 +24,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only if that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of its own; a cluster is refused."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_FOLDERS: dict[str, str] = {}
+
+
+def _application_folder(spark: SparkSession) -> str:
+    """A folder for this application's intermediate tables, removed when the driver's Python ends."""
+    name = spark.sparkContext.applicationId
+    if name not in _FOLDERS:
+        _FOLDERS[name] = path = f"{shared_dir(spark)}/quire-{name}"
+
+        def clean() -> None:
+            if spark.sparkContext._jsc is not None:  # the session may have been stopped before
+                remove(spark, path)
+
+        atexit.register(clean)
+    return _FOLDERS[name]
+
+
 class Table:
-    """A DataFrame written to the shared folder: lineage is cut, lost executors lose nothing."""
+    """A DataFrame written to the shared folder: lineage is cut, lost executors lose nothing.
+
+    ``drop`` removes it once nothing reads it any more; what results still read goes with the application's folder.
+    """
 
     def __init__(self, spark: SparkSession, df: DataFrame):
-        self.spark, self.path = spark, f"{shared_dir(spark)}/quire-{uuid.uuid4().hex}"
+        self.spark, self.path = spark, f"{_application_folder(spark)}/{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(self.path)
         self.schema = df.schema
 
@@ -46,9 +74,7 @@ class Table:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path)
 
 
 def slots(spark: SparkSession) -> int:
@@ -75,11 +101,12 @@ def chunked(df: DataFrame, n_bytes: int, chunk_bytes: int) -> DataFrame:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), element by element."""
-    h = h ^ (h >> _U(30))
-    h = h * _U(0xBF58476D1CE4E5B9)
-    h ^= h >> _U(27)
-    h *= _U(0x94D049BB133111EB)
-    h ^= h >> _U(31)
+    with np.errstate(over="ignore"):
+        h = h ^ (h >> _U(30))
+        h = h * _U(0xBF58476D1CE4E5B9)
+        h ^= h >> _U(27)
+        h *= _U(0x94D049BB133111EB)
+        h ^= h >> _U(31)
     return h
 
 
@@ -130,8 +157,7 @@ def rolling(h: np.ndarray, k: int, base: int) -> np.ndarray:
     """The hash of every k consecutive values, by doubling; shorter by k - 1."""
     if len(h) < k:
         return np.zeros(0, _U)
-    b = _U(base | 1)
-    out, size, part, width, power = None, 0, h, 1, b
+    out, size, part, width, power = None, 0, h, 1, np.array([base | 1], _U)  # an array: its products wrap without a warning
     while True:
         if k & width:
             n = len(h) - (size + width) + 1
@@ -173,15 +199,36 @@ def utf8(column: pa.ChunkedArray) -> list[bytes]:
 # ---- connected components ------------------------------------------------
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+#: Edge sets up to this many are solved in one task; larger ones by star rounds.
+ONE_TASK_EDGES = 15_000
+
+
+def _solve(rows: pa.Table) -> pa.Table:
+    """(node, root) of a bounded set of edges, by union and find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist(), strict=True):
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return pa.table({"node": pa.array(list(root), pa.int64()), "root": pa.array([find(x) for x in root], pa.int64())})
+
+
+def components(spark: SparkSession, edges: DataFrame, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """(node, root): the smallest node reachable, for every node on an edge (a, b).
 
-    Alternating large-star and small-star rounds until nothing changes. Each round is
-    two aggregations over the edges, written to the shared folder. Null ends are dropped.
+    Up to ``one_task`` edges are solved in one task. More go through alternating large-star and small-star rounds until
+    nothing changes; each round is two aggregations over the edges, written to the shared folder. Null ends are dropped.
     """
-    if edges.isEmpty():
-        return spark.createDataFrame([], "node long, root long")
     now = Table(spark, edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    n = now.df.count()
+    if n <= one_task:
+        return now.df.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(_solve, "node long, root long")
     while True:
         both = now.df.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.df.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -190,9 +237,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small = large.join(small_low, "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         then = Table(spark, small)
-        same = then.df.count() == now.df.count() and then.df.exceptAll(now.df).isEmpty()
+        m = then.df.count()
+        same = m == n and then.df.exceptAll(now.df).isEmpty()
         now.drop()
-        now = then
+        now, n = then, m
         if same:
             break
     stars = now.df.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import Words, chunked, mix, pack, pack_sorted, rolling, text_bytes, unpack, unpack_sorted, utf8
 
@@ -93,7 +94,7 @@ class _Chunk:
     def __init__(self, docs: pa.Table, window: int):
         ids, texts = docs.column("doc_id").to_pylist(), utf8(docs.column("text"))
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        self.ids, self.texts = [ids[i] for i in order], [texts[i] for i in order]
+        self.ids, self.texts, self.order = [ids[i] for i in order], [texts[i] for i in order], order
         self.words, self.block = Words(self.texts), (window + 1) // 2
         self.h = self.words.hashes()
         inside = self.words.within(self.block)
@@ -158,9 +159,11 @@ def _by_step(replies: pa.Table, step: int) -> list[tuple[int, bytes]]:
     return [(b, x) for s, b, x in rows if s == step]
 
 
-def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, bucket_words: int = BUCKET_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_text (kept words, one space between)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, bucket_words: int = BUCKET_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_text (kept words, one space between), and ``_keep_0``, ...: the row's own columns named in ``keep``."""
+    kept_as = [f"_keep_{i}" for i in range(len(keep))]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).alias(n) for c, n in zip(keep, kept_as, strict=True)])
+    result = StructType([*StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string").fields, *docs.schema.fields[2:]])
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes // 6, bucket_words)
     dealt = chunked(docs, n_bytes, chunk_bytes)
@@ -196,13 +199,14 @@ def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_byte
             stay = np.flatnonzero(~gone[lo:hi]) + lo
             n_removed.append(int(hi - lo - len(stay)))
             kept.append(b" ".join([buf[a:b] for a, b in zip(starts_[stay].tolist(), ends_[stay].tolist(), strict=True)]))
-        return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": pa.array(np.diff(first).astype(np.int64)), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
+        own = docs_.select(kept_as).take(pa.array(c.order, pa.int64()))
+        return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": pa.array(np.diff(first).astype(np.int64)), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())} | {n: own.column(n) for n in kept_as})
 
     sent = dealt.groupBy("chunk").applyInArrow(probe, EXCHANGE)
     hits = sent.groupBy("bucket").applyInArrow(lambda t: _probe_reply(t, 1), REPLY)
     sent2 = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(extend, EXCHANGE)
     more = sent2.groupBy("bucket").applyInArrow(lambda t: _probe_reply(t, 2), REPLY)
-    return dealt.groupBy("chunk").cogroup(hits.unionByName(more).groupBy("chunk")).applyInArrow(cut, "doc_id long, n_words long, n_removed long, kept_text string")
+    return dealt.groupBy("chunk").cogroup(hits.unionByName(more).groupBy("chunk")).applyInArrow(cut, result)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +215,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: repeated passages are cut from the texts; a document with none stays as it is."""
-    out = dedup(spark, docs).where("n_removed > 0").select("doc_id", F.col("kept_text").alias("_quire_kept")).dropDuplicates(["doc_id"])
-    joined = docs.join(out, "doc_id", "left")
-    text = F.coalesce("_quire_kept", "text")
-    return joined.select(*[(text if c == "text" else F.length(text).cast("long") if c == "n_chars" else F.col(c)).alias(c) for c in docs.columns])
+    """The pipeline's stage: repeated passages are cut from the texts; a document with none stays as it is.
+
+    Every row travels with its own columns, so nothing is joined back by id. Cases: rows that share an id with different
+    texts each keep their own; rows without an id are cut like any other; a null text stays null; repeated rows are
+    copies of one another and lose what they share; an empty table gives no rows; very long texts are one row of a chunk.
+    """
+    names = docs.columns
+    out = dedup(spark, docs, keep=tuple(names))
+    cut, whole = F.col("n_removed") > 0, {c: F.col(f"_keep_{i}") for i, c in enumerate(names)}
+    text = F.when(cut, F.col("kept_text")).otherwise(whole["text"])
+    changed = {"text": text, "n_chars": F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(whole["n_chars"]) if "n_chars" in whole else None}
+    return out.select(*[(changed.get(c) if c in ("text", "n_chars") else whole[c]).alias(c) for c in names])
