@@ -212,7 +212,7 @@ def test_decontamination(spark):
     bench = spark.createDataFrame([(1, " ".join(item), "x"), (2, " ".join(short), "x"), (3, None, "x"), (4, "", "x")], "item_id long, text string, seed string")
     out = decontamination.decontaminate(spark, make(spark, texts), bench)
     assert got(out, "doc_id", "item_id") == [(1, 1), (2, 1), (4, 2)]
-    stayed = decontamination.decontaminate(spark, make(spark, texts), bench, broadcast_rows=0)
+    stayed = decontamination.decontaminate(spark, make(spark, texts), bench, broadcast_bytes=0)
     assert got(stayed, "doc_id", "item_id") == [(1, 1), (2, 1), (4, 2)]
 
 
