@@ -8,11 +8,14 @@ differ by one at most (law ``rows``).
 
 Rows meet the ring only as counts: one count per arc comes to the driver (``shards * replicas``
 of them at most, whatever the input), which decides how the arcs flow. An arc is cut into cells
-by further bits of the hash, about ``cell_rows`` rows each; a row's rank in its arc is the number
-of rows in earlier cells plus its number within the cell, so no window is larger than a cell.
+by a hash of the key and the kept columns, about ``cell_rows`` rows each; a row's rank in its arc is the number
+of rows in earlier cells plus its number within the cell, so no window is larger than a cell, also if one key holds
+most rows. Equal rows are counted before their shuffle and ranked as one; they are dealt out again in runs of
+``cell_rows``.
 
 Cases: null doc_id hashes like any value; null text has size 16 and crc32 0; repeated rows each get
-a slot of their own; an empty table gives no rows; extra columns are ignored unless named in ``keep``.
+a slot of their own; ties (equal rows) are interchangeable; very long texts count as their bytes; an empty table gives no rows;
+extra columns are ignored unless named in ``keep``.
 """
 
 from __future__ import annotations
@@ -76,27 +79,33 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 40, replicas: int
     nodes = ring_nodes(shards, replicas)
     places = [p for p, _ in nodes]
     arc_of = [bisect.bisect_left(places, p) % len(nodes) for p in range(1 << RING_BITS)]
-    rows = docs.select(F.col(key).alias("_key"), F.xxhash64(key).alias("_h"), *keep).withColumn("_place", F.shiftrightunsigned("_h", 64 - RING_BITS).cast("int"))
+    names = ["_key", *[f"_keep_{i}" for i in range(len(keep))]]
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip((key, *keep), names, strict=True)])
+    place = F.shiftrightunsigned(F.xxhash64("_key"), 64 - RING_BITS).cast("int")
     table = spark.range(1).select(F.posexplode(F.split(F.lit(",".join(map(str, arc_of))), ",").cast("array<int>")).alias("_place", "_arc"))  # 2**RING_BITS rows, always
-    rows = rows.join(F.broadcast(table), "_place")
-    counts = {r[0]: r[1] for r in rows.groupBy("_arc").count().collect()}
-    total = sum(counts.values())
-    fine = max(0, math.ceil(math.log2(max(total / (1 << RING_BITS) / cell_rows, 1))))
-    coarse = max(0, math.floor(math.log2(max(cell_rows * (1 << RING_BITS) / max(total, 1), 1)))) if not fine else 0
-    cell = F.shiftrightunsigned("_h", 64 - RING_BITS - fine + min(coarse, 6))
-    rows = rows.withColumn("_cell", cell)
-    before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = rows.groupBy("_arc", "_cell").count().select("_arc", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    flows = flow(counts, nodes, bounds(total, shards, slack))
+    rows = rows.withColumn("_place", place).join(F.broadcast(table), "_place").drop("_place")
+    counts = {r[0]: r[1] for r in rows.groupBy("_arc").count().collect()}  # an arc a row, shards * replicas at most
     by_arc: dict[int, list] = defaultdict(list)
-    for arc, lo, hi, s, at in flows:
+    for arc, lo, hi, s, at in flow(counts, nodes, bounds(sum(counts.values()), shards, slack)):
         by_arc[arc].append((lo, hi, s, at))
-    spans = spark.createDataFrame(sorted(by_arc.items()), "_arc int, _spans array<struct<lo:long,hi:long,shard:int,at:long>>")
-    within = Window.partitionBy("_arc", "_cell").orderBy("_h", "_key", *keep)
-    rows = rows.withColumn("_n", F.row_number().over(within) - 1).join(cells, ["_arc", "_cell"]).withColumn("_rank", F.col("_before") + F.col("_n"))
-    rows = rows.join(F.broadcast(spans), "_arc")  # an arc a row, shards * replicas at most
+    arcs = [(arc, max(1, -(-counts[arc] // cell_rows)), spans) for arc, spans in sorted(by_arc.items())]
+    arcs = F.broadcast(spark.createDataFrame(arcs, "_arc int, _cells int, _spans array<struct<lo:long,hi:long,shard:int,at:long>>"))
+    rows = rows.join(arcs.select("_arc", "_cells"), "_arc").withColumn("_h", F.xxhash64(F.lit(1), *names)).withColumn("_cell", F.pmod("_h", "_cells").cast("int"))
+    cells = rows.groupBy("_arc", "_cell").count()
+    before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("_arc", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    equal = rows.groupBy("_arc", "_cell", "_h", *names).agg(F.count("*").alias("_copies"))
+    within = Window.partitionBy("_arc", "_cell").orderBy("_h", *names).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = equal.withColumn("_n", F.coalesce(F.sum("_copies").over(within), F.lit(0))).join(cells, ["_arc", "_cell"]).withColumn("_first", F.col("_before") + F.col("_n"))
+    # A run of copies after the other; a long row of runs is dealt out before each run becomes rows.
+    run = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(cell_rows).cast("long"))
+    one = ranked.where("_copies = 1").select("_arc", *names, F.col("_first").alias("_rank"))
+    runs = ranked.where("_copies > 1").select("_arc", *names, "_first", "_copies", F.explode(run).alias("_from")).repartition(F.xxhash64("_first", "_from"))
+    many = runs.select("_arc", *names, F.explode(F.sequence(F.col("_first") + F.col("_from"), F.col("_first") + F.least(F.col("_from") + cell_rows, F.col("_copies")) - 1)).alias("_rank"))
+    rows = one.unionByName(many).join(arcs.select("_arc", "_spans"), "_arc")
     rows = rows.withColumn("_s", F.filter("_spans", lambda x: (x.lo <= F.col("_rank")) & (x.hi > F.col("_rank")))[0])
-    return rows.select(F.col("_key").alias(key), *keep, F.col("_s.shard").alias("shard"), (F.col("_s.at") + F.col("_rank") - F.col("_s.lo")).alias("slot"))
+    own = [F.col(n).alias(c) for c, n in zip((key, *keep), names, strict=True)]
+    return rows.select(*own, F.col("_s.shard").alias("shard"), (F.col("_s.at") + F.col("_rank") - F.col("_s.lo")).alias("slot"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
