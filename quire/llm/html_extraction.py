@@ -1,27 +1,33 @@
 """Main text of web pages by a site style tree.
 
 Pages of a host share templates. Their DOMs are merged into one style tree: a node is the path of
-(tag, class, id) from the root. For each node the tree keeps how its content and its children's style
-are distributed over the pages that show it; a branch whose content hardly varies says nothing about
-its page. Importance is ``GAMMA`` x content entropy + (1 - ``GAMMA``) x style entropy, each
-over the log of the count (between 0 and 1). Branches below ``threshold`` on nodes that were seen
-``min_pages`` times are removed, and so are elements that are never main text by their tag, role, class
-or id. Plain blocks within an ``article`` or ``main`` element are that page's own content: copies of
-an article on one host lower its entropy, but do not turn it into a template.
-
-The tree is never gathered whole: counts of (host, node, content) are pre-aggregated before their
-shuffle and reduced to sums of c and c ln c, which combine. Pages meet their host's low-importance nodes by a join on
-(host, salt): a host is dealt over ``salts`` tasks, and one with over ``salts * salt_pages`` pages over as many as make
-about ``salt_pages`` each. Of those hosts only the ones with over a thousandth of all pages are told apart, so the
-table of them, which is broadcast, has under 1,000 rows whatever the input.
-
-Cases: null or empty html gives an empty text; a null url is a host of its own; repeated rows give
-repeated results; an empty table gives none; extra columns are ignored; unclosed tags are closed by
-what follows and a cut-off tag ends the page.
+(tag, class, id) from the root, and every block node is in it, whatever its tag. For each node the tree keeps how its content
+and its children's style are distributed over the pages that show it; a branch whose content hardly varies says nothing about
+its page. Importance is ``GAMMA`` x content entropy + (1 - ``GAMMA``) x style entropy, each over the log of the number of
+showings (between 0 and 1). A content that c showings share weighs 1 + ln c, so one text that is shown very often does not make a
+template of a node whose other texts vary. Equal pages of a host count once; the host's own name is no content.
+
+Trees are merged at two levels: by host, and by host family (the last two labels of the host), since hosts of a
+family share templates and most hosts have few pages. A node goes if at either level its importance lies under the bar
+``threshold x min(1, ln n / ln judge_pages)`` of its n >= ``min_pages`` showings: the fewer pages, the surer the repetition must be.
+A node with ``judge_pages`` showings whose importance reaches the bar is judged to be content. Where the tree has judged
+neither, lists of tags, roles and class names break the tie. What is never main text whatever its
+entropy (scripts, styles, forms, hidden elements, readers' comments, which vary like an article) goes by its tag or name at once. A page that
+the tree would leave without any text falls back to the lists.
+
+The tree is never gathered whole: counts of (level, node, content) are pre-aggregated before their shuffle and reduced to sums
+that combine. Of the low branches only the topmost of each path are kept. They reach the pages by a broadcast while they take
+``broadcast_bytes`` at most; beyond that by a join on (host, salt), where a host is dealt over ``salts`` tasks, and one with over
+``salts * salt_pages`` pages over as many as make about ``salt_pages`` each.
+
+Cases: null or empty html gives an empty text; a null url is a host of its own; repeated rows give repeated results; ties
+(importance at the bar) stay; very long pages are parsed whole, and without recursion; an empty table gives none;
+extra columns are ignored; unclosed tags are closed by what follows and a cut-off tag ends the page.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -31,25 +37,35 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-GAMMA, THRESHOLD, MIN_PAGES, SALTS, SALT_PAGES = 0.9, 0.5, 4, 16, 5_000
+from .common import Table
+
+GAMMA, THRESHOLD, MIN_PAGES, JUDGE_PAGES, SALTS, SALT_PAGES = 0.9, 0.7, 4, 500, 16, 5_000
 #: A host with over this part of all pages may get more salts; there are HOT_PARTS of them at most.
 HOT_PARTS = 1000
+#: Low branches are broadcast up to so many bytes, at ROW_BYTES a branch.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 48
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[/!?a-zA-Z](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|<[/!?a-zA-Z][^<>]*+>?|[^<]++|<""", re.S)
+TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[/!?a-zA-Z](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|<[/!?a-zA-Z][^<>]*+>?|[^<]++|<""", re.S)
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute: its name and its value, so that a search never looks inside a value.
+ATTR = re.compile(r"""([^\s/>="'][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+USED = frozenset("class id role hidden style aria-hidden".split())
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video textarea title xmp".split())
 #: Never main text.
-NOISE_TAGS = RAW | frozenset("head nav header footer aside form menu button select dialog fieldset".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
-NOISE_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adbox|adslot|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|sidebar|side|widget|comments?|commentlist|respond|replies|disqus"
-    r"|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|skip|toolbar|hidden)(?=$|[\s_-])",
-    re.I,
+NEVER_TAGS = RAW | frozenset("head menu button select dialog fieldset".split())
+NEVER_NAMES = frozenset("comments commentlist comment-list comments-area comments-section comment-section comment-respond reader-comments user-comments disqus disqus_thread".split())
+#: Not main text unless the tree has judged them to be content.
+LIKELY_TAGS = frozenset("nav header footer aside".split())
+LIKELY_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog toolbar".split())
+#: Whole class names and ids, so that "with-sidebar" or "article-header" are none.
+LIKELY_NAMES = frozenset(
+    """ad ads adv advert adverts advertisement adbox ad-box adslot ad-slot sponsor sponsored promo promotion banner nav navbar navigation menu main-menu breadcrumb breadcrumbs
+    footer site-footer page-footer header site-header page-header masthead sidebar side-bar widget widgets cookie cookies cookie-notice cookie-banner cookie-consent consent gdpr
+    notice popup modal overlay share sharing share-buttons social-share related related-posts recommended newsletter subscribe signup login pagination pager skip-link toolbar""".split()
 )
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 LANDMARK = frozenset(("article", "main"))
 #: A start tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -59,19 +75,26 @@ SCOPE = frozenset("ul ol dl table html body article main section div".split())
 
 
 class Node:
-    __slots__ = ("tag", "style", "path", "noise", "landmark", "plain", "parts")
+    __slots__ = ("tag", "style", "path", "never", "likely", "parent", "parts")
 
-    def __init__(self, tag: str, style: str, parent: Node | None, noise: bool):
-        self.tag, self.style, self.noise = tag, style, noise or (parent is not None and parent.noise)
+    def __init__(self, tag: str, style: str, parent: Node | None, never: bool, likely: bool):
+        self.tag, self.style, self.never, self.likely, self.parent = tag, style, never, likely, parent
         self.path = xxhash.xxh64_intdigest(style, parent.path if parent else 0) >> 1
-        self.landmark = tag in LANDMARK or (parent is not None and parent.landmark)
-        self.plain = style == tag
         self.parts: list = []  # of str, Node
 
 
+def attributes(tag: str, at: int) -> dict[str, str]:
+    """The attributes that are used here, from the text of a start tag; the first of a name holds."""
+    found: dict[str, str] = {}
+    for name, a, b, c in ATTR.findall(tag, at):
+        if (name := name.lower()) in USED:
+            found.setdefault(name, a or b or c)
+    return found
+
+
 def parse(html: str) -> Node:
-    """The page's element tree; character references are decoded in its strings."""
-    root = Node("#", "#", None, False)
+    """The page's element tree without what is never main text; character references are decoded in its strings."""
+    root = Node("#", "#", None, False, False)
     stack = [root]
     raw = None
     for m in TOKEN.finditer(html):
@@ -81,7 +104,7 @@ def parse(html: str) -> Node:
                 raw = None
             continue
         if s[0] != "<" or len(s) == 1:
-            if not stack[-1].noise:
+            if not stack[-1].never:
                 stack[-1].parts.append(unescape(s) if "&" in s else s)
             continue
         if s[1] in "!?":
@@ -100,28 +123,58 @@ def parse(html: str) -> Node:
             close(stack, ("p",), INLINE)
         elif tag in ENDS:
             close(stack, ENDS[tag], None)
-        style, noise = tag, tag in NOISE_TAGS
-        if len(s) > t.end() + 1:
-            found = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(s, t.end())}
-            names = " ".join(x for x in (found.get("class"), found.get("id")) if x)
-            if names:
-                style = f"{tag}.{names}"
-            noise = noise or bool(names and tag not in ("html", "body", *LANDMARK) and NOISE_HINT.search(names)) or found.get("role", "").lower() in NOISE_ROLES
-            noise = noise or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         if tag in VOID:
             stack[-1].parts.append(" ")
             continue
-        node = Node(tag, style, stack[-1], noise)
-        stack[-1].parts.append(node)
+        style, never, likely = tag, tag in NEVER_TAGS or stack[-1].never, tag in LIKELY_TAGS and not (tag == "header" and within(stack))
+        if len(s) > t.end() + 1:
+            found = attributes(s, t.end())
+            names = " ".join(x for x in (found.get("class"), found.get("id")) if x).lower()
+            if names:
+                style = f"{tag}.{names}"
+            if tag not in ("html", "body", *LANDMARK):
+                own = names.split()
+                never = never or not NEVER_NAMES.isdisjoint(own)
+                likely = likely or not LIKELY_NAMES.isdisjoint(own) or found.get("role", "").lower() in LIKELY_ROLES
+                never = never or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+        node = Node(tag, style, stack[-1], never, likely)
+        if not never:
+            stack[-1].parts.append(node)
         if s.endswith("/>") and tag in RAW:
             continue
+        if tag in ("script", "style", "textarea", "title", "xmp", "noscript", "iframe"):
+            raw = tag
+            continue
         stack.append(node)
-        raw = tag if tag in ("script", "style", "textarea", "title", "xmp", "noscript", "iframe") else None
-        if raw:
-            stack.pop()
+    forms(root)
     return root
 
 
+def within(stack: list[Node]) -> bool:
+    """In an article or main element a header is the article's own."""
+    return any(x.tag in LANDMARK for x in stack)
+
+
+def forms(root: Node) -> None:
+    """A form is no main text, unless it wraps an article or the page's main element."""
+    held: list[tuple[Node, Node]] = []
+    todo = [root]
+    landmarks = set()
+    while todo:
+        x = todo.pop()
+        if x.tag == "form":
+            held.append((x, x.parent))
+        if x.tag in LANDMARK:
+            while x.parent is not None and id(x) not in landmarks:
+                landmarks.add(id(x))
+                x = x.parent
+            continue
+        todo.extend(c for c in x.parts if isinstance(c, Node))
+    for form, parent in held:
+        if id(form) not in landmarks:
+            parent.parts.remove(form)
+
+
 def close(stack: list[Node], tags: tuple[str, ...], through: frozenset | None) -> None:
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag in tags:
@@ -131,8 +184,11 @@ def close(stack: list[Node], tags: tuple[str, ...], through: frozenset | None) -
             return
 
 
-def blocks(root: Node, low: frozenset = frozenset()) -> list[str]:
-    """The text of every block that stays, white space made one space."""
+def blocks(root: Node, low: frozenset = frozenset(), judged: frozenset = frozenset()) -> list[str]:
+    """The text of every block that stays, white space made one space.
+
+    ``low`` are nodes that the tree removes, ``judged`` those that it has found to be content; of the others the lists' go.
+    """
     out: list[str] = []
     run: list[str] = []
 
@@ -148,7 +204,7 @@ def blocks(root: Node, low: frozenset = frozenset()) -> list[str]:
             flush()
         elif isinstance(x, str):
             run.append(x)
-        elif not x.noise and not (x.path in low and not (x.landmark and x.plain)):
+        elif x.path not in low and (not x.likely or x.path in judged):
             inline = x.tag in INLINE
             if not inline:
                 flush()
@@ -158,28 +214,28 @@ def blocks(root: Node, low: frozenset = frozenset()) -> list[str]:
     return out
 
 
-def features(root: Node) -> set[tuple[int, int, int]]:
-    """(node, content, style of children) of the page's nodes that are not inline, each once."""
+def features(root: Node, name: str = "") -> set[tuple[int, int, int, int, bool]]:
+    """(node, parent, content, style of children, whether a list names it) of the page's block nodes, each once."""
     out = set()
     order: list[Node] = []
     todo = [root]
     while todo:
         x = todo.pop()
         order.append(x)
-        todo.extend(c for c in x.parts if isinstance(c, Node) and not c.noise)
-    held: dict[int, tuple[int, str]] = {}
+        todo.extend(c for c in x.parts if isinstance(c, Node))
+    held: dict[int, int] = {}
     for x in reversed(order):  # children before parents
         content = xxhash.xxh64()
         for c in x.parts:
             if isinstance(c, str):
-                content.update(" ".join(c.split()))
-            elif not c.noise:
-                content.update(held.pop(id(c))[0].to_bytes(8, "little"))
-        digest = content.intdigest()
-        held[id(x)] = (digest, x.style)
-        if x.tag not in INLINE and x.tag not in ("#", "html", "body") and not (x.landmark and x.plain):
-            style = xxhash.xxh64_intdigest("|".join(dict.fromkeys(c.style for c in x.parts if isinstance(c, Node))))
-            out.add((x.path, digest >> 1, style >> 1))
+                t = " ".join(c.split())
+                content.update(t.replace(name, "") if name else t)
+            else:
+                content.update(held.pop(id(c)).to_bytes(8, "little"))
+        held[id(x)] = digest = content.intdigest()
+        if x.tag not in INLINE and x.tag not in ("#", "html", "body"):
+            style = xxhash.xxh64_intdigest("|".join(c.style for c in x.parts if isinstance(c, Node)))
+            out.add((x.path, x.parent.path, digest >> 1, style >> 2, x.likely))
     return out
 
 
@@ -187,45 +243,81 @@ def host(url) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
+def family(host_) -> F.Column:
+    """The last two labels of a host; an address of digits is a family of its own."""
+    return F.when(host_.rlike(r"[a-z]"), F.concat(F.lit("*."), F.regexp_extract(F.regexp_replace(host_, r":[0-9]*$", ""), r"([^.]*\.?[^.]*)$", 1))).otherwise(F.concat(F.lit("*."), host_))
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols: tuple[list, list, list, list] = ([], [], [], [])
-        for h, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            for node, content, style in features(parse(html or "")):
-                for c, v in zip(cols, (h, node, content, style), strict=True):
+        cols: tuple[list, ...] = ([], [], [], [], [], [], [])
+        for h, f, name, html in zip(*[batch.column(c).to_pylist() for c in ("host_key", "family_key", "host", "html")], strict=True):
+            page = xxhash.xxh64_intdigest((html or "").encode("utf-8", "surrogatepass"), h & 0xFFFFFFFF) >> 1  # by host: equal pages of two hosts are two
+            for node, parent, content, style, likely in features(parse(html or ""), name):
+                for c, v in zip(cols, (h, f, page, node, parent, content, style << 1 | likely), strict=True):
                     c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["host", "node", "content", "style"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["host_key", "family_key", "page", "node", "parent", "content", "style"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, n, importance) of the merged trees; pages has host and html."""
-    seen = pages.select("host", "html").mapInArrow(_feature_rows, "host string, node long, content long, style long")
-    xlogx = lambda c: c * F.log(c.cast("double"))
-    pairs = seen.groupBy("host", "node", "content", "style").count()
-    entropy = lambda of: pairs.groupBy("host", "node", of).agg(F.sum("count").alias("c")).groupBy("host", "node").agg(F.sum("c").alias("n"), F.sum(xlogx(F.col("c"))).alias("s")).select("host", "node", "n", F.when(F.col("n") < 2, 1.0).otherwise(1 - F.col("s") / xlogx(F.col("n"))).alias(of))
-    both = entropy("content").join(entropy("style").drop("n"), ["host", "node"])
-    return both.select("host", "node", "n", (GAMMA * F.col("content") + (1 - GAMMA) * F.col("style")).alias("importance"))
-
-
-def extract(spark: SparkSession, pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, salts: int = SALTS, salt_pages: int = SALT_PAGES) -> DataFrame:
+    """(level, node, parent, likely, n, importance) of the merged trees; pages has host and html. ``level`` is a hash of the host or the family."""
+    pages = pages.select("host", "html", F.xxhash64("host").alias("host_key"), F.xxhash64(family(F.col("host"))).alias("family_key"))
+    seen = pages.mapInArrow(_feature_rows, "host_key long, family_key long, page long, node long, parent long, content long, style long").distinct()
+    seen = seen.withColumn("likely", F.col("style").bitwiseAND(F.lit(1)) == 1)
+    pairs = seen.groupBy("host_key", "family_key", "node", "content", "style").agg(F.count("*").alias("c"), F.min("parent").alias("parent"), F.max("likely").alias("likely"))
+    pairs = pairs.select(F.explode(F.array("host_key", "family_key")).alias("level"), "node", "parent", "likely", "content", "style", "c")
+    w = 1 + F.log("c")
+
+    def entropy(of: str) -> DataFrame:
+        each = pairs.groupBy("level", "node", of).agg(F.sum("c").alias("c"), F.min("parent").alias("parent"), F.max("likely").alias("likely"))
+        sums = each.groupBy("level", "node").agg(F.sum("c").alias("n"), F.sum(w).alias("w"), F.sum(w * F.log(w)).alias("s"), F.min("parent").alias("parent"), F.max("likely").alias("likely"))
+        value = F.when(F.col("n") < 2, 1.0).otherwise(F.greatest(F.log("w") - F.col("s") / F.col("w"), F.lit(0.0)) / F.log("n"))
+        return sums.select("level", "node", "parent", "likely", "n", value.alias(of))
+
+    both = entropy("content").join(entropy("style").select("level", "node", "style"), ["level", "node"])
+    return both.select("level", "node", "parent", "likely", "n", (GAMMA * F.col("content") + (1 - GAMMA) * F.col("style")).alias("importance"))
+
+
+def verdicts(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, judge_pages: int = JUDGE_PAGES) -> DataFrame:
+    """(level, node, low): the nodes to remove, topmost ones only, and the listed nodes that are judged to be content."""
+    bar = threshold * F.least(F.lit(1.0), F.log(F.col("n").cast("double")) / math.log(judge_pages))
+    low = F.col("importance") < bar
+    rated = tree.withColumn("low", low)
+    gone = rated.where(low & (F.col("n") >= min_pages))
+    above = gone.select("level", F.col("node").alias("parent"))
+    return gone.join(above, ["level", "parent"], "left_anti").unionByName(rated.where(~low & F.col("likely") & (F.col("n") >= judge_pages))).select("level", "node", "low")
+
+
+def extract(spark: SparkSession, pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, judge_pages: int = JUDGE_PAGES, salts: int = SALTS, salt_pages: int = SALT_PAGES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    low = style_tree(pages).where((F.col("n") >= min_pages) & (F.col("importance") < threshold))
-    low = low.groupBy("host").agg(F.collect_list("node").alias("low"))
-    least = max(pages.count() / HOT_PARTS, salts * salt_pages)
-    large = pages.groupBy("host").count().where(F.col("count") > least).select("host", F.ceil(F.col("count") / salt_pages).cast("int").alias("more"))
-    large = F.broadcast(spark.createDataFrame(large.collect(), "host string, more int"))
-    salts_of = F.coalesce("more", F.lit(salts))
-    low = low.join(large, "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts_of - 1)))
-    dealt = pages.join(large, "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.xxhash64("html")), salts_of).cast("int"))
+    found = Table(spark, verdicts(style_tree(pages), threshold, min_pages, judge_pages)).df
+    lists = found.groupBy("level").agg(F.collect_list(F.when(F.col("low"), F.col("node"))).alias("low"), F.collect_list(F.when(~F.col("low"), F.col("node"))).alias("judged"))
+    levels = lambda df: df.withColumns({"host_key": F.xxhash64("host"), "family_key": F.xxhash64(family(F.col("host")))})
+    named = lambda side, key: side.withColumnsRenamed({"level": f"{key}_key", "low": f"{key}_low", "judged": f"{key}_judged"})
+    if found.count() * ROW_BYTES <= broadcast_bytes:
+        dealt = levels(pages).join(F.broadcast(named(lists, "host")), "host_key", "left").join(F.broadcast(named(lists, "family")), "family_key", "left")
+    else:
+        least = max(pages.count() / HOT_PARTS, salts * salt_pages)
+        dealt = levels(pages)
+        for key in ("host_key", "family_key"):
+            large = dealt.groupBy(key).count().where(F.col("count") > least).select(key, F.ceil(F.col("count") / salt_pages).cast("int").alias("more"))
+            large = F.broadcast(spark.createDataFrame(large.collect(), f"{key} long, more int"))  # under HOT_PARTS rows
+            salts_of = F.coalesce("more", F.lit(salts))
+            side = named(lists, key[:-4]).join(large, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts_of - 1))).drop("more")
+            salted = dealt.join(large, key, "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.xxhash64("html")), salts_of).cast("int")).drop("more")
+            dealt = salted.join(side, [key, "salt"], "left").drop("salt")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)
-            out = ["\n".join(blocks(parse(html or ""), frozenset(nodes or ()))) for html, nodes in rows]
+            out = []
+            for html, *nodes in zip(*[batch.column(c).to_pylist() for c in ("html", "host_low", "family_low", "host_judged", "family_judged")], strict=True):
+                a, b, c, d = (frozenset(x or ()) for x in nodes)
+                root = parse(html or "")
+                out.append("\n".join(blocks(root, a | b, c | d) or blocks(root)))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return dealt.join(low, ["host", "salt"], "left").select("page_id", "url", "html", "low").mapInArrow(texts, "page_id long, url string, text string, n_chars long")
+    return dealt.select("page_id", "url", "html", "host_low", "family_low", "host_judged", "family_judged").mapInArrow(texts, "page_id long, url string, text string, n_chars long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
