@@ -3,12 +3,15 @@
 Fingerprints: bit i is set if it is set in over half of the XXH64 hashes of the shingles. All later work
 is on distinct fingerprints with their smallest doc_id; copies never meet.
 
-Two fingerprints within ``radius`` 3 agree on at least two of five bit blocks, so comparing, for each of the ten
-pairs of blocks, the fingerprints that agree on both loses no link. Such a group is sorted by population count and
-laid out in tiles; a tile pair whose population counts differ by more than the radius is skipped, the others are
-compared whole by numpy exclusive-or and bit counts. A group over ``split`` fingerprints is dealt as tile
-pairs over tasks, so that no task holds it whole. From a tile pair only a spanning forest of its links is kept (as many
-edges as fingerprints at most), and components are found by star rounds over those edges.
+The plan is a grid of tiles. Fingerprints are grouped by a key prefix, sorted by population count within it and laid out in tiles;
+a tile pair whose population counts differ by more than the radius is skipped, every other pair of tiles is
+compared whole by numpy exclusive-or and bit counts. The key prefix is the grid's pruning, which keeps the comparisons from growing
+with the square of the corpus: two fingerprints within radius r agree on one of r + 1 bit blocks, so there is a
+grid for each block, over the first bits of the block, as many as make about ``GROUP`` fingerprints a prefix. Where one block
+is too short for that (from about 70 million distinct fingerprints on), the prefix is taken over each pair of r + 2 blocks, two of
+which agree. Neither loses a link. A prefix over ``split`` fingerprints is dealt as tile pairs over tasks, those out of reach by
+population count left out, so that no task holds it whole. From a tile pair only a spanning forest of its links is kept (as many
+edges as fingerprints at most), and components are found over those edges.
 
 Cases: null and empty texts have fingerprint zero and are linked like any other; a null doc_id row
 keeps its fingerprint and its component is the smallest known id; repeated rows come back as often as they are
@@ -30,11 +33,9 @@ from pyspark.sql import functions as F
 from . import near_copies
 from .common import WORD_RE, Table, components
 
-RADIUS, SHINGLE, TILE, SPLIT = 3, 3, 256, 4096
+RADIUS, SHINGLE, TILE, GROUP, SPLIT = 3, 3, 128, 1024, 4096
 #: A fingerprint with over this part of all rows joins by broadcast; there are HOT_PARTS of them at most.
 HOT_PARTS = 1000
-#: Five blocks of 64 bits; a link of radius 3 leaves two of them equal.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 _WORDS = re.compile(WORD_RE.encode())
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -71,25 +72,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within the radius: of a with itself (b None) or with b; both sorted by population count."""
+def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int = TILE) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Index pairs within the radius, of a with itself (b None) or with b, both sorted by population count; tile pairs compared and skipped."""
     same = b is None
     b = a if b is None else b
-    left, right = [], []
+    left, right, compared, skipped = [], [], 0, 0
     pa_, pb = np.bitwise_count(a).astype(int), np.bitwise_count(b).astype(int)
     for i in range(0, len(a), tile):
         x = a[i : i + tile]
         lo, hi = pa_[i], pa_[min(i + tile, len(a)) - 1]
         for j in range(i if same else 0, len(b), tile):
-            if pb[j] > hi + radius:
-                break
-            if pb[min(j + tile, len(b)) - 1] < lo - radius:
+            if pb[j] > hi + radius or pb[min(j + tile, len(b)) - 1] < lo - radius:
+                skipped += 1
                 continue
+            compared += 1
             u, v = np.nonzero(np.bitwise_count(x[:, None] ^ b[None, j : j + tile]) <= radius)
             left.append(u + i)
             right.append(v + j)
     u, v = (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
-    return (u[u < v], v[u < v]) if same else (u, v)
+    return (u[u < v], v[u < v], compared, skipped) if same else (u, v, compared, skipped)
 
 
 def forest(n: int, u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -111,14 +112,36 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that connect all within the radius; distinct has fp."""
+def bit_blocks(count: int) -> list[tuple[int, int]]:
+    """(first bit, size) of count blocks that make up the 64 bits."""
+    cuts = [64 * i // count for i in range(count + 1)]
+    return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+
+
+def prefixes(n: int, radius: int, group: int = GROUP) -> tuple[list[tuple[tuple[int, int], ...]], int]:
+    """The grids of n fingerprints: the blocks of each one's key, and how many bits of the key are its prefix."""
+    bits = max(0, (max(n, 1) - 1) // group).bit_length()
+    single = [(x,) for x in bit_blocks(radius + 1)]
+    if not bits:
+        return single[:1], 0  # all in one group
+    if bits <= min(size for ((_, size),) in single):
+        return single, bits
+    pairs = list(combinations(bit_blocks(radius + 2), 2))
+    return pairs, min(bits, *(sum(size for _, size in p) for p in pairs))
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, split: int = SPLIT, group: int = GROUP, tile: int = TILE, counters: tuple | None = None) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints that connect all within the radius; distinct has fp.
+
+    ``counters`` are two accumulators: tile pairs compared and tile pairs skipped.
+    """
+    grids, bits = prefixes(distinct.count(), radius, group)
     keys = []
-    for i, pair in enumerate(combinations(BLOCKS, 2)):
-        key = F.lit(i).cast("long")
-        for at, n in pair:
-            key = F.shiftleft(key, n).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1)))
-        keys.append(key)
+    for i, blocks in enumerate(grids):
+        key, size = F.lit(0).cast("long"), 0
+        for at, n in blocks:
+            key, size = F.shiftleft(key, n).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1))), size + n
+        keys.append(F.shiftrightunsigned(key, size - bits) * F.lit(len(grids)) + F.lit(i))
     grouped = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = grouped.groupBy("key").count().where("count > 1")
     grouped = grouped.join(sizes, "key")
@@ -140,10 +163,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> Data
         side = rows.column("side").to_numpy()
         parts = [np.unique(fp[side == s]) for s in (0, 1)]
         parts = [p[np.argsort(np.bitwise_count(p), kind="stable")] for p in parts]
-        u, v = tile_links(parts[0], parts[1] if len(parts[1]) else None, radius)
+        u, v, compared, skipped = tile_links(parts[0], parts[1] if len(parts[1]) else None, radius, tile)
+        if counters:
+            counters[0].add(compared)
+            counters[1].add(skipped)
         both = np.concatenate(parts).view(np.int64)
         if len(parts[1]):
-            v = v + len(parts[0])
+            v = v + len(parts[0])  # a second side comes after the first
         edges = forest(len(both), u, v)
         return pa.table({"a": pa.array([both[x] for x, _ in edges], pa.int64()), "b": pa.array([both[y] for _, y in edges], pa.int64())})
 
@@ -158,7 +184,7 @@ def cluster(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, hot_part
     ``hot_parts``: fewer than that many fingerprints, whatever the input, and broadcast.
     """
     held = Table(spark, fingerprints(docs))
-    distinct = held.df.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    distinct = Table(spark, held.df.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))).df
     found = components(spark, links(distinct, radius))
     roots = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "first", "root")
     least = roots.groupBy("root").agg(F.min("first").alias("component"))

@@ -187,20 +187,51 @@ def test_near_copies(spark, hot_parts):
     assert all(x["doc_id"] == min(ids[of[x["text"] or ""]], default=None) for x in kept)
 
 
-@pytest.mark.parametrize("split", [4096, 8])
-def test_links_are_whole(spark, split):
+@pytest.mark.parametrize("split, group, tile", [(4096, 1024, 128), (8, 1024, 128), (4096, 64, 8), (4096, 1, 128), (16, 4, 2), (4096, 10_000, 16)])
+def test_links_are_whole(spark, split, group, tile):
+    """Against brute force, over grids of one and of many groups and tiles; where groups have several tiles, tile pairs are skipped."""
     r = random.Random(7)
-    fps = [r.getrandbits(64) for _ in range(30)]
-    fps += [f ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for f in fps * 4]
-    fps += [fps[0] ^ (1 << b) for b in range(64)]
+    fps = [r.getrandbits(64) for _ in range(100)] + [r.getrandbits(64) & r.getrandbits(64) for _ in range(60)] + [r.getrandbits(64) | r.getrandbits(64) for _ in range(60)]
+    fps += [f ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for f in fps * 2]
+    fps += [fps[0] ^ (1 << b) for b in range(64)] + [0, 1, 3, (1 << 64) - 1]
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), split=split)
+    counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), split=split, group=group, tile=tile, counters=counters)
     comp = {x["node"]: x["root"] for x in common.components(spark, edges).collect()}
+    assert comp == {x["node"]: x["root"] for x in common.components(spark, edges, one_task=0).collect()}
+    root = list(range(len(fps)))
     for i, a in enumerate(fps):
         for j in range(i):
-            if (a ^ fps[j]).bit_count() <= 3:
-                assert comp[signed[i]] == comp[signed[j]]
+            if (a ^ fps[j]).bit_count() <= 3 and root[i] != root[j]:
+                root = [root[j] if x == root[i] else x for x in root]
+    pairs = {(root[i], comp.get(signed[i], signed[i])) for i in range(len(fps))}
+    assert len(pairs) == len(set(root)) == len({c for _, c in pairs})
+    assert counters[0].value > 0 and (counters[1].value > 0 or tile == 128 or split == 16)
+
+
+def test_prefixes_lose_no_link():
+    """For sizes that need single blocks and pairs of blocks: flipping any three bits leaves one key as it was."""
+    r = random.Random(1)
+    for n in (1, 2_000, 100_000, 60_000_000, 80_000_000, 10**9, 10**13):
+        grids, bits = simhash.prefixes(n, 3)
+
+        def keys(f, grids=grids, bits=bits):
+            out = []
+            for blocks in grids:
+                key, size = 0, 0
+                for at, k in blocks:
+                    key, size = key << k | (f >> at & ((1 << k) - 1)), size + k
+                out.append(key >> (size - bits))
+            return out
+
+        for _ in range(300):
+            f = r.getrandbits(64)
+            g = f
+            for b in r.sample(range(64), 3):
+                g ^= 1 << b
+            assert any(a == b for a, b in zip(keys(f), keys(g), strict=True))
+    assert len(simhash.prefixes(60_000_000, 3)[0]) == 4 and len(simhash.prefixes(80_000_000, 3)[0]) == 10
 
 
 def test_decontamination(spark):
