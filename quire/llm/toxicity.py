@@ -2,16 +2,16 @@
 
 A document is the set of its lower-cased words and of their first 3, 4 and 5 letters (word families),
 hashed into ``2**BITS`` buckets. A logistic regression with an L1 penalty is fitted on the driver
-on at most ``sample`` labelled rows, those with the smallest hash of their id (the documented bound;
-only hashed features come to the driver). Counterfactual regularisation: in every labelled document
+on at most ``sample`` labelled documents, those with the smallest hash of their id (the documented bound; an id with
+several texts or labels counts once, with the smallest of them; only hashed features come to the driver). Counterfactual regularisation: in every labelled document
 that names a group, the identity term is swapped for every other one, and the squared change of the
 score is penalised, ``fairness`` times; one swap of every pair is always assumed, so that terms the
 sample lacks are held to the others as well. Naming a group thus moves no score.
 
 Scoring reads each text once, where it lies; the model is a dictionary of the non-zero weights.
 
-Cases: null and empty texts get the score of no words; ties and repeated rows score alike; without
-labelled rows every score is 0; an empty table gives no rows; extra columns are ignored unless kept.
+Cases: null and empty texts get the score of no words; very long texts are read whole; ties and repeated rows score alike; without
+labelled rows every score is 0; an empty table gives no rows; extra columns are ignored unless kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -59,8 +59,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             words = tokens(text)
             rows.append(np.unique(np.array([b for w in words for b in _buckets(w, memo)], np.int32)).tobytes())
-            named.append([terms[w] for w in words if w in terms])
-        yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(rows, pa.binary()), pa.array(named, pa.list_(pa.int32()))], names=["toxic", "features", "named"])
+            named.append(sorted(terms[w] for w in words if w in terms))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(rows, pa.binary()), pa.array(named, pa.list_(pa.int32()))], names=["doc_id", "toxic", "features", "named"])
 
 
 def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: float = 1.0, steps: int = 300) -> tuple[float, dict[int, float]]:
@@ -133,11 +133,18 @@ def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: fl
     return float(bias * scale), {int(use[i]): float(w[i] * scale) for i in np.flatnonzero(w)}
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id and r (toxic, features, named): at most ``sample`` rows, one an id, however often ids repeat in either table."""
+    known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic")
+    return found.mapInArrow(_features, "doc_id long, toxic int, features binary, named array<int>").groupBy("doc_id").agg(F.min(F.struct("toxic", "features", "named")).alias("r"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> tuple[float, dict[int, float]]:
-    """docs (doc_id, text), labels (doc_id, toxic): a model fitted on at most ``sample`` rows."""
-    chosen = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").mapInArrow(_features, "toxic int, features binary, named array<int>")
-    return fit([(r[0], bytes(r[1]), list(r[2])) for r in rows.collect()], **options)
+    """docs (doc_id, text), labels (doc_id, toxic): a model fitted on at most ``sample`` documents."""
+    rows = sorted(training_rows(docs, labels, sample).collect(), key=lambda x: x["doc_id"])
+    return fit([(x["r"]["toxic"], bytes(x["r"]["features"]), list(x["r"]["named"])) for x in rows], **options)
 
 
 def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
@@ -179,7 +186,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: documents whose score is under the threshold."""
+    """The pipeline's stage: documents whose score is under the threshold, with their own columns.
+
+    Rows are scored by their texts alone: null and empty texts and rows without an id stay, repeated rows stay or go
+    together, of rows that share an id each is judged by its own text; an empty table gives no rows.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
     model = train(docs, labels)
     return score(docs, model, keep=tuple(docs.columns), name="_quire_score").where(F.col("_quire_score") < THRESHOLD).select(*docs.columns)

@@ -378,7 +378,7 @@ def test_quality_counts(spark, docs, rows):
 def test_training_reads_whole_documents():
     """Lines after the first segment count: only they tell the labels apart here."""
     same = [[0]] * quality_rules.SEGMENT
-    rows = [(i % 2, same + [[0, 1] if i % 2 else [0, 2]] * 300) for i in range(20)]
+    rows = [([1 - i % 2] * (quality_rules.SEGMENT + 300), same + [[0, 1] if i % 2 else [0, 2]] * 300) for i in range(20)]
     w, _ = quality_rules.fit(rows)
     assert w[2] - w[1] > 1
 
