@@ -1,9 +1,13 @@
 """Packing by lexical retrieval.
 
-A document is cut into whole windows of ``window`` tokens, sequences of their own, and a rest. Rests are dealt to
-shards by a hash of the doc_id and the rest, about ``shard_docs`` each. A shard builds a BM25 inverted index over
-the token ids of its rests (document frequencies and mean length over all rests of the corpus: a vector of the
-vocabulary's size, the only thing that is broadcast). A seed document's unused neighbours, best first,
+A document is cut into whole windows of ``window`` tokens, sequences of their own, and a rest. Rests are sorted by a lexical
+signature, so that rests which share rare terms lie next to one another, and the sorted row is cut into shards of about
+``shard_docs``: first by range over tasks, then in runs within a task. The signature is three weighted min-hashes of a rest's
+terms (a term's chance to be the minimum grows with the square of its inverse document frequency; terms of one rest only,
+or of over ``COMMON_SHARE`` of all, are left out), so two rests agree on it the more likely the more rare terms they share, however large the
+corpus is. A shard builds a BM25 inverted index over
+the token ids of its rests (document frequencies and mean length over all rests of the corpus: vectors of the
+vocabulary's size, the only things that are broadcast). A seed document's unused neighbours, best first,
 fill its window; the last one is cut at the window's end, on a grid of ``grid`` tokens, and its remainder
 seeds the next window. Only the last window of a shard can be short by more than the grid.
 
@@ -11,8 +15,8 @@ A text is tokenised once. What travels is small: term counts and the CRC-32 of t
 from which the checksum of any cut follows (the CRC of a suffix is the whole's exclusive-or the shifted prefix's).
 
 Cases: null and empty texts are one end token; very long texts are windows and one rest; repeated rows are
-packed each on its own, also under one doc_id; ties in score go to the earlier row of the shard; an empty table gives
-no rows; extra columns are ignored.
+packed each on its own, also under one doc_id or none (the number of a row in the written table is its last sort key, so equal rows
+are spread too); ties in score go to the earlier row of the shard; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Table
+from .common import Table, mix, slots
 
 WINDOW, GRID, SHARD_DOCS, END_ID = 2048, 16, 1024, 1
 K1, B = 1.2, 0.75
+#: Terms of more rests than this share say little of a rest's subject.
+COMMON_SHARE, SIGNATURE = 0.02, 3
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -216,42 +223,91 @@ def fill(lengths: np.ndarray, scores, window: int, grid: int) -> list[list[tuple
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def term_orders(df: np.ndarray, n: int) -> np.ndarray:
+    """For each of SIGNATURE min-hashes, each term's value: the smallest of a rest's terms is chosen; infinite where a term can't be."""
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    useful = (df >= 2) & (df <= max(2, COMMON_SHARE * n))
+    out = np.full((SIGNATURE, len(df)), np.inf)
+    for i in range(SIGNATURE):
+        h = mix(np.arange(len(df), dtype=np.uint64) + np.uint64((i + 1) << 32))
+        u = ((h >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+        out[i, useful] = -np.log(u[useful]) / idf[useful] ** 2
+    return out
+
+
+def signature(terms: list[bytes], orders: np.ndarray) -> np.ndarray:
+    """SIGNATURE chosen term ids a rest, -1 where it has no useful term."""
+    out = np.full((len(terms), SIGNATURE), -1, np.int32)
+    for i, data in enumerate(terms):
+        t = np.frombuffer(data, "<u4")
+        if len(t):
+            values = orders[:, t]
+            best = values.argmin(1)
+            out[i] = np.where(np.isfinite(values.min(1)), t[best], -1)
+    return out
+
+
 def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, window: int = WINDOW, grid: int = GRID, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """One row per piece; sequences of at most window tokens."""
     held = Table(spark, tokenise(docs, path or default_tokenizer(), window, grid))
     df, n_rests, mean = frequencies(held.df, window)
-    n_rows = held.df.count()
-    shards = max(1, -(-n_rows // shard_docs))
-    shared = spark.sparkContext.broadcast(df)  # the vocabulary's size
-
-    def run(rows: pa.Table) -> pa.Table:
-        shard = rows.column("shard")[0].as_py()
-        data = rows.drop_columns("shard").to_pylist()
-        data.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["tokens"], r["prefix"]))
+    shared = spark.sparkContext.broadcast((df, term_orders(df, n_rests)))  # the vocabulary's size
+    keys = [f"_t{i}" for i in range(SIGNATURE)]
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = signature(batch.column("terms").to_pylist(), shared.value[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(s[:, i]) for i in range(SIGNATURE)]], names=[*batch.schema.names, *keys])
+
+    def shard(data: list[dict], number: int) -> list[tuple]:
+        """The pieces of the rests of one shard; sequences are numbered on from number."""
         out: list[tuple] = []
-        number = shard << 32
-        for r in data:
-            for i, crc in enumerate(r["whole"]):
-                out.append((r["doc_id"], i * window, window, crc, r["tokens"], number, 0))
-                number += 1
-        data = [r for r in data if r["tokens"] % window]
-        if data:
-            lengths = np.array([r["tokens"] % window for r in data])
-            index = Index([np.frombuffer(r["terms"], "<u4") for r in data], [np.frombuffer(r["counts"], "<u2") for r in data], lengths, shared.value, n_rests, mean)
-            prefix = [[0, *np.frombuffer(r["prefix"], "<u4").tolist()] for r in data]
-            for row in fill(lengths, index.scores, window, grid):
-                offset = 0
-                for d, start, length in row:
-                    r, whole = data[d], lengths[d]
-                    end = prefix[d][-(-(start + length) // grid)]
-                    crc = end ^ crc_shift(prefix[d][start // grid], 4 * length) if start else end
-                    out.append((r["doc_id"], r["tokens"] - int(whole) + start, length, crc, r["tokens"], number, offset))
-                    offset += length
-                number += 1
-        return pa.table({n.split()[0]: pa.array(c, pa.int64()) for n, c in zip(PIECES.split(", "), zip(*out, strict=True), strict=True)})
-
-    dealt = held.df.withColumn("shard", F.pmod(F.xxhash64("doc_id", "tokens", "prefix"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(run, PIECES)
+        lengths = np.array([r["tokens"] % window for r in data])
+        index = Index([np.frombuffer(r["terms"], "<u4") for r in data], [np.frombuffer(r["counts"], "<u2") for r in data], lengths, shared.value[0], n_rests, mean)
+        prefix = [[0, *np.frombuffer(r["prefix"], "<u4").tolist()] for r in data]
+        for row in fill(lengths, index.scores, window, grid):
+            offset = 0
+            for d, start, length in row:
+                r, whole = data[d], lengths[d]
+                end = prefix[d][-(-(start + length) // grid)]
+                crc = end ^ crc_shift(prefix[d][start // grid], 4 * length) if start else end
+                out.append((r["doc_id"], r["tokens"] - int(whole) + start, length, crc, r["tokens"], number, offset))
+                offset += length
+            number += 1
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, waiting = TaskContext.get().partitionId() << 40, []
+        names, kinds = [n.split()[0] for n in PIECES.split(", ")], [pa.int64()] * 7
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                for i, crc in enumerate(r["whole"]):
+                    out.append((r["doc_id"], i * window, window, crc, r["tokens"], number, 0))
+                    number += 1
+                if r["tokens"] % window:
+                    waiting.append(r)
+            if out:
+                yield batch_of(out)
+            while len(waiting) >= 2 * shard_docs:
+                out = shard(waiting[:shard_docs], number)
+                waiting, number = waiting[shard_docs:], out[-1][5] + 1
+                yield batch_of(out)
+        cuts = [len(waiting) * i // 2 for i in range(3)] if len(waiting) > 1.5 * shard_docs else [0, len(waiting)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if hi > lo:
+                out = shard(waiting[lo:hi], number)
+                number = out[-1][5] + 1
+                yield batch_of(out)
+
+    n_shards, some = -(-held.df.count() // shard_docs), 4 * slots(spark)
+    tasks = max(1, n_shards if n_shards <= some else max(some, n_shards // 8))
+    signed = held.df.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(sign, f"{TOKEN_SCHEMA}, _row long, {', '.join(f'{k} int' for k in keys)}")
+    return signed.repartitionByRange(tasks, *keys, "_row").sortWithinPartitions(*keys, "_row").drop(*keys, "_row").mapInArrow(run, PIECES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,5 +315,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: the pieces of all documents that are left."""
+    """The pipeline's last stage: the pieces of all rows that are left, each row packed on its own; its cases are ``pack``'s."""
     return pack(spark, docs)
