@@ -61,14 +61,9 @@ FROM d LEFT JOIN cut USING (doc_id)
 _OP9 = r"""
 WITH docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 items AS (SELECT item_id, w, len(w) AS n FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
-shapes AS (SELECT 0 AS tag, 7 AS size, [1, 2, 3, 5, 6, 7] AS kept, 0 AS only_n
-           UNION ALL SELECT 1, 11, [1, 2, 4, 9, 10, 11], 0
-           UNION ALL SELECT DISTINCT 100 + n, n, range(1, n + 1), n FROM items WHERE n < 7),
-seeds AS (SELECT item_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
-          FROM (SELECT *, unnest(range(n - size + 1)) AS i FROM items JOIN shapes ON n >= size AND only_n IN (0, n))),
-probes AS (SELECT doc_id, i, tag, array_to_string(list_transform(kept, lambda k: w[i + k]), ' ') AS seed
-           FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i FROM docs JOIN shapes ON len(w) >= size)),
-hits AS (SELECT DISTINCT doc_id, item_id, probes.i - seeds.i AS diagonal FROM probes JOIN seeds USING (tag, seed)),
+item_words AS (SELECT item_id, n, unnest(w) AS word, unnest(range(n)) AS k FROM items),
+doc_words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs),
+hits AS (SELECT doc_id, item_id, i - k AS diagonal FROM doc_words JOIN item_words USING (word) GROUP BY doc_id, item_id, i - k, n HAVING 5 * count(*) >= 4 * least(n, 13)),
 laid AS (SELECT doc_id, item_id, diagonal, least(n, 13) AS need, doc_start, j, dw[j + 1] = iw[j - diagonal + 1] AS same
          FROM (SELECT *, unnest(range(doc_start, least(diagonal + n, len(dw)))) AS j
                FROM (SELECT doc_id, item_id, diagonal, n, greatest(diagonal, 0) AS doc_start, docs.w AS dw, items.w AS iw FROM hits JOIN items USING (item_id) JOIN docs USING (doc_id)))),
