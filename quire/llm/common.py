@@ -81,6 +81,14 @@ def slots(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a column, from one pre-aggregated pass."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Table
+from .common import Table, fresh
 
 #: Fixed masks: places kept (1) and ignored (0). Whatever places MIN_SHARE lets be substituted in a stretch of 13 to 25
 #: words, one of the masks fits between them somewhere (searched exhaustively; tests repeat it up to 20). A longer stretch is a row of
@@ -161,6 +161,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, broadcast_bytes: in
     Decided by text: every row of a contaminated text goes, also without an id; a clean text under the same id stays.
     Null and empty texts stay; repeated rows stay or go together; an empty table gives no rows.
     """
-    bad = Table(spark, decontaminate_texts(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), broadcast_bytes=broadcast_bytes).select(F.col("text_key").alias("_quire_key")).distinct()).df
+    mine = fresh(docs, "_quire_key")
+    bad = decontaminate_texts(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), broadcast_bytes=broadcast_bytes)
+    bad = Table(spark, bad.select(F.col("text_key").alias(mine)).distinct()).df
     side = F.broadcast(bad) if bad.count() * ROW_BYTES <= broadcast_bytes else bad
-    return docs.withColumn("_quire_named", key()).join(side, F.col("_quire_named") == F.col("_quire_key"), "left_anti").select(*docs.columns)
+    return docs.withColumn(mine, key()).join(side, mine, "left_anti").select(*docs.columns)

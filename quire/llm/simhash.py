@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import near_copies
-from .common import WORD_RE, Table, components
+from .common import WORD_RE, Table, components, fresh
 
 RADIUS, SHINGLE, TILE, GROUP, SPLIT = 3, 3, 128, 1024, 4096
 #: A fingerprint with over this part of all rows joins by broadcast; there are HOT_PARTS of them at most.
@@ -211,8 +211,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     nodes = near_copies.cluster(spark, docs)
     order = F.struct(F.col("first").isNull().alias("none"), "first", "node")
-    keep = nodes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.node").alias("_quire_node"), F.col("k.first").alias("_quire_first"))
+    node, first = fresh(docs, "_quire_node"), fresh(docs, "_quire_first")
+    keep = nodes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.node").alias(node), F.col("k.first").alias(first))
     keep = Table(spark, keep).df
-    named = docs.withColumn("_quire_text", near_copies.name())
-    same = (named["_quire_text"] == keep["_quire_node"]) & named["doc_id"].cast("long").eqNullSafe(keep["_quire_first"])
-    return named.join(keep, same, "left_semi").dropDuplicates(["_quire_text"]).select(*docs.columns)
+    named = docs.withColumn(fresh(docs, "_quire_text"), near_copies.name())
+    mine = named.columns[-1]
+    same = (named[mine] == keep[node]) & named["doc_id"].cast("long").eqNullSafe(keep[first])
+    return named.join(keep, same, "left_semi").dropDuplicates([mine]).select(*docs.columns)

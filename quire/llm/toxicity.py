@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import fresh
+
 BITS, THRESHOLD, SAMPLE = 20, 0.7, 10_000
 
 #: Group names that are swapped for one another (English, French, German, Spanish).
@@ -168,10 +170,11 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[st
                         hit.update(v)
                 out.append(bias + sum(weights[b] for b in sorted(hit)))
             s = 1 / (1 + np.exp(-np.clip(np.array(out, float), -40, 40)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], names=[*batch.schema.names[:-1], name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], names=out_schema.names)
 
-    held = docs.select(*keep, F.col("text").alias("_quire_text"))
-    return held.mapInArrow(run, StructType([*held.schema.fields[:-1], StructField(name, DoubleType())]))
+    held = docs.select(*keep, F.col("text").alias(fresh(docs, "_quire_text")))
+    out_schema = StructType([*held.schema.fields[:-1], StructField(name, DoubleType())])
+    return held.mapInArrow(run, out_schema)
 
 
 def held_out(doc_id) -> F.Column:
@@ -193,4 +196,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
     model = train(docs, labels)
-    return score(docs, model, keep=tuple(docs.columns), name="_quire_score").where(F.col("_quire_score") < THRESHOLD).select(*docs.columns)
+    name = fresh(docs, "_quire_score")
+    return score(docs, model, keep=tuple(docs.columns), name=name).where(F.col(name) < THRESHOLD).select(*docs.columns)

@@ -1,0 +1,291 @@
+"""Pipeline stages and operators on rows that share ids, have none, repeat or clash, against plain versions."""
+
+import bisect
+import collections
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from quire.llm import decontamination, importance, near_copies, packing, sharding, simhash, substring_dedup, toxicity
+from quire.llm.common import Table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EXTRA = "_keep_0 chunk bucket node first text_key _quire_key _quire_text _quire_score _quire_node seed at h n_removed kept_text salt low n tokens _row".split()
+SF = "/root/testdata/sf0.001"
+
+
+def make(spark, rows):
+    """(doc_id, text), the table's other columns, a mark of the row, and columns whose names the operators use inside."""
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, mark long").repartition(3)
+    more = [F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars")]
+    return df.select("*", *more, *[F.lit(7).alias(c) for c in EXTRA])
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(11)
+    w = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
+    x, y, passage = w(80), w(80), w(60)
+    out = [(1, x), (1, y), (2, x), (3, y), (None, x), (None, y), (None, None), (None, None), (None, ""), (4, None), (4, ""), (5, " \t"), (6, w(30))]
+    out += [(7, w(40) + " " + passage), (None, passage + " " + w(40)), (7, w(20) + "\n" + passage + " " + w(9)), (8, w(40_000)), (9, "a" * 100_000), (6, w(30)), (10, w(70)), (10, w(70))]
+    return out
+
+
+@pytest.fixture(scope="module")
+def table(spark, rows):
+    return make(spark, rows).cache()
+
+
+def marks(df):
+    out = {x["mark"]: x for x in df.collect()}
+    assert len(out) == df.count()
+    return out
+
+
+def cut(texts):
+    """The words that stay of each text."""
+    words = [WORD.findall(t or "") for t in texts]
+    seen = collections.Counter(tuple(w[j : j + 35]) for w in words for j in range(len(w) - 34))
+    out = []
+    for w in words:
+        gone = [False] * len(w)
+        for j in range(len(w) - 34):
+            if seen[tuple(w[j : j + 35])] > 1:
+                gone[j : j + 35] = [True] * 35
+        out.append(None if not any(gone) else " ".join(x for x, g in zip(w, gone, strict=True) if not g))
+    return out
+
+
+def test_substring_stage(spark, table, rows):
+    out = substring_dedup.stage(spark, table, SF)
+    assert out.columns == table.columns and out.schema["n_chars"].dataType == table.schema["n_chars"].dataType
+    got = marks(out)
+    for k, ((i, t), kept) in enumerate(zip(rows, cut([t for _, t in rows]), strict=True)):
+        want = t if kept is None else kept
+        assert (got[k]["doc_id"], got[k]["text"]) == (i, want), k
+        assert got[k]["n_chars"] == (None if want is None else len(want)) and got[k]["node"] == 7
+
+
+def test_simhash_stage(spark, table, rows):
+    """One row stays of each text and its near copies, with its own text; nothing unique is lost."""
+    got = list(simhash.stage(spark, table, SF).collect())
+    sets = lambda t: {tuple(w[j : j + 5]) for w in [WORD.findall((t or "").lower())] for j in range(max(1, len(w) - 4)) if w}
+    groups: list[set] = []
+    for _, t in rows:
+        s = sets(t)
+        if not any(5 * len(s & g) >= 4 * len(s | g) for g in groups):
+            groups.append(s)
+    assert len(got) == len(groups)
+    for x in got:
+        assert (x["doc_id"], x["text"]) == rows[x["mark"]]
+        mine = [i for i, t in rows if i is not None and sets(t) == sets(x["text"])]
+        assert x["doc_id"] == min(mine, default=None)
+    assert {frozenset(sets(x["text"])) for x in got} == {frozenset(g) for g in groups}
+
+
+def test_decontamination_by_row(spark, table, rows):
+    bench = [(1, " ".join(WORD.findall(rows[1][1])[10:40])), (None, " ".join(WORD.findall(rows[8 + 8][1])[20_000:20_020])), (3, None), (3, ""), (4, "!!")]
+    bench = spark.createDataFrame([(*b, "x") for b in bench], "item_id long, text string, seed string")
+    want = {(1, 1), (3, 1), (None, 1), (8, None)}
+    for limit in (decontamination.BROADCAST_BYTES, 0):
+        out = decontamination.decontaminate(spark, table, bench, broadcast_bytes=limit)
+        assert {(x["doc_id"], x["item_id"]) for x in out.collect()} == want and out.count() == len(want)
+    folder = Table(spark, bench).path.rsplit("/", 1)
+    bench.write.mode("overwrite").parquet(f"{folder[0]}/stage-test/benchmark.parquet")
+    for limit in (decontamination.BROADCAST_BYTES, 0):
+        kept = decontamination.stage(spark, table, f"{folder[0]}/stage-test", broadcast_bytes=limit)
+        assert kept.columns == table.columns
+        assert set(marks(kept)) == {k for k, (_, t) in enumerate(rows) if t not in (rows[1][1], rows[16][1])}
+
+
+def test_recall_on_random_substitutions(spark):
+    """Passages with any share of substitutions up to a fifth, laid anywhere: all found, and none beyond it that is not due."""
+    r = random.Random(2)
+    items = {k: [f"i{k}x{j}" for j in range(r.randrange(13, 60))] for k in range(25)}
+    texts, want = [], set()
+    for n in range(600):
+        k = r.randrange(25)
+        words = [f"s{j}" if r.random() < r.choice((0.05, 0.15, 0.25)) else x for j, x in enumerate(items[k])]
+        same = [a == b for a, b in zip(words, items[k], strict=True)]
+        if any(sum(same[i:j]) >= 0.8 * (j - i) for i in range(len(same)) for j in range(i + 13, len(same) + 1)):
+            want.add((n, k))
+        texts.append((n, " ".join([f"f{r.randrange(99)}" for _ in range(r.randrange(9))] + words + ["end"])))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in items.items()], "item_id long, text string")
+    out = decontamination.decontaminate(spark, spark.createDataFrame(texts, "doc_id long, text string"), bench)
+    assert {(x["doc_id"], x["item_id"]) for x in out.collect()} == want and 100 < len(want) < 600
+
+
+def test_toxicity_stage_and_score(spark, table, rows):
+    """The score of a fixed model, written out; the stage keeps rows by their own texts."""
+    memo = {}
+    bucket = lambda w: set(toxicity._buckets(w, memo))
+    word = WORD.findall(rows[1][1])[3]
+    model = (-3.0, {b: 2.5 for b in bucket(word)} | {b: -0.5 for b in bucket("christian")})
+    got = {x["mark"]: x["score"] for x in toxicity.score(table, model, keep=("mark",)).collect()}
+    for k, (_, t) in enumerate(rows):
+        hit = set().union(*[bucket(w) for w in toxicity.tokens(t)]) if t else set()
+        assert got[k] == pytest.approx(1 / (1 + math.exp(3.0 - sum(model[1][b] for b in hit if b in model[1]))))
+    kept = toxicity.stage(spark, table, SF)
+    assert kept.columns == table.columns and set(marks(kept)) <= set(range(len(rows)))
+    assert all((x["doc_id"], x["text"]) == rows[k] for k, x in marks(kept).items())
+
+
+def test_samples_are_bounded(spark):
+    """One labelled id in very many rows, or labels that repeat, give one training row."""
+    from quire.llm import quality_rules
+
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (2, 0, 1)] * 3, "doc_id long, toxic int, quality int")
+    for sample in (1, 5):
+        assert toxicity.training_rows(docs, labels, sample).count() == min(sample, 2)
+        assert quality_rules.training_rows(docs, labels, sample).count() == min(sample, 2)
+
+
+def test_weak_labels_change_within_documents():
+    from quire.llm import quality_rules as Q
+
+    feats = lambda t: Q.lines_of(t)
+    rows = []
+    for q, text in ((1, "One good line of text that is whole\nMenu Home\nOne good line of text that is whole"), (1, "Another good line\nMenu Home"), (1, "Third\nMenu Home"), (0, "BUY!! NOW!! CHEAP!! PILLS!!\nBut here are eight plain words in one line")):
+        f, c, _ = feats(text)
+        rows.append((q, f, [hash(x) for x in text.split("\n")], c))
+    assert Q.weak_labels(rows) == [[0, 1, 1], [0, 1], [0, 1], [1, 0]]
+
+
+def test_packing_stage(spark, table, rows):
+    tokens = packing.Tokens(packing.default_tokenizer())
+    want = collections.Counter((i, len(tokens.ids(t or "")) + 1) for i, t in rows)
+    got = collections.Counter()
+    for x in packing.stage(spark, table, SF).collect():
+        got[x["doc_id"], x["doc_tokens"]] += x["length"]
+    assert got == {k: n * k[1] for k, n in want.items()}
+
+
+def test_resample_by_hand(spark, rows):
+    """Models, weights and keys written out with plain counters; the k largest keys are the sample."""
+    texts = [(i, t) for i, t in enumerate(dict.fromkeys(t or "" for _, t in rows))] + [(50, "same words"), (51, "same words"), (50, "same words")]
+    good = {1, 3, 50}
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i in good)) for i, _ in texts] * 2, "doc_id long, quality int")
+    buckets = 300
+    grams = [np.bincount(importance.ngrams([t.encode()], buckets)[0], minlength=buckets) for _, t in texts]
+    for (_, t), g in zip(texts, grams, strict=True):
+        n = len(WORD.findall(t))
+        assert g.sum() == n + max(0, n - 1)
+    raw = 1 + sum(grams)
+    target = 1 + sum(g for (i, _), g in zip(texts, grams, strict=True) if i in good)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    assert np.allclose(importance.models(docs.withColumn("target", F.col("doc_id").isin(*good)), buckets), ratio)
+    draw = {x["doc_id"]: x["u"] for x in docs.select("doc_id", ((F.shiftrightunsigned(F.xxhash64(F.lit(importance.SEED), "doc_id"), 11) + F.lit(0.5)) / float(1 << 53)).alias("u")).collect()}
+    key = lambda i, g: float(g @ ratio) - math.log(-math.log(draw[i]))
+    keys = sorted(((key(i, g), i) for (i, _), g in zip(texts, grams, strict=True)), reverse=True)
+    for share in (0.3, 0.8):
+        out = importance.resample(spark, docs, labels, keep_share=share, buckets=buckets).collect()
+        k = math.ceil(share * len(texts))
+        least = keys[k - 1]
+        assert sorted((round(x["key"], 6), x["doc_id"]) for x in out) == sorted((round(v, 6), i) for v, i in keys if (v, i) >= (least[0] - 1e-9, least[1]))
+
+
+def plain_ring(ids, shards, replicas, slack, places):
+    """The ring walked row by row; returns the number of rows of each arc that go to each shard."""
+    nodes = sharding.ring_nodes(shards, replicas)
+    limit = sharding.bounds(len(ids), shards, slack)
+    at = [p for p, _ in nodes]
+    waiting = collections.Counter(bisect.bisect_left(at, places[i]) % len(nodes) for i in ids)
+    used, out, step = [0] * shards, collections.Counter(), 0
+    while waiting:
+        left = collections.Counter()
+        for arc in sorted(waiting):
+            shard = nodes[(arc + step) % len(nodes)][1]
+            for _ in range(waiting[arc]):
+                if used[shard] < limit[shard]:
+                    used[shard] += 1
+                    out[arc, shard] += 1
+                else:
+                    left[arc] += 1
+        waiting, step = left, step + 1
+    return out, at
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.3])
+def test_ring_against_a_plain_walk(spark, slack):
+    ids = [None] * 400 + [7] * 300 + list(range(500)) + [None, 7]
+    df = spark.createDataFrame([(i, k % 3 if i is None else 0) for k, i in enumerate(ids)], "doc_id long, x int").repartition(5)
+    out = sharding.shard(spark, df, shards=9, replicas=8, slack=slack, cell_rows=50, keep=("x",)).collect()
+    place = {x["doc_id"]: x["p"] for x in df.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - sharding.RING_BITS).cast("int").alias("p")).distinct().collect()}
+    want, at = plain_ring(ids, 9, 8, slack, place)
+    n_nodes = len(at)
+    got = collections.Counter((bisect.bisect_left(at, place[x["doc_id"]]) % n_nodes, x["shard"]) for x in out)
+    assert got == want
+    assert collections.Counter((x["doc_id"], x["x"]) for x in out) == collections.Counter((i, k % 3 if i is None else 0) for k, i in enumerate(ids))
+    slots = collections.defaultdict(list)
+    for x in out:
+        slots[x["shard"]].append(x["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_stages_on_empty_input(spark, table):
+    none = table.where("mark < 0")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, none, SF)
+        assert out.count() == 0 and out.columns == table.columns
+    assert corpus_pipeline.STAGES[-1][1](spark, none, SF).count() == 0
+
+
+def test_pipeline_equals_its_parts(spark):
+    """run() against its stages' plain versions, one after the other, on a small table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bad = {x["doc_id"] for x in toxicity.query(spark, SF).where("predicted = 1").collect()}
+    left = {x["doc_id"]: x["text"] for x in docs.collect() if x["doc_id"] not in bad}
+    sets = {i: {tuple(w[j : j + 5]) for w in [WORD.findall("".join(c.lower() if c.isascii() else c for c in t))] for j in range(max(1, len(w) - 4))} for i, t in left.items()}
+    ids = sorted(left)
+    root = {i: i for i in ids}
+    for a in ids:
+        for b in ids:
+            if a < b and root[a] != root[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root = {i: min(root[a], root[b]) if x in (root[a], root[b]) else x for i, x in root.items()}
+    left = {i: left[i] for i in ids if root[i] == i}
+    kept = cut(list(left.values()))
+    left = {i: t if k is None else k for (i, t), k in zip(left.items(), kept, strict=True)}
+    bench = [(x["item_id"], re.findall(r"[^\W_]+", x["text"].lower())) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+
+    def contaminated(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        where = collections.defaultdict(list)
+        for k, x in enumerate(w):
+            where[x].append(k)
+        for _, item in bench:
+            need = min(13, len(item))
+            for d, n in collections.Counter(k - j for j, x in enumerate(item) for k in where[x]).items():
+                if 5 * n < 4 * need:
+                    continue
+                same = [w[j + d] == x for j, x in enumerate(item) if 0 <= j + d < len(w)]
+                if any(5 * sum(same[i:j]) >= 4 * (j - i) for i in range(len(same)) for j in range(i + need, len(same) + 1)):
+                    return True
+        return False
+
+    left = {i: t for i, t in left.items() if not contaminated(t)}
+    tokens = packing.Tokens(packing.default_tokenizer())
+    want = {i: (len(x), zlib.crc32(x.astype("<u4").tobytes())) for i, t in left.items() for x in [np.append(tokens.ids(t), np.uint32(1))]}
+    pieces = collections.defaultdict(list)
+    for p in corpus_pipeline.run(spark, SF).collect():
+        pieces[p["doc_id"]].append((p["start"], p["length"], p["doc_tokens"]))
+        if p["length"] == p["doc_tokens"]:
+            assert want[p["doc_id"]] == (p["length"], p["ids_crc32"])
+    assert set(pieces) == set(want)
+    for i, parts in pieces.items():
+        parts.sort()
+        assert [s for s, *_ in parts] == np.cumsum([0, *[n for _, n, _ in parts]])[:-1].tolist() and sum(n for _, n, _ in parts) == want[i][0] == parts[0][2]
+
+
+def test_long_texts_in_near_copies(spark):
+    base = [f"w{k}" for k in range(30_000)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:-100])), (3, " ".join(base[::-1]))]
+    found = {x["first"]: x["component"] for x in near_copies.cluster(spark, make(spark, rows)).collect()}
+    assert found[1] == found[2] != found[3]
