@@ -12,8 +12,10 @@ SEGMENT = r"(?s)<([0-9a-fA-F-]{36})>\s*(.*?)\s*</\1>"
 API_ERROR = "[OCR FAILED: API Error - %s]"
 NO_CONTENT = "[OCR FAILED: Model did not return content for this ID]"
 SKIPPED = "[Image skipped: Low quality/no text detected]"
+NO_MEANING = "[SKIPPED: No meaningful content detected]"
+UNNAMED, NOT_A_NUMBER = r"(?U)Unnamed:\s*\d+", r"(?U)\bNaN\b"
 EXTENSIONS = {".xlsx": "excel", ".xls": "excel", ".pdf": "pdf", ".docx": "docx", ".txt": "text", ".md": "text"}
-IMAGE_EXTENSIONS = (".png", ".jpg", ".jpeg", ".gif", ".bmp", ".tiff", ".webp", ".svg")
+IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".gif", ".webp", ".bmp", ".tiff", ".tif")
 
 
 def collapse(t: Column) -> Column:
@@ -36,7 +38,7 @@ def spans_text(lines: Column) -> Column:
 
 def clean_text(t: Column) -> Column:
     """Without the marks that a spreadsheet's empty headers and cells leave."""
-    return F.regexp_replace(F.regexp_replace(t, r"(?U)Unnamed:\s*\d+", ""), r"(?U)\bNaN\b", "")
+    return F.regexp_replace(F.regexp_replace(t, UNNAMED, ""), NOT_A_NUMBER, "")
 
 
 def split_sheets(t: Column) -> Column:
@@ -52,6 +54,19 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(file_name(path), r"^.+(\.[^.]+)$", 1))
 
 
+def stem(path: Column) -> Column:
+    """The file's name without its last suffix."""
+    return F.regexp_replace(file_name(path), r"(?<=.)\.[^.]+$", "")
+
+
+def folder(path: Column) -> Column:
+    return F.regexp_replace(path, r"/?[^/]*$", "")
+
+
+def preview(t: Column, n: int = 500) -> Column:
+    return F.left(t, F.lit(n))
+
+
 def route(ext: Column) -> Column:
     """The reader for an extension, ``rejected_image`` or ``unsupported``."""
     out = F.when(ext.isin(*IMAGE_EXTENSIONS), "rejected_image")

@@ -53,10 +53,16 @@ def batches(images: DataFrame, size: int = 5, scope: str = "doc_id", order: tupl
 
 
 def first_seen(rows: DataFrame, hash_: str, order: tuple[str, ...]) -> DataFrame:
-    """The first row of each hash. A minimum combines before the shuffle, so copies of one image do not meet."""
-    key = F.struct(*order)
-    keep = rows.groupBy(hash_).agg(F.min(key).alias("_first")).select(hash_, *[F.col("_first")[c].alias(c) for c in order])
-    return rows.join(keep, [hash_, *order], "left_semi")
+    """The first row of each hash; rows without a hash all stay, and of rows that share hash and order one stays.
+
+    A minimum combines before the shuffle, so copies of one image do not meet.
+    """
+    keep = rows.where(F.col(hash_).isNotNull()).groupBy(hash_).agg(F.min(F.struct(*order)).alias("_first"))
+    keep = keep.select(F.col(hash_).alias("_hash_"), *[F.col("_first")[c].alias(f"_at_{c}") for c in order])
+    same = F.col(hash_) == F.col("_hash_")
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    return rows.join(keep, same, "left_semi").dropDuplicates([hash_, *order]).unionByName(rows.where(F.col(hash_).isNull()))
 
 
 def unseen(rows: DataFrame, seen: DataFrame, hash_: str) -> DataFrame:

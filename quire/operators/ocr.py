@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import os
 import time
 from collections.abc import Callable, Iterator
@@ -12,6 +13,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as T
 
@@ -33,6 +35,8 @@ class Options:
     filter_images: bool = True
     enable_ocr: bool = True
     max_retries: int = 2
+    odd_shapes: bool = False  # drop odd shapes too
+    rebatch: bool = False  # batches of what the filter leaves, not of all images
 
     def __post_init__(self):
         if not 1 <= self.batch_size <= 5:
@@ -51,8 +55,67 @@ def load_prompt(path: str | None) -> str:
         return DEFAULT_PROMPT
 
 
+def message(parts: list[dict]) -> list[dict]:
+    """The parts as a chat model wants them: each with its own fields only, an image's data nested."""
+    out = []
+    for p in parts:
+        if p["type"] == "text":
+            out.append({"type": "text", "text": p["text"]})
+        elif p["type"] == "image_url":
+            out.append({"type": "image_url", "image_url": {"url": p["url"]}})
+        else:
+            out.append({"type": "image", "source": {"type": "base64", "media_type": p["media_type"], "data": p["data"]}})
+    return out
+
+
+def contents(parts: list[dict]) -> list[dict]:
+    """The numbered form as a hosted SDK wants it: an entry for each image, its label and its bytes, and one for the prompt."""
+    out, label = [], None
+    for p in parts:
+        if p["type"] == "text" and label is None and p["text"].startswith("Image "):
+            label = p["text"]
+        elif p["type"] == "text":
+            out.append({"role": "user", "parts": [{"text": p["text"]}]})
+        else:
+            out.append({"role": "user", "parts": [{"text": label}, {"inline_data": {"mime_type": p["media_type"], "data": base64.b64decode(p["data"])}}]})
+            label = None
+    return out
+
+
+def check_client(client) -> None:
+    if not callable(getattr(client, "invoke", None)):
+        raise TypeError("a client has a method invoke(parts)")
+
+
+def guard(options: Options, make) -> None:
+    """OCR needs to be enabled and to have a client."""
+    if not options.enable_ocr or make is None:
+        raise RuntimeError("OCR is disabled or has no client")
+
+
+#: Failures of a call that another attempt may mend.
+TRANSIENT = (ConnectionError, TimeoutError, OSError, RuntimeError)
+
+
 def environment_client(kind: str = "google", model: str | None = None) -> Callable[[], OcrClient]:
-    """A maker of a client for a hosted model; keys come from the environment, libraries only where it runs."""
+    """A maker of a client for a hosted model; keys come from the environment, libraries only where it runs.
+
+    Kinds: google and bedrock (chat models, url and source form), direct (the SDK, numbered form).
+    """
+
+    class Direct:
+        def __init__(self):
+            from google import genai
+
+            self.client = genai.Client(api_key=os.environ["GOOGLE_API_KEY"])
+
+        def invoke(self, parts):
+            config = {"temperature": 0.25, "top_p": 0.5, "response_mime_type": "text/plain", "thinking_config": {"thinking_budget": 0}, "seed": 42}
+            reply = self.client.models.generate_content(model=model, contents=contents(parts), config=config)
+            return reply.text, reply.usage_metadata.prompt_token_count, reply.usage_metadata.candidates_token_count
+
+    if kind == "direct":
+        return Direct
 
     class Chat:
         def __init__(self):
@@ -68,7 +131,7 @@ def environment_client(kind: str = "google", model: str | None = None) -> Callab
                 raise ValueError(f"no such client: {kind}")
 
         def invoke(self, parts):
-            reply = self.model.invoke([{"role": "user", "content": parts}])
+            reply = self.model.invoke([{"role": "user", "content": message(parts)}])
             usage = getattr(reply, "usage_metadata", None) or {}
             return str(reply.content), usage.get("input_tokens", 0), usage.get("output_tokens", 0)
 
@@ -92,14 +155,17 @@ class LocalOcr:
         return "\n".join(out), 0, 0
 
 
-def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2) -> DataFrame:
+def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2, wait: float = 1.0) -> DataFrame:
     """batches: doc_id, batch_no, ids, parts. Adds reply, error, elapsed_time, token_input, token_output.
 
-    A failing batch fails alone. Write the result before using it twice: calls cost money.
+    A failing batch fails alone. Transient failures are tried again after ``wait`` x 1, 2, 4, ... seconds, others reported at once.
+    Write the result before using it twice: calls cost money.
     """
+    own = batches.select("doc_id", "batch_no", "ids", "parts")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
+        check_client(client)
         for frame in frames:
             rows = []
             for parts in frame["parts"]:
@@ -111,11 +177,21 @@ def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2
                         break
                     except Exception as e:  # the batch's own failure, reported in its rows
                         error = str(e)
+                        if not isinstance(e, TRANSIENT):
+                            break
+                        if attempt < max_retries:
+                            time.sleep(wait * 2**attempt)
                 rows.append((reply, error, time.time() - began, *usage))
             add = pd.DataFrame(rows, columns=["reply", "error", "elapsed_time", "token_input", "token_output"])
             yield pd.concat([frame[["doc_id", "batch_no", "ids"]].reset_index(drop=True), add], axis=1)
 
-    return batches.select("doc_id", "batch_no", "ids", "parts").mapInPandas(run, "doc_id long, batch_no int, ids array<string>, reply string, error string, elapsed_time double, token_input long, token_output long")
+    added = StructType.fromDDL("reply string, error string, elapsed_time double, token_input long, token_output long")
+    return own.mapInPandas(run, StructType([*own.schema.fields[:3], *added.fields]))
+
+
+def usage(replies: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Calls, tokens and time of each key."""
+    return replies.groupBy(key).agg(F.count("*").alias("calls"), F.sum("token_input").alias("token_input"), F.sum("token_output").alias("token_output"), F.sum("elapsed_time").alias("elapsed_time"))
 
 
 def parse(replies: DataFrame) -> DataFrame:

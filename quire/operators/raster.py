@@ -1,4 +1,4 @@
-"""Image metrics. One pass of numpy over decoded images; ``pixel_metrics`` is the relational form."""
+"""Image metrics: one pass of numpy over decoded images."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values.
@@ -32,23 +32,37 @@ def stencil(v: np.ndarray, center: int, ring: tuple[int, int]) -> np.ndarray:
     return out
 
 
-def _lanczos(n_in: int, n_out: int) -> np.ndarray:
-    """Weights (n_out, n_in) of a three-lobed windowed sinc."""
+#: Weights are whole numbers of 2**-BITS, so a resized pixel is an exact sum, whatever its order.
+BITS = 22
+
+
+def lanczos(n_in: int, n_out: int) -> np.ndarray:
+    """Fixed-point weights (n_out, n_in) of a three-lobed windowed sinc; wider than a pixel when shrinking."""
     scale = n_in / n_out
     width = max(scale, 1.0)
-    x = (np.arange(n_in)[None, :] + 0.5 - (np.arange(n_out)[:, None] + 0.5) * scale) / width
-    w = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0)
-    return w / w.sum(1, keepdims=True)
+    centre = (np.arange(n_out) + 0.5) * scale
+    first = np.maximum(np.floor(centre - 3 * width + 0.5), 0)
+    end = np.minimum(np.floor(centre + 3 * width + 0.5), n_in)
+    i = np.arange(n_in)[None, :]
+    x = (i - centre[:, None] + 0.5) / width
+    w = np.where((np.abs(x) < 3) & (i >= first[:, None]) & (i < end[:, None]), np.sinc(x) * np.sinc(x / 3), 0.0)
+    return np.floor(w / w.sum(1, keepdims=True) * (1 << BITS) + 0.5).astype(np.int64)
 
 
 def resize(v: np.ndarray, width: int, height: int) -> np.ndarray:
-    across = np.einsum("ow,hw...->ho...", _lanczos(v.shape[1], width), v.astype(float))
-    across = np.clip(np.floor(across + 0.5), 0, 255)
-    down = np.einsum("oh,hw...->ow...", _lanczos(v.shape[0], height), across)
-    return np.clip(np.floor(down + 0.5), 0, 255).astype(np.uint8)
+    """Across, then down; each pass rounds to a byte, and a side that keeps its length is not touched."""
+    out = v.astype(np.int64)
+    half = 1 << (BITS - 1)
+    if width != v.shape[1]:
+        out = np.clip((np.tensordot(out, lanczos(v.shape[1], width).T, (1, 0)) + half) >> BITS, 0, 255)
+        out = np.moveaxis(out, -1, 1)
+    if height != v.shape[0]:
+        out = np.clip((np.tensordot(lanczos(v.shape[0], height), out, (1, 0)) + half) >> BITS, 0, 255)
+    return out.astype(np.uint8)
 
 
 def dhash(v: np.ndarray, side: int = 8) -> str:
+    """Of a gray raster: a bit for each pixel of a small copy that is brighter than the one to its left, in hex."""
     small = resize(v, side + 1, side).astype(int)
     return f"{int(''.join('1' if b else '0' for b in (small[:, 1:] > small[:, :-1]).ravel()), 2):0{side * side // 4}x}"
 
@@ -93,11 +107,11 @@ SCORES = "width int, height int, dhash string, " + ", ".join(f"{k} double" for k
 
 
 def score(images: DataFrame, decode: Callable[[bytes], np.ndarray], detector: Callable[[np.ndarray], np.ndarray] | None = None, key: str = "image_id") -> DataFrame:
-    """key and the scores of each image's bytes; what cannot be decoded has a status and no score."""
+    """key (string) and the scores of each image's bytes; what cannot be decoded has a status and no score."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
+            rows, rasters = [], []
             for k, data in zip(frame[key], frame["bytes"], strict=True):
                 row = {key: k, "status": "ok"}
                 try:
@@ -106,52 +120,75 @@ def score(images: DataFrame, decode: Callable[[bytes], np.ndarray], detector: Ca
                     if min(rgb.shape[:2]) >= MIN_SIDE:
                         m = metrics(rgb)
                         row |= m | {"dhash": dhash(gray(rgb)), "total_score": sum(m[n] * w for n, w in WEIGHTS.items())}
-                        row["has_text"] = text_present(detector, rgb)
-                except Exception:
+                        rasters.append((row, rgb if detector else None))
+                except Exception:  # the image's own failure, reported in its row
                     row["status"] = "decode_failed"
                 rows.append(row)
+            for at in range(0, len(rasters), 32):
+                some = rasters[at : at + 32]
+                for (row, _), found in zip(some, text_present(detector, [x for _, x in some]), strict=True):
+                    row["has_text"] = found
             names = [key, *[c.split()[0] for c in SCORES.split(", ")]]
             yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
 
     return images.select(key, "bytes").mapInPandas(run, f"{key} string, {SCORES}")
 
 
-def text_present(detector, rgb: np.ndarray, threshold: float = TEXT_CONFIDENCE) -> bool:
-    """No detector: yes; a failing one: no."""
-    if detector is None:
-        return True
-    try:
-        return bool(np.any(detector(rgb) >= threshold))
-    except Exception:
-        return False
+#: What a text detector's input is less, in red, green, blue order.
+MEANS = (123.68, 116.78, 103.94)
 
 
-def meaningful(scored: DataFrame, order: tuple[str, ...], min_score: float = MIN_SCORE, dedup: bool = True, scope: tuple[str, ...] = ()) -> DataFrame:
-    """Size, then first of its hash, then score, then text: the rows that pass all."""
-    from .assemble import first_seen
+def bilinear(v: np.ndarray, width: int, height: int) -> np.ndarray:
+    """Between pixel centres, edges held."""
+    out = v.astype(np.float64)
+    for axis, n in ((1, width), (0, height)):
+        size = out.shape[axis]
+        x = np.clip((np.arange(n) + 0.5) * size / n - 0.5, 0, size - 1)
+        lo = np.floor(x).astype(int)
+        part = (x - lo).reshape([-1 if i == axis else 1 for i in range(out.ndim)])
+        out = np.take(out, lo, axis) * (1 - part) + np.take(out, np.minimum(lo + 1, size - 1), axis) * part
+    return out
 
-    big = scored.where((F.col("status") == "ok") & (F.col("width") >= MIN_SIDE) & (F.col("height") >= MIN_SIDE))
-    if dedup:
-        big = big.withColumn("_hash", F.concat_ws("/", *scope, "dhash"))
-        big = first_seen(big, "_hash", order).drop("_hash")
-    return big.where((F.col("total_score") >= min_score) & F.col("has_text"))
 
+def detector_input(rgb: np.ndarray, size: tuple[int, int] = (224, 224)) -> np.ndarray:
+    """A detector's tensor (3, height, width): scaled to fit the size, laid over all of it, less the means."""
+    px = np.repeat(rgb[..., None], 3, 2) if rgb.ndim == 2 else rgb
+    h, w = px.shape[:2]
+    scale = min(size[0] / w, size[1] / h)
+    small = np.rint(bilinear(px, max(1, int(w * scale)), max(1, int(h * scale))))
+    return (bilinear(small, *size) - np.array(MEANS)).transpose(2, 0, 1).astype(np.float32)
 
-def weighted() -> F.Column:
-    return sum((F.col(k) * float(w) for k, w in WEIGHTS.items()), F.lit(0.0))
+
+def text_present(detector, rgbs: list[np.ndarray], threshold: float = TEXT_CONFIDENCE) -> list[bool]:
+    """For each raster: no detector, yes; a failing one, no. The detector gets a stack of inputs and gives a score map each."""
+    if detector is None or not rgbs:
+        return [True] * len(rgbs)
+    try:
+        maps = detector(np.stack([detector_input(x) for x in rgbs]))
+        return [bool(np.any(np.asarray(m) >= threshold)) for m in maps]
+    except Exception:  # a detector's failure means no text
+        return [False] * len(rgbs)
 
 
-def brightness_column(mean: F.Column) -> F.Column:
-    return F.when((mean > 30) & (mean < 230), 1.0).when((mean >= 245) | (mean <= 15), 0.0).when(mean >= 230, (245 - mean) / 15).otherwise((mean - 15) / 15)
+def confident(scores: F.Column, threshold: float = TEXT_CONFIDENCE) -> F.Column:
+    """Whether any score of a map reaches the threshold."""
+    return F.coalesce(F.exists(scores, lambda x: x >= F.lit(threshold)), F.lit(False))
 
 
-def edge_column(r: F.Column) -> F.Column:
-    return F.when(r < 0.03, r / 0.03).when(r > 0.10, 1.0).otherwise(0.5 + (r - 0.03) / 0.14)
+def odd_shape(width: F.Column, height: F.Column) -> F.Column:
+    """Small, long or flat pictures: a rule that is off unless asked for."""
+    short, long_ = F.least(width, height), F.greatest(width, height)
+    return ((width < 100) & (height < 100)) | (short / long_ < 0.35) | ((width > 500) & (height < 80)) | ((height > 500) & (width < 80))
 
 
-def neighbours(px: DataFrame, key: str = "image_id") -> DataFrame:
-    """Each pixel with the sums of its straight and diagonal neighbours; null at the border."""
-    row, col = Window.partitionBy(key, "y").orderBy("x"), Window.partitionBy(key, "x").orderBy("y")
-    px = px.withColumn("lr", F.lag("v").over(row) + F.lead("v").over(row))
-    px = px.withColumn("ud", F.lag("v").over(col) + F.lead("v").over(col))
-    return px.withColumn("diag", F.lag("lr").over(col) + F.lead("lr").over(col)).withColumn("straight", F.col("lr") + F.col("ud"))
+def meaningful(scored: DataFrame, order: tuple[str, ...], min_score: float = MIN_SCORE, dedup: bool = True, scope: tuple[str, ...] = (), shapes: bool = False) -> DataFrame:
+    """Size, then first of its hash, then score, then text: the rows that pass all. ``shapes`` also drops odd shapes first."""
+    from .assemble import first_seen
+
+    big = scored.where((F.col("status") == "ok") & (F.col("width") >= MIN_SIDE) & (F.col("height") >= MIN_SIDE))
+    if shapes:
+        big = big.where(~odd_shape(F.col("width"), F.col("height")))
+    if dedup:
+        big = big.withColumn("_hash", F.concat_ws("/", *scope, "dhash"))
+        big = first_seen(big, "_hash", order).drop("_hash")
+    return big.where((F.col("total_score") >= min_score) & F.col("has_text"))

@@ -9,11 +9,13 @@ import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import images
 
 BLOCKS = "path string, page_no int, block_no int, block_type int, text string, bytes binary, status string"
 W_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -22,9 +24,30 @@ A_NS = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 R_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
-def scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """path, ext, kind, content; a missing path is Spark's own error."""
-    files = spark.read.format("binaryFile").load(paths)
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def scan(spark: SparkSession, paths: str | list[str], missing: str = "error") -> DataFrame:
+    """path, ext, kind, content. A missing path is Spark's own error, or with ``missing="status"`` a row of kind ``not_found``."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    gone: list[str] = []
+    if missing == "status":
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            if not where.getFileSystem(conf).globStatus(where):
+                gone.append(p)
+        paths = [p for p in paths if p not in gone]
+    files = spark.read.format("binaryFile").load(paths) if paths else spark.createDataFrame([], FILES)
+    files = routed(files)
+    if gone:
+        lost = spark.createDataFrame([(p,) for p in gone], "path string").withColumn("ext", T.extension(F.col("path"))).withColumn("kind", F.lit("not_found"))
+        files = files.unionByName(lost, allowMissingColumns=True)
+    return files
+
+
+def routed(files: DataFrame) -> DataFrame:
+    """Adds ext and kind by the path."""
     return files.withColumn("ext", T.extension(F.col("path"))).withColumn("kind", T.route(F.col("ext")))
 
 
@@ -87,66 +110,162 @@ def docx_blocks(data: bytes) -> list[tuple[int, int, str | None, bytes | None]]:
 
 _OBJ = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj", re.S)
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
-_STRING = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\bTJ\b|\bTj\b|\bT\*|\bTd\b|\bTD\b|\bTm\b|\bET\b|'|\bDo\b|/[A-Za-z0-9_.+-]+", re.S)
+_NAME = rb"/[^\s/<>\[\](){}%]+"
+_TOKEN = re.compile(
+    rb"%[^\r\n]*|BI\s.*?\sEI\b|\((?:\\.|\((?:\\.|[^\\()])*\)|[^\\()])*\)|<[0-9A-Fa-f\s]*>|<<|>>|[\[\]]|" + _NAME + rb"|[-+]?(?:\d+\.?\d*|\.\d+)|[A-Za-z'\"*][A-Za-z0-9*]*", re.S
+)
+_NUMBER = re.compile(rb"[-+.]?[0-9]")
 
 
 def _pdf_text(token: bytes) -> str:
     if token[:1] == b"<":
-        raw = bytes.fromhex(re.sub(rb"\s", b"", token[1:-1]).decode().ljust(2, "0"))
+        raw = bytes.fromhex((x := re.sub(rb"\s", b"", token[1:-1]).decode()) + "0" * (len(x) % 2))
     else:
         names = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
-        raw = re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1][:1].isdigit() else names.get(m[1], m[1]), token[1:-1], flags=re.S)
+        raw = re.sub(rb"\\([0-7]{1,3}|\r?\n|.)", lambda m: b"" if m[1].endswith(b"\n") else bytes([int(m[1], 8) & 255]) if m[1][:1].isdigit() else names.get(m[1], m[1]), token[1:-1], flags=re.S)
     return raw.decode("utf-16") if raw[:2] in (b"\xfe\xff", b"\xff\xfe") else raw.decode("cp1252", "replace")
 
 
+def _times(a: tuple, b: tuple) -> tuple:
+    return (a[0] * b[0] + a[1] * b[2], a[0] * b[1] + a[1] * b[3], a[2] * b[0] + a[3] * b[2], a[2] * b[1] + a[3] * b[3], a[4] * b[0] + a[5] * b[2] + b[4], a[4] * b[1] + a[5] * b[3] + b[5])
+
+
+def _content(data: bytes) -> list[tuple[float, float, str | None, bytes | None]]:
+    """(x, y, text, image name) of what a page's content stream shows: a text object is one block, at its first string."""
+    out, args, saved = [], [], []
+    ctm = line = at = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
+    leading, first, parts, inside = 0.0, None, [], False
+
+    def move(x: float, y: float) -> None:
+        nonlocal line, at
+        line = at = _times((1.0, 0.0, 0.0, 1.0, x, y), line)
+        parts.append("\n" if y else " ")
+
+    def show(t: str) -> None:
+        nonlocal first
+        if first is None:
+            first = _times(at, ctm)
+        parts.append(t)
+
+    for m in _TOKEN.finditer(data):
+        t = m.group()
+        if t[:1] in (b"(", b"/") or t[:1] == b"<" and t != b"<<" or _NUMBER.match(t):
+            args.append(t)
+            continue
+        if t in (b"[", b"]", b"<<", b">>") or t[:1] == b"%" or t[:2] == b"BI":
+            continue
+        numbers = [float(x) for x in args if _NUMBER.match(x)]
+        if t == b"q":
+            saved.append(ctm)
+        elif t == b"Q" and saved:
+            ctm = saved.pop()
+        elif t == b"cm" and len(numbers) >= 6:
+            ctm = _times(tuple(numbers[-6:]), ctm)
+        elif t == b"BT":
+            line = at = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
+            first, parts, inside = None, [], True
+        elif t == b"Tm" and len(numbers) >= 6:
+            line = at = tuple(numbers[-6:])
+            parts.append("\n")
+        elif t in (b"Td", b"TD") and len(numbers) >= 2:
+            leading = -numbers[-1] if t == b"TD" else leading
+            move(*numbers[-2:])
+        elif t == b"TL" and numbers:
+            leading = numbers[-1]
+        elif t == b"T*":
+            move(0.0, -leading or -1.0)
+        elif t in (b"Tj", b"'", b'"', b"TJ") and inside:
+            if t in (b"'", b'"'):
+                move(0.0, -leading or -1.0)
+            for x in args:
+                if x[:1] in (b"(", b"<"):
+                    show(_pdf_text(x))
+                elif t == b"TJ" and _NUMBER.match(x) and float(x) < -200:  # a gap as wide as a space
+                    parts.append(" ")
+        elif t == b"ET":
+            if "".join(parts).strip():
+                out.append((first[4], first[5], "".join(parts).strip("\n"), None))
+            inside = False
+        elif t == b"Do" and args and args[-1][:1] == b"/":
+            out.append((ctm[4], ctm[5] + ctm[3], None, args[-1]))
+        args = []
+    return out
+
+
+def _pdf_image(head: bytes, raw: bytes, unfiltered: bytes) -> bytes:
+    """The bytes of an image object: a JPEG as it is, plain 8-bit pixels as PNG, anything else raw (no reader will take it)."""
+    if b"/DCTDecode" in head:
+        return raw
+    width, height = (int(m[1]) if (m := re.search(rb"/" + n + rb"\s+(\d+)", head)) else 0 for n in (b"Width", b"Height"))
+    channels = 3 if b"/DeviceRGB" in head else 1 if b"/DeviceGray" in head else 0
+    plain = re.search(rb"/BitsPerComponent\s+8\b", head) and not re.search(rb"/(JPXDecode|CCITTFaxDecode|JBIG2Decode|Predictor)", head)
+    if plain and channels and width and len(unfiltered) >= width * height * channels:
+        px = np.frombuffer(unfiltered[: width * height * channels], np.uint8).reshape(height, width, channels)
+        return images.encode_png(px)
+    return raw
+
+
 def pdf_blocks(data: bytes) -> list[tuple[int, int, str | None, bytes | None]]:
-    """A small reader: Flate streams, literal and hex strings, JPEG images. Best effort, in stream order."""
+    """A small reader: pages in the order of their tree, blocks from top to bottom, then left to right.
+
+    Flate and hex streams, literal and hex strings, every image object. Best effort: fonts with encodings of
+    their own are read as if they had none. An image that no reader takes keeps its block, and fails when it is decoded.
+    """
     if not data.startswith(b"%PDF"):
         raise ValueError("not a PDF")
     objects = {int(n): body for n, body in _OBJ.findall(data)}
 
-    def stream(body: bytes) -> bytes:
+    def stream(body: bytes) -> tuple[bytes, bytes, bytes]:
+        """Head, raw bytes, and the bytes without the filters that are known."""
         m = _STREAM.search(body)
-        raw = m[1] if m else b""
-        return zlib.decompress(raw) if b"/FlateDecode" in body.split(b"stream", 1)[0] else raw
+        head, raw = (body[: m.start()], m[1]) if m else (body, b"")
+        out = raw
+        if b"/ASCIIHexDecode" in head:
+            out = bytes.fromhex(re.sub(rb"[^0-9A-Fa-f]", b"", out.split(b">")[0]).decode())
+        if b"/FlateDecode" in head:
+            out = zlib.decompressobj().decompress(out)
+        return head, raw, out
 
     for body in list(objects.values()):  # objects within object streams
         if re.search(rb"/Type\s*/ObjStm", body):
-            first, raw = int(re.search(rb"/First\s+(\d+)", body)[1]), stream(body)
+            raw = stream(body)[2]
+            first = int(re.search(rb"/First\s+(\d+)", body)[1])
             nums = list(map(int, raw[:first].split()))
             for i in range(0, len(nums), 2):
                 end = nums[i + 3] if i + 3 < len(nums) else len(raw) - first
                 objects.setdefault(nums[i], raw[first + nums[i + 1] : first + end])
     refs = lambda x: [int(n) for n in re.findall(rb"(\d+)\s+\d+\s+R", x)]
-    out, page_no = [], 0
-    for body in objects.values():
-        if not re.search(rb"/Type\s*/Page\b", body):
+    is_page = lambda body: re.search(rb"/Type\s*/Page\b", body.split(b"stream", 1)[0])
+    order, todo, seen = [], [int(m[1]) for b in objects.values() if re.search(rb"/Type\s*/Catalog", b) and (m := re.search(rb"/Pages\s+(\d+)", b))][:1], set()
+    while todo:
+        n = todo.pop()
+        if n in seen or n not in objects:
             continue
+        seen.add(n)
+        if kids := re.search(rb"/Kids\s*\[([^\]]*)\]", objects[n]):
+            todo.extend(reversed(refs(kids[1])))
+        elif is_page(objects[n]):
+            order.append(n)
+    out = []
+    for page_no, n in enumerate(order or [n for n, body in objects.items() if is_page(body)]):
+        body = objects[n]
         contents = re.search(rb"/Contents\s*(\[[^\]]*\]|\d+\s+\d+\s+R)", body)
         resources = body
-        if m := re.search(rb"/Resources\s+(\d+)\s+\d+\s+R", body):
+        parent = re.search(rb"/Parent\s+(\d+)", body)
+        if b"/Resources" not in body and parent:
+            resources += objects.get(int(parent[1]), b"")
+        if m := re.search(rb"/Resources\s+(\d+)\s+\d+\s+R", resources):
             resources += objects.get(int(m[1]), b"")
         if m := re.search(rb"/XObject\s+(\d+)\s+\d+\s+R", resources):
             resources += objects.get(int(m[1]), b"")
-        named = {n: int(r) for n, r in re.findall(rb"(/[A-Za-z0-9_.+-]+)\s+(\d+)\s+\d+\s+R", resources)}
-        name, run, line = b"", [], []
-        for t in _STRING.findall(b"\n".join(stream(objects[r]) for r in (refs(contents[1]) if contents else []) if r in objects)):
-            if t[:1] in (b"(", b"<"):
-                line.append(_pdf_text(t))
-            elif t[:1] == b"/":
-                name = t
-            elif t in (b"Td", b"TD", b"T*", b"Tm", b"'"):
-                run.append("".join(line))
-                line = []
-            elif t == b"ET":
-                run.append("".join(line))
-                if "".join(run).strip():
-                    out.append((page_no, 0, " ".join(x for x in run if x), None))
-                run, line = [], []
-            elif t == b"Do" and (x := objects.get(named.get(name, -1))) and b"/DCTDecode" in x:
-                out.append((page_no, 1, None, _STREAM.search(x)[1]))
+        named = {k: int(r) for k, r in re.findall(rb"(" + _NAME + rb")\s+(\d+)\s+\d+\s+R", resources)}
+        shown = _content(b"\n".join(stream(objects[r])[2] for r in (refs(contents[1]) if contents else []) if r in objects))
+        for _, _, text, image in sorted(shown, key=lambda s: (-round(s[1]), s[0])):
+            if text is not None:
+                out.append((page_no, 0, text, None))
+            elif (x := objects.get(named.get(image, -1))) and re.search(rb"/Subtype\s*/Image", x):
+                out.append((page_no, 1, None, _pdf_image(*stream(x))))
         out.append((page_no, -1, None, None))  # a page is a page, even an empty one
-        page_no += 1
     return out
 
 

@@ -53,7 +53,7 @@ def test_files(spark, folder):
     assert kinds == {"a.docx": "docx", "b.xlsx": "excel", "c.pdf": "pdf", "broken.pdf": "pdf", "d.TXT": "text", "e.png": "rejected_image"}
     assert [r["text"] for r in files.texts(f).collect()] == ["plain é"]
     rows = files.blocks(f).collect()
-    assert sorted(r["text"] for r in rows if r["block_type"] == 0) == ["Hello (pdf) next", "one two"]
+    assert sorted(r["text"] for r in rows if r["block_type"] == 0) == ["Hello (pdf)\nnext", "one two"]
     assert [r["path"][-10:] for r in rows if r["status"] == "open_failed"] == ["broken.pdf"]
     (sheet,) = files.sheets(f).collect()
     assert sheet["text"].startswith("## First\n| h |") and "5 | 7" in sheet["text"] and "NaN" not in sheet["text"] and "Unnamed" not in sheet["text"]
