@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import Table  # noqa: F401  the operators take it from here
+
 #: ASCII white space: the complement of ``[^\x20\x09-\x0D]``.
 SPACE_BYTES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -23,60 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of its own; a cluster is refused."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="quire-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-_FOLDERS: dict[str, str] = {}
-
-
-def _application_folder(spark: SparkSession) -> str:
-    """A folder for this application's intermediate tables, removed when the driver's Python ends."""
-    name = spark.sparkContext.applicationId
-    if name not in _FOLDERS:
-        _FOLDERS[name] = path = f"{shared_dir(spark)}/quire-{name}"
-
-        def clean() -> None:
-            if spark.sparkContext._jsc is not None:  # the session may have been stopped before
-                remove(spark, path)
-
-        atexit.register(clean)
-    return _FOLDERS[name]
-
-
-class Table:
-    """A DataFrame written to the shared folder: lineage is cut, lost executors lose nothing.
-
-    ``drop`` removes it once nothing reads it any more; what results still read goes with the application's folder.
-    """
-
-    def __init__(self, spark: SparkSession, df: DataFrame):
-        self.spark, self.path = spark, f"{_application_folder(spark)}/{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(self.path)
-        self.schema = df.schema
-
-    @property
-    def df(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
-
-    def drop(self) -> None:
-        remove(self.spark, self.path)
-
-
 def slots(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)
 
