@@ -147,8 +147,8 @@ def test_simhash(spark, docs, rows, hot_parts):
     assert got(out, "doc_id", "f", "component_id") == sorted(((i, f"{f:016x}", root[i]) for i, f in fps), key=str)
 
 
-@pytest.mark.parametrize("hot_parts", [1000, 5])
-def test_near_copies(spark, hot_parts):
+@pytest.mark.parametrize("hot_parts, tile", [(1000, 1000), (5, 1000), (1000, 3), (5, 12)])
+def test_near_copies(spark, hot_parts, tile):
     """Planted copies at a similarity of 0.8 and around it, and a chain, against brute force on the shingles' words."""
     r = random.Random(12)
     w = lambda n: [f"w{r.randrange(10_000)}" for _ in range(n)]
@@ -178,7 +178,7 @@ def test_near_copies(spark, hot_parts):
     assert far > 50  # the query's radius would miss these
     of = dict(zip((t or "" for _, t in rows), root, strict=True))
     name = {x["node"]: x["text"] for x in spark.createDataFrame([(t,) for t in of], "text string").select("text", near_copies.name().alias("node")).collect()}
-    found = {name[x["node"]]: x["component"] for x in near_copies.cluster(spark, make(spark, rows), hot_parts).collect()}
+    found = {name[x["node"]]: x["component"] for x in near_copies.cluster(spark, make(spark, rows), hot_parts, tile).collect()}
     assert set(found) == set(of)
     assert len({(of[t], c) for t, c in found.items()}) == len(set(of.values())) == len(set(found.values()))
     kept = simhash.stage(spark, make(spark, rows), "").collect()
