@@ -7,7 +7,7 @@ first 27, whose 24 bytes have the smallest hash. Equal strings have their anchor
 the suffixes at anchors, each with the bytes before it, finds every repeat with a fourteenth of the suffixes.
 
 1. Anchors whose 24 bytes occur once in the corpus drop out (a chunk sends sorted 32-bit marks to buckets, as
-   compressed differences, and gets a bit back for each): most suffixes end here.
+   compressed differences, and gets a bit back for each; through relays where there are many buckets, as in ``substring_dedup``): most suffixes end here.
 2. A chunk sorts the others: suffix (50 bytes), then the bytes before it (26, nearest first), and sends
    distinct ones only, with their smallest doc_id, as front-coded runs (common prefix length, rest).
 3. A bucket merges its runs in a loser tree that keeps, for every head, its common prefix with the last output,
@@ -19,7 +19,9 @@ the suffixes at anchors, each with the bytes before it, finds every repeat with
 Runs are dealt to buckets by the hash of a suffix's first 24 bytes: neighbours that matter stay together, and
 a frequent prefix does not make a hot range. A string costs a bucket one entry a chunk, however often it repeats.
 
-Cases: null text is empty; empty and short texts lose nothing; a null doc_id counts as larger than all; rows
+The rows of the second exchange number chunks times merging buckets that meet; they carry only suffixes whose 24 bytes repeat.
+
+Cases: null text is empty; ties (equal strings) go to the smallest doc_id, so its copy stays; very long texts are one row of a chunk; empty and short texts lose nothing; a null doc_id counts as larger than all; rows
 with the same doc_id never cut one another; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunked, mix, pack, text_bytes, unpack, utf8
-from .substring_dedup import EXCHANGE, REPLY, _by_step, _probe_reply, _received, _send, bucket_count, groups
+from .substring_dedup import EXCHANGE, REPLY, TOP, _by_step, _received, _send, answers, bucket_count, groups
 
 LENGTH, GRAM, CHUNK_BYTES, BUCKET_ANCHORS = 50, 24, 6 << 20, 1_000_000
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a string
@@ -243,20 +245,21 @@ def _merge_bucket(rows: pa.Table) -> pa.Table:
     return pa.table({"chunk": rows.column("chunk").cast(pa.int32()), "bucket": rows.column("bucket").cast(pa.int32()), "step": pa.array([2] * len(bits), pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
-def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_anchors: int = BUCKET_ANCHORS, top: int = TOP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_bytes (binary: cuts may fall within a character)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes // 14, bucket_anchors)
     merges = bucket_count(n_bytes // 14, bucket_anchors // 8)
+    sent_to, wide, relay_chunks = min(buckets, top), buckets > top, max(1, 14 * bucket_anchors * top // chunk_bytes)
     dealt = chunked(docs, n_bytes, chunk_bytes)
 
     def mark(docs_: pa.Table) -> pa.Table:
         c = _Chunk(docs_)
-        return _send(docs_.column("chunk")[0].as_py(), 1, buckets, c.h, np.ones(len(c.h), bool))[0]
+        return _send(docs_.column("chunk")[0].as_py(), sent_to, c.h, np.ones(len(c.h), bool), None, wide)[0]
 
     def shared(c: _Chunk, replies: pa.Table) -> np.ndarray:
-        _, rank, cuts = _send(0, 1, buckets, c.h, np.ones(len(c.h), bool))
+        _, rank, cuts = _send(0, sent_to, c.h, np.ones(len(c.h), bool), None, wide)
         return np.flatnonzero(_received(_by_step(replies, 1), cuts)[rank])
 
     def lots(h: np.ndarray) -> np.ndarray:
@@ -311,7 +314,7 @@ def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
         return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_bytes": pa.array((c.end - c.start).astype(np.int64)), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_bytes": pa.array(kept, pa.binary())})
 
     sent = dealt.groupBy("chunk").applyInArrow(mark, EXCHANGE)
-    hits = sent.groupBy("bucket").applyInArrow(lambda t: _probe_reply(t, 1), REPLY)
+    hits = answers(sent, 1, buckets, top, relay_chunks)
     runs = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(send_runs, RUN)
     found = runs.groupBy("bucket").applyInArrow(_merge_bucket, REPLY)
     return dealt.groupBy("chunk").cogroup(hits.unionByName(found).groupBy("chunk")).applyInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary")

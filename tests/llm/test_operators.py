@@ -53,7 +53,8 @@ def got(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
 
 
-def test_substring_dedup(spark, docs, rows):
+@pytest.mark.parametrize("chunk_bytes, bucket_words, top", [(20_000, 3_000, 1024), (8_000, 500, 4), (8_000, 300, 2)])
+def test_substring_dedup(spark, docs, rows, chunk_bytes, bucket_words, top):
     words = [WORD.findall(t or "") for _, t in rows]
     seen = collections.Counter(tuple(w[j : j + 35]) for w in words for j in range(len(w) - 34))
     want = []
@@ -63,11 +64,12 @@ def test_substring_dedup(spark, docs, rows):
             if seen[tuple(w[j : j + 35])] > 1:
                 gone[j : j + 35] = [True] * 35
         want.append((i, len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
-    out = substring_dedup.dedup(spark, docs, chunk_bytes=20_000, bucket_words=3_000)
+    out = substring_dedup.dedup(spark, docs, chunk_bytes=chunk_bytes, bucket_words=bucket_words, top=top)
     assert got(out, "doc_id", "n_words", "n_removed", "kept_text") == sorted(want, key=str)
 
 
-def test_suffix_dedup(spark, docs, rows):
+@pytest.mark.parametrize("chunk_bytes, bucket_anchors, top", [(20_000, 800, 1024), (8_000, 200, 2)])
+def test_suffix_dedup(spark, docs, rows, chunk_bytes, bucket_anchors, top):
     first, want = {}, []
     for i, t in sorted(rows, key=lambda r: r[0]):
         b = (t or "").encode()
@@ -77,7 +79,7 @@ def test_suffix_dedup(spark, docs, rows):
                 gone[j : j + 50] = True
         spans = len(re.findall(rb"\x01+", gone.tobytes()))
         want.append((i, len(b), int(gone.sum()), spans, np.frombuffer(b, np.uint8)[~gone].tobytes()))
-    out = suffix_dedup.dedup(spark, docs, chunk_bytes=20_000, bucket_anchors=800)
+    out = suffix_dedup.dedup(spark, docs, chunk_bytes=chunk_bytes, bucket_anchors=bucket_anchors, top=top)
     cols = ("doc_id", "n_bytes", "n_removed", "n_spans")
     found = sorted((*(r[c] for c in cols), bytes(r["kept_bytes"])) for r in out.collect())
     assert found == sorted(want)
@@ -513,3 +515,16 @@ def test_fill_is_greedy():
             left[d] -= n
             room -= n
     assert not left.any() and all(sum(n for *_, n in row) > 60 for row in rows[:-1])
+
+
+def test_exchange_is_linear():
+    """With relays, the entries a row carries do not shrink as chunks and buckets grow together."""
+    from quire.llm.substring_dedup import BUCKET_WORDS, CHUNK_BYTES, TOP, bucket_count
+
+    for n_bytes in (10**9, 10**12, 10**14):
+        words, chunks = n_bytes // 6, n_bytes // CHUNK_BYTES
+        buckets = bucket_count(words, BUCKET_WORDS)
+        assert words / (chunks * min(buckets, TOP)) > 900
+        if buckets > TOP:
+            relays = max(1, chunks // (6 * BUCKET_WORDS * TOP // CHUNK_BYTES))
+            assert words / (relays * buckets) > 200
