@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ def stencil(v: np.ndarray, center: int, ring: tuple[int, int]) -> np.ndarray:
 BITS = 22
 
 
+@cache
 def lanczos(n_in: int, n_out: int) -> np.ndarray:
     """Fixed-point weights (n_out, n_in) of a three-lobed windowed sinc; wider than a pixel when shrinking."""
     scale = n_in / n_out
@@ -50,14 +52,17 @@ def lanczos(n_in: int, n_out: int) -> np.ndarray:
 
 
 def resize(v: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Across, then down; each pass rounds to a byte, and a side that keeps its length is not touched."""
-    out = v.astype(np.int64)
-    half = 1 << (BITS - 1)
+    """Across, then down; each pass rounds to a byte, and a side that keeps its length is not touched.
+
+    The sums are whole numbers under 2**53, so floating-point products are exact.
+    """
+    out, unit = v.astype(np.float64), float(1 << BITS)
     if width != v.shape[1]:
-        out = np.clip((np.tensordot(out, lanczos(v.shape[1], width).T, (1, 0)) + half) >> BITS, 0, 255)
-        out = np.moveaxis(out, -1, 1)
+        out = np.moveaxis(np.tensordot(out, lanczos(v.shape[1], width).T.astype(float), (1, 0)), -1, 1)
+        out = np.clip(np.floor(out / unit + 0.5), 0, 255)
     if height != v.shape[0]:
-        out = np.clip((np.tensordot(lanczos(v.shape[0], height), out, (1, 0)) + half) >> BITS, 0, 255)
+        out = np.tensordot(lanczos(v.shape[0], height).astype(float), out, (1, 0))
+        out = np.clip(np.floor(out / unit + 0.5), 0, 255)
     return out.astype(np.uint8)
 
 
@@ -77,14 +82,18 @@ def edge_score(ratio: float) -> float:
     return ratio / 0.03 if ratio < 0.03 else 1.0 if ratio > 0.10 else 0.5 + (ratio - 0.03) / 0.14
 
 
+def colors(px: np.ndarray) -> int:
+    """The number of distinct pixels."""
+    px = px.reshape(px.shape[0] * px.shape[1], -1).astype(np.int64)
+    return len(np.unique((px << (8 * np.arange(px.shape[1]))).sum(1)))
+
+
 def metrics(rgb: np.ndarray) -> dict[str, float]:
     v = gray(rgb)
     h, w = v.shape
-    flat = rgb.reshape(h * w, -1)
     share = np.bincount(v.ravel(), minlength=256) / max(v.size, 1)
     share = share[share > 0]
-    small = resize(rgb, 100, 100).reshape(10_000, -1)
-    n_colors, n_small = len(np.unique(flat, axis=0)), len(np.unique(small, axis=0))
+    n_colors, n_small = colors(rgb), colors(resize(rgb, 100, 100))
     cw, ch = w // 4, h // 4
     if min(cw, ch) < 10:
         density = 0.5

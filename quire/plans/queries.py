@@ -310,6 +310,7 @@ def _images(spark, sf) -> DataFrame:
     """A gray raster for each supplier, as plain bytes."""
     places = F.expr(f"transform(sequence(0, {SIDE * SIDE - 1}), p -> lpad(hex({PIXEL.replace('x', '(p % 64)').replace('y', '(p div 64)')}), 2, '0'))")
     ids = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("long").alias("id"))
+    ids = ids.repartition(spark.sparkContext.defaultParallelism)  # the table is one small file, the images are not
     return ids.select(F.col("id").cast("string").alias("image_id"), F.unhex(F.array_join(places, "")).alias("bytes"))
 
 
@@ -469,7 +470,7 @@ def _as_pdf(text: F.Column) -> F.Column:
     return F.encode(F.concat(F.lit("%PDF-1.4\n"), body), "UTF-8")
 
 
-@query(f"""
+@query(rf"""
 WITH n AS (SELECT doc_id, 'in/' || doc_id || CASE doc_id % 5 WHEN 0 THEN '.txt' WHEN 1 THEN '.tif' WHEN 2 THEN '.csv' ELSE '.pdf' END AS path FROM documents),
 p AS (SELECT doc_id, string_agg({NORMAL_SQL}, '' ORDER BY block_no) FILTER (WHERE line <> '') AS t FROM (SELECT doc_id, block_no, regexp_replace(line, '\s+', ' ', 'g') AS line FROM ({LINES_SQL})) WHERE trim(line) <> '' GROUP BY doc_id),
 i AS (SELECT doc_id, path, {ID_SQL} AS image FROM (SELECT doc_id, path, md5(path || '/0/' || (SELECT count(*) FROM ({LINES_SQL}) l WHERE l.doc_id = n.doc_id AND trim(regexp_replace(line, '\s+', ' ', 'g')) <> '')) AS h FROM n))
