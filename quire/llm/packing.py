@@ -157,7 +157,7 @@ def crc_shift(crc: int, n_bytes: int) -> int:
 
 
 class Index:
-    """BM25 over the rests of one shard."""
+    """BM25 over the rests of one shard. Postings of rests that are used up go from time to time; that changes no other rest's score."""
 
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, df: np.ndarray, n: int, mean: float):
         size = np.array([len(t) for t in terms])
@@ -171,9 +171,17 @@ class Index:
         self.doc, self.weight = doc[order], weight[order]
         self.start = np.searchsorted(code[order], np.arange(len(known) + 1))
         self.of = np.split(code, np.cumsum(size)[:-1])
-        self.n = len(terms)
+        self.n = self.alive = len(terms)
 
-    def scores(self, seed: int) -> np.ndarray:
+    def compact(self, alive: np.ndarray) -> None:
+        stay = alive[self.doc]
+        self.start = np.concatenate([[0], np.cumsum(stay)])[self.start]
+        self.doc, self.weight, self.alive = self.doc[stay], self.weight[stay], int(alive.sum())
+
+    def scores(self, seed: int, left: np.ndarray | None = None) -> np.ndarray:
+        """Every rest's score against a seed's terms; rests with nothing ``left`` may have any."""
+        if left is not None and np.count_nonzero(left) < 0.8 * self.alive:
+            self.compact(left > 0)
         t = self.of[seed]
         lo, size = self.start[t], self.start[t + 1] - self.start[t]
         at = np.arange(size.sum()) + np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
@@ -181,7 +189,7 @@ class Index:
 
 
 def fill(lengths: np.ndarray, scores, window: int, grid: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of (document, start, length); scores(seed) ranks the documents for a seed."""
+    """Windows of (document, start, length); scores(seed, left) ranks the documents that have something left for a seed."""
     left = lengths.copy()
     done = np.zeros(len(lengths), np.int64)
     out, pending, nxt = [], -1, 0
@@ -201,7 +209,7 @@ def fill(lengths: np.ndarray, scores, window: int, grid: int) -> list[list[tuple
         left[seed] -= take
         room -= take
         if room >= grid:
-            s = scores(seed)
+            s = scores(seed, left)
             s[left == 0] = -1
             for d in np.argsort(-s, kind="stable"):
                 if not left[d]:
@@ -307,7 +315,7 @@ def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, window:
     n_shards, some = -(-held.df.count() // shard_docs), 4 * slots(spark)
     tasks = max(1, n_shards if n_shards <= some else max(some, n_shards // 8))
     signed = held.df.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(sign, f"{TOKEN_SCHEMA}, _row long, {', '.join(f'{k} int' for k in keys)}")
-    return signed.repartitionByRange(tasks, *keys, "_row").sortWithinPartitions(*keys, "_row").drop(*keys, "_row").mapInArrow(run, PIECES)
+    return signed.repartitionByRange(tasks, *keys, "doc_id", "tokens", "_row").sortWithinPartitions(*keys, "doc_id", "tokens", "_row").drop(*keys, "_row").mapInArrow(run, PIECES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -487,6 +487,10 @@ def test_bm25_and_neighbours():
     index = packing.Index([t for t, _ in pairs], [c for _, c in pairs], np.array([len(d) for d in docs]), df, len(docs), float(np.mean([len(d) for d in docs])))
     for seed in (0, 7, 500):
         assert np.allclose(index.scores(seed), _bm25_plain(docs, seed))
+    left = np.array([i % 3 for i in range(1200)])
+    for seed in (1, 10):  # a smaller index gives those that are left the same scores
+        assert np.allclose(index.scores(seed, left)[left > 0], np.array(_bm25_plain(docs, seed))[left > 0])
+    index = packing.Index([t for t, _ in pairs], [c for _, c in pairs], np.array([len(d) for d in docs]), df, len(docs), float(np.mean([len(d) for d in docs])))
     sign = packing.signature([t.astype("<u4").tobytes() for t, _ in pairs], packing.term_orders(df, len(docs)))
     order = sorted(range(len(docs)), key=lambda i: (*sign[i], i))
     shard = {d: at // 100 for at, d in enumerate(order)}
@@ -503,7 +507,7 @@ def test_fill_is_greedy():
     r = np.random.default_rng(3)
     lengths = r.integers(1, 60, 80)
     table = r.random((80, 80))
-    rows = packing.fill(lengths, lambda i: table[i].copy(), 64, 4)
+    rows = packing.fill(lengths, lambda i, left: table[i].copy(), 64, 4)
     left = lengths.copy()
     for row in rows:
         seed, room = row[0][0], 64
