@@ -72,20 +72,24 @@ def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: fl
         return (-50.0 if not len(y) or y.max() == 0 else 50.0), {}
     size = 1 << BITS
     sets = [np.frombuffer(r[1], np.int32) for r in rows]
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    col = np.concatenate(sets).astype(np.int64)
     n1, n0 = y.sum(), (1 - y).sum()
-    d1 = np.bincount(col, weights=y[row], minlength=size)
-    d0 = np.bincount(col, minlength=size) - d1
+    d1, d0 = np.zeros(size), np.zeros(size)
+    for label, d in ((1, d1), (0, d0)):  # in pieces: the driver never holds all features at once in a wide form
+        mine = [s for s, t in zip(sets, y, strict=True) if t == label]
+        for i in range(0, len(mine), 500):
+            d += np.bincount(np.concatenate(mine[i : i + 500]), minlength=size)
+    some = np.flatnonzero(d1 + d0 >= 3)
+    d1, d0 = d1[some], d0[some]
     p1, p0 = (d1 + 0.5) / (n1 + 1), (d0 + 0.5) / (n0 + 1)
     p = (d1 + d0 + 0.5) / (len(y) + 1)
     z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     memo: dict = {}
     term_buckets = [_buckets(t, memo) for t in IDENTITY_TERMS]
-    use = np.flatnonzero((np.abs(z) > 4) & (d1 + d0 >= 3))
-    at = np.full(size, -1)
+    use = some[np.abs(z) > 4]
+    at = np.full(size, -1, np.int32)
     at[use] = np.arange(len(use))
-    row, col = row[at[col] >= 0], at[col[at[col] >= 0]]
+    held_in = [x[x >= 0] for x in (at[s] for s in sets)]
+    row, col = np.repeat(np.arange(len(sets)), [len(x) for x in held_in]), np.concatenate(held_in)
     # Swaps: how often each ordered pair of terms would be exchanged.
     t = len(IDENTITY_TERMS)
     held = np.bincount([i for r in rows for i in r[2]] or [0], minlength=t) * (1 if any(r[2] for r in rows) else 0)
