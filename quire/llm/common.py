@@ -62,6 +62,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Words hashed at a time.
+HASH_WORDS = 1 << 14
+
 _SEP = np.zeros(256, bool)
 _SEP[list(SPACE_BYTES)] = True
 
@@ -84,18 +87,25 @@ class Words:
         return len(self.starts)
 
     def hashes(self, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-        """One 64-bit hash a word: a polynomial in its bytes, finalised with its length."""
-        if not len(self.starts):
-            return np.zeros(0, _U)
-        size = self.ends - self.starts
-        at = np.flatnonzero(self.solid)
-        within = at - np.repeat(self.starts, size)
-        power = np.full(int(size.max()), _U(seed | 1))
+        """One 64-bit hash a word: a polynomial in its bytes, finalised with its length.
+
+        In pieces of HASH_WORDS words, so that the numbers a byte needs on the way are held for a piece only.
+        """
+        out = np.empty(len(self.starts), _U)
+        if not len(out):
+            return out
+        sizes = self.ends - self.starts
+        power = np.full(int(sizes.max()), _U(seed | 1))
         power[0] = 1
         power = np.multiply.accumulate(power)
-        value = (self.arr[at].astype(_U) + _U(1)) * power[within]
-        total = np.add.reduceat(value, np.cumsum(size) - size)
-        return mix(total + size.astype(_U) * _U(0xD1B54A32D192ED03))
+        for lo in range(0, len(out), HASH_WORDS):
+            starts, size = self.starts[lo : lo + HASH_WORDS], sizes[lo : lo + HASH_WORDS]
+            begin, end = starts[0], starts[-1] + size[-1]
+            at = np.flatnonzero(self.solid[begin:end])
+            within = at - np.repeat(starts - begin, size)
+            value = (self.arr[begin:end][at].astype(_U) + _U(1)) * power[within]
+            out[lo : lo + HASH_WORDS] = np.add.reduceat(value, np.cumsum(size) - size) + size.astype(_U) * _U(0xD1B54A32D192ED03)
+        return mix(out)
 
     def within(self, k: int) -> np.ndarray:
         """True where k words from here on are of one document."""
