@@ -197,11 +197,14 @@ def _by_step(replies: pa.Table, step: int) -> list[tuple[int, bytes]]:
     return [(b, x) for s, b, x in rows if s == step]
 
 
-def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, bucket_words: int = BUCKET_WORDS, keep: tuple[str, ...] = (), top: int = TOP) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_text (kept words, one space between), and ``_keep_0``, ...: the row's own columns named in ``keep``."""
+def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, bucket_words: int = BUCKET_WORDS, keep: tuple[str, ...] = (), top: int = TOP, whole: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_text (kept words, one space between), and ``_keep_0``, ...: the row's own columns named in ``keep``.
+
+    With ``whole`` the text as it came follows as ``text``; it travels once, so it is not to be named in ``keep``.
+    """
     kept_as = [f"_keep_{i}" for i in range(len(keep))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).alias(n) for c, n in zip(keep, kept_as, strict=True)])
-    result = StructType([*StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string").fields, *docs.schema.fields[2:]])
+    result = StructType([*StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string").fields, *docs.schema.fields[2:], *docs.schema.fields[1:2] * whole])
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes // 6, bucket_words)
     sent_to, wide, relay_chunks = min(buckets, top), buckets > top, max(1, 6 * bucket_words * top // chunk_bytes)
@@ -238,8 +241,8 @@ def dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, chunk_byte
             stay = np.flatnonzero(~gone[lo:hi]) + lo
             n_removed.append(int(hi - lo - len(stay)))
             kept.append(b" ".join([buf[a:b] for a, b in zip(starts_[stay].tolist(), ends_[stay].tolist(), strict=True)]))
-        own = docs_.select(kept_as).take(pa.array(c.order, pa.int64()))
-        return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": pa.array(np.diff(first).astype(np.int64)), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())} | {n: own.column(n) for n in kept_as})
+        own = docs_.select([*kept_as, *["text"] * whole]).take(pa.array(c.order, pa.int64()))
+        return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": pa.array(np.diff(first).astype(np.int64)), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())} | {n: own.column(n) for n in own.column_names})
 
     sent = dealt.groupBy("chunk").applyInArrow(probe, EXCHANGE)
     hits = answers(sent, 1, buckets, top, relay_chunks)
@@ -261,8 +264,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies of one another and lose what they share; an empty table gives no rows; very long texts are one row of a chunk.
     """
     names = docs.columns
-    out = dedup(spark, docs, keep=tuple(names))
-    cut, whole = F.col("n_removed") > 0, {c: F.col(f"_keep_{i}") for i, c in enumerate(names)}
+    others = tuple(c for c in names if c != "text")
+    out = dedup(spark, docs, keep=others, whole=True)
+    cut, whole = F.col("n_removed") > 0, {c: F.col(f"_keep_{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
     text = F.when(cut, F.col("kept_text")).otherwise(whole["text"])
     changed = {"text": text, "n_chars": F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(whole["n_chars"]) if "n_chars" in whole else None}
     return out.select(*[(changed.get(c) if c in ("text", "n_chars") else whole[c]).alias(c) for c in names])
