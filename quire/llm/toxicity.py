@@ -158,17 +158,16 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], keep: tuple[st
     bias, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             out = []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for text in (x.as_py() for x in batch.column(batch.num_columns - 1)):  # one text at a time is a Python string
                 hit: set[int] = set()
                 for w in tokens(text):
                     v = known.get(w)
                     if v is None:
-                        v = tuple(b for b in _buckets(w, memo) if b in weights)
-                        if len(known) < 500_000:
+                        v = tuple(b for b in _buckets(w, {}) if b in weights)
+                        if len(known) < 500_000 and len(w) <= 40:  # so bounded in bytes too
                             known[w] = v
                     if v:
                         hit.update(v)
