@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_extraction, importance, license_scan, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from . import decontamination, html_extraction, importance, license_scan, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontamination": decontamination.query,
         "op10_sharding": sharding.query,
         "op11_license_scan": license_scan.query,
+        "op12_vector_codes": vector_codes.query,
     }
 
 
@@ -82,4 +83,4 @@ FROM best WHERE r = 1
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1, "op3_suffix_dedup": _OP3, "op9_decontamination": _OP9, "op11_license_scan": license_scan.sql()}
+    return {"op1_substring_dedup": _OP1, "op3_suffix_dedup": _OP3, "op9_decontamination": _OP9, "op11_license_scan": license_scan.sql(), "op12_vector_codes": vector_codes.sql()}
