@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_extraction, importance, license_scan, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, toxicity, vector_codes
+from . import decontamination, html_extraction, importance, license_scan, packing, quality_rules, sharding, simhash, spelling_variants, substring_dedup, suffix_dedup, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": sharding.query,
         "op11_license_scan": license_scan.query,
         "op12_vector_codes": vector_codes.query,
+        "op13_spelling_variants": spelling_variants.query,
     }
 
 
