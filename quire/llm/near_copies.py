@@ -4,7 +4,8 @@ A 64-bit SimHash has no radius that holds all such pairs (at 0.8 they lie up to
 come from ``BANDS`` bands of ``ROWS`` min-hashes over five-word shingles. Two texts at similarity s share no band
 with probability (1 - s ** ROWS) ** BANDS: 7e-5 at 0.8, 2e-9 at 0.9. Every link is confirmed on the whole shingle sets.
 
-All work is on distinct texts, named by their XXH64. In each band every text is first held against the band's smallest
+All work is on distinct texts, named by their XXH64. Texts are told apart by a second hash: where two of one name differ in
+it (about three names in 10^10 texts), that name is torn, and its texts stay out of the components instead of being taken for one. In each band every text is first held against the band's smallest
 name, a star instead of all pairs. Where a band's texts then lie in different components, they are compared within tasks, and only
 the links that join components leave a task, fewer than it has texts: no list of pairs is made. A band of over ``2 * TILE``
 texts is dealt as pairs of tiles; the tiles of its largest component do not meet one another. In a task a pair is compared only in
@@ -41,7 +42,7 @@ _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
     """The sorted distinct hashes of the text's shingles."""
-    h = Words([text.translate(_LOWER)]).hashes()
+    h = Words([text.translate(_LOWER)]).strong(_BASE)
     if not len(h):
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
@@ -69,11 +70,16 @@ def name() -> F.Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def second_name() -> F.Column:
+    """Independent of the name; with it 128 bits tell texts apart."""
+    return F.xxhash64(F.lit("second"), F.coalesce("text", F.lit("")))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
         keys = np.array([bands(min_hashes(s)) for s in sets], np.uint64).reshape(len(sets), BANDS).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "node"]).columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))], names=["doc_id", "node", "n", "keys"])
+        yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "node", "other"]).columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))], names=["doc_id", "node", "other", "n", "keys"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,11 +158,12 @@ def meet(left: DataFrame, right: DataFrame, key: str, count: str, least: float)
 
 
 def cluster(spark: SparkSession, docs: DataFrame, hot_parts: int = HOT_PARTS, tile: int = TILE) -> DataFrame:
-    """node (a distinct text's name), first (its smallest doc_id), component (the component's smallest name)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("node", name())
-    sketched = docs.mapInArrow(_sketch, "doc_id long, node long, n long, keys array<long>")
-    distinct = Table(spark, sketched.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    rows = distinct.df.select("node", "n", F.explode("keys").alias("key"))
+    """node (a distinct text's name), first (its smallest doc_id), component (the component's smallest name; null if the name is torn)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("node", name()).withColumn("other", second_name())
+    sketched = docs.mapInArrow(_sketch, "doc_id long, node long, other long, n long, keys array<long>")
+    torn = (F.min("other") < F.max("other")).alias("torn")
+    distinct = Table(spark, sketched.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), torn))
+    rows = distinct.df.where(~F.col("torn")).select("node", "n", F.explode("keys").alias("key"))
     groups = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("least")).where("size > 1")
     groups = Table(spark, groups).df
     least = max(distinct.df.count() / hot_parts, 1)
@@ -183,4 +190,5 @@ def cluster(spark: SparkSession, docs: DataFrame, hot_parts: int = HOT_PARTS, ti
     sets = texts.join(mixed.select("node").distinct(), "node", "left_semi").mapInArrow(_sets, "node long, keys binary, sketch binary, set binary")
     more = deal(mixed, tile).join(sets, "node").groupBy("key", "i", "j").applyInArrow(join_components, "a long, b long")
     whole = components(spark, found.unionByName(more))
-    return distinct.df.select("node", "first").join(whole, "node", "left").select("node", "first", F.coalesce("root", "node").alias("component"))
+    component = F.when(~F.col("torn"), F.coalesce("root", "node")).alias("component")
+    return distinct.df.select("node", "first", "torn").join(whole, "node", "left").select("node", "first", component)

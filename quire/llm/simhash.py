@@ -209,12 +209,14 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the query's. Rows are judged by their texts: rows without an id are copies like any other and go before rows
     with one, and rows that share an id with different texts are told apart.
     """
-    nodes = near_copies.cluster(spark, docs)
+    nodes = Table(spark, near_copies.cluster(spark, docs)).df
     order = F.struct(F.col("first").isNull().alias("none"), "first", "node")
-    node, first = fresh(docs, "_quire_node"), fresh(docs, "_quire_first")
-    keep = nodes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.node").alias(node), F.col("k.first").alias(first))
-    keep = Table(spark, keep).df
-    named = docs.withColumn(fresh(docs, "_quire_text"), near_copies.name())
-    mine = named.columns[-1]
+    node, first, mine, other = (fresh(docs, f"_quire_{n}") for n in ("node", "first", "name", "other"))
+    keep = nodes.where("component is not null").groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.node").alias(node), F.col("k.first").alias(first))
+    torn = nodes.where("component is null").select(F.col("node").alias(node))  # two texts of one name: all their rows stay
+    named = docs.withColumn(mine, near_copies.name()).withColumn(other, near_copies.second_name())
     same = (named[mine] == keep[node]) & named["doc_id"].cast("long").eqNullSafe(keep[first])
-    return named.join(keep, same, "left_semi").dropDuplicates([mine]).select(*docs.columns)
+    stay = named.join(keep, same, "left_semi")
+    if not torn.isEmpty():
+        stay = stay.unionByName(named.join(torn, named[mine] == torn[node], "left_semi"))
+    return stay.dropDuplicates([mine, other]).select(*docs.columns)

@@ -2,12 +2,15 @@
 
 Index: the non-overlapping blocks of ``block`` words of every document. Probe: every rolling window of
 ``block`` words. With ``block = (window + 1) // 2`` any repeat of ``window`` words holds a whole block of either
-copy, so a document's repeats all lie around its hits. Extension: the windows of ``window`` words that
-hold a hit are compared with one another by 96-bit hashes; those with a partner cover exactly the maximal
-repeats, and the words they cover go.
-(A hit is not walked outwards pair by pair: in a group of m copies that would be m x m walks. The windows' equality by 96 bits finds the
+copy, so a document's repeats all lie around its hits. Extension: a hit is extended by every window of ``window`` words that
+holds it; those that are found again cover exactly the maximal repeats, and the words they cover go.
+(A hit is not walked outwards pair by pair: in a group of m copies that would be m x m walks. The equality of its windows finds the
 same maximal repeats from one entry a window and chunk.)
 
+Windows are equal if two hashes of 64 bits are. Each is rolled over word hashes of its own, drawn byte by byte with a seed
+of its own (``Words.strong``), so no two words share both but by chance, 2^-128 a pair. The anchors use the first one alone:
+a false hit is extended in vain, nothing is removed for it.
+
 Documents are dealt into chunks by a hash of their id. A chunk sends each hash once for each bucket of hash
 space, sorted, as compressed differences, with a mark for "more than once here": however often a
 passage repeats, it costs a bucket one entry a chunk. The bucket sends back one bit an entry.
@@ -106,7 +109,7 @@ class _Chunk:
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.ids, self.texts, self.order = [ids[i] for i in order], [texts[i] for i in order], order
         self.words, self.block = Words(self.texts), (window + 1) // 2
-        self.h = self.words.hashes()
+        self.h = self.words.strong(_BASES[0])
         inside = self.words.within(self.block)
         self.at = np.flatnonzero(inside)
         rolled = rolling(self.h, self.block, _BASES[0])
@@ -127,10 +130,9 @@ class _Chunk:
 
     def windows(self, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(starts):
-            return np.zeros(0, _U), np.zeros(0, np.uint32)
+            return np.zeros(0, _U), np.zeros(0, _U)
         one = mix(rolling(self.h, window, _BASES[0])[starts] ^ _U(0x2545F4914F6CDD1D))
-        two = mix(rolling(mix(self.h ^ _U(_BASES[1])), window, _BASES[1])[starts])
-        return one, (two >> _U(32)).astype(np.uint32)
+        return one, mix(rolling(self.words.strong(_BASES[1]), window, _BASES[1])[starts])
 
 
 def _merged(rows: pa.Table, step: int, kind) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray, np.ndarray]:
@@ -144,7 +146,7 @@ def _merged(rows: pa.Table, step: int, kind) -> tuple[np.ndarray, np.ndarray | N
     if step == 1:
         order = np.argsort(all_h, kind="stable")
     else:
-        check = np.concatenate([np.frombuffer(c, np.uint32) for c in rows.column("check").to_pylist()])
+        check = np.concatenate([np.frombuffer(c, _U) for c in rows.column("check").to_pylist()])
         order = np.lexsort((check, all_h))
         check = check[order]
     s = all_h[order]

@@ -5,11 +5,10 @@ import random
 import re
 import zlib
 
-import duckdb
 import numpy as np
 import pytest
 
-from quire.llm import license_scan, registry, spelling_variants, vector_codes
+from quire.llm import license_scan, spelling_variants, vector_codes
 
 SF = "/root/testdata/sf0.001"
 EXTRA = "key size n m lo end word row blocks token template tokens _key _n vector code error".split()
@@ -21,21 +20,6 @@ def with_extra(df):
     return df.select("*", *[F.lit(1).alias(c) for c in EXTRA if c not in df.columns])
 
 
-def same(spark, name):
-    db = duckdb.connect()
-    for t in ("documents", "embeddings"):
-        db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    got, want = registry.queries()[name](spark, SF), db.sql(registry.oracle_sql()[name])
-    assert got.columns == want.columns
-    key = lambda r: tuple((x is None, str(x)) for x in r)
-    assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
-
-
-@pytest.mark.parametrize("name", ["op11_license_scan", "op12_vector_codes"])
-def test_equals_sql(spark, name):
-    same(spark, name)
-
-
 # ---- licenses ------------------------------------------------------------
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -222,3 +206,45 @@ def test_spelling_query(spark):
     got = spelling_variants.query(spark, SF)
     assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     assert sorted(map(tuple, got.collect()), key=str) == plain_variants(rows, 6, 5)
+
+
+# ---- names of words and texts --------------------------------------------
+
+
+def test_substring_dedup_tells_words_apart(spark):
+    """Two words of 2,048 letters whose polynomials in an odd base are equal modulo 2^64; and windows of two such words in turn."""
+    from quire.llm import common, substring_dedup
+
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    two = one.translate(str.maketrans("ab", "ba"))
+    head = " ".join(f"w{i}" for i in range(34))
+    mixed = [" ".join((one, two)[bin(i).count("1") % 2 ^ flip] for i in range(35)) for flip in (0, 1)]
+    short = [f"{a} {head[3:]} {b}" for a, b in (("ab", "ba"), ("ba", "ab"), ("aab", "b"), ("a", "abb"))]
+    rows = [(0, f"{head} {one}"), (1, f"{head} {two}"), *enumerate(mixed, 2), *enumerate(short, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(spark, df).collect()}
+    seen = collections.Counter(tuple(t.split()[j : j + 35]) for _, t in rows for j in range(len(t.split()) - 34))
+    assert max(seen.values()) == 1 and got == dict.fromkeys(range(8), 0)
+    both = substring_dedup.dedup(spark, spark.createDataFrame([*rows, (8, rows[0][1])], "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in both.collect()} == {i: 35 if i in (0, 8) else 0 for i in range(9)}
+    r = random.Random(1)
+    texts = ["".join(r.choice("ab") for _ in range(r.randint(1, 150))) for _ in range(3000)] + [one, two]
+    w = common.Words([" ".join(texts).encode()])
+    for seed in (1, 2):
+        assert len(set(w.strong(seed).tolist())) == len(set(texts))
+    assert (w.strong(1) != w.strong(2)).all()
+    alone = [common.Words([t.encode()]).strong(1)[0] for t in texts[:50]]
+    assert (np.array(alone) == w.strong(1)[:50]).all()  # a word's hash is its own
+
+
+def test_near_dedup_keeps_texts_of_one_name(spark, monkeypatch):
+    """Where two texts have one name none is taken for the other; their copies still go."""
+    from pyspark.sql import functions as F
+
+    from quire.llm import near_copies, simhash
+
+    monkeypatch.setattr(near_copies, "name", lambda: F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    rows = [(1, "one text here"), (2, "two text here"), (3, "two text here"), (4, None), (5, ""), (6, "a longer text"), (7, "another one, longer still")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["text"] or "" for r in simhash.stage(spark, df, "").collect())
+    assert got == ["", "a longer text", "another one, longer still", "one text here", "two text here"]

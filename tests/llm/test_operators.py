@@ -407,7 +407,7 @@ def test_hard_rows(spark, docs, rows, labels):
 def test_query_equals_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     with duckdb.connect() as db:
-        for t in ("documents", "benchmark"):
+        for t in ("documents", "benchmark", "embeddings"):
             db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
         want = db.sql(registry.oracle_sql()[name])
         cols = want.columns
