@@ -184,8 +184,8 @@ def plain_variants(rows, least_length, least_n):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("letters, split", [("ab", 4), ("abcé÷", 3), ("abcdefghij", 64)])
-def test_spelling_variants(spark, letters, split):
+@pytest.mark.parametrize("letters, split, deal", [("ab", 4, 6), ("abcé÷", 3, 20), ("abcdefghij", 64, 4096)])
+def test_spelling_variants(spark, letters, split, deal):
     r = random.Random(letters)
     lexicon = ["".join(r.choice(letters) for _ in range(r.randint(4, 11))) for _ in range(300)]
     lexicon += ["x" * k + "y" * j for k in range(4, 9) for j in range(4)] + ["Q" * 700, "q" * 701, "a" * 300 + "b" * 300, "a" * 300 + "c" + "b" * 300, "×÷ÀÿßÉ", "naïve" * 2, "naive" * 2]
@@ -193,7 +193,7 @@ def test_spelling_variants(spark, letters, split):
     rows = [(i, r.choice([" ", "\n", "_1-"]).join(r.choices(lexicon, weight, k=r.randint(0, 400)))) for i in range(60)]
     rows += [(77, " ".join(["chaina"] * 2 + ["chainaa"] * 12 + ["chainaaa"] * 80)), (None, " ".join(lexicon)), (5, "Aaaaaa aaaaaa AAAAAA"), (6, None), (7, ""), (None, rows[3][1]), (3, rows[3][1])]
     df = with_extra(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
-    got = spelling_variants.variants(spark, df, 6, 2, split=split)
+    got = spelling_variants.variants(spark, df, 6, 2, split=split, deal=deal)
     want = plain_variants(rows, 6, 2)
     assert sorted(map(tuple, got.collect()), key=str) == want
     assert any(w[1] and w[2] != w[1] for w in want)  # a chain
