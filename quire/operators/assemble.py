@@ -28,11 +28,11 @@ def documents(pages_: DataFrame, key: str = "doc_id", order: str = "page_no") ->
 
 
 def with_replies(blocks: DataFrame, replies: DataFrame) -> DataFrame:
-    """Image blocks get their text by key, or nothing; text blocks keep theirs."""
+    """Image blocks get their text by key, or nothing. Text blocks keep theirs and take no part in the join, where their missing ids would meet."""
     found = replies.select("image_id", F.col("content").alias("_content"))
-    joined = blocks.join(found, "image_id", "left")
-    text = F.when(F.col("image_id").isNull(), F.col("text")).otherwise(F.concat(T.strip(F.coalesce("_content", F.lit(""))), F.lit("\n")))
-    return joined.withColumn("text", text).drop("_content")
+    images = blocks.where(F.col("image_id").isNotNull()).join(found, "image_id", "left")
+    images = images.withColumn("text", F.concat(T.strip(F.coalesce("_content", F.lit(""))), F.lit("\n"))).select(*blocks.columns)
+    return blocks.where(F.col("image_id").isNull()).unionByName(images)
 
 
 def last_wins(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -55,14 +55,11 @@ def batches(images: DataFrame, size: int = 5, scope: str = "doc_id", order: tupl
 def first_seen(rows: DataFrame, hash_: str, order: tuple[str, ...]) -> DataFrame:
     """The first row of each hash; rows without a hash all stay, and of rows that share hash and order one stays.
 
-    A minimum combines before the shuffle, so copies of one image do not meet.
+    One shuffle: the first row so far is kept in each task before it, so copies of one image do not meet.
     """
-    keep = rows.where(F.col(hash_).isNotNull()).groupBy(hash_).agg(F.min(F.struct(*order)).alias("_first"))
-    keep = keep.select(F.col(hash_).alias("_hash_"), *[F.col("_first")[c].alias(f"_at_{c}") for c in order])
-    same = F.col(hash_) == F.col("_hash_")
-    for c in order:
-        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    return rows.join(keep, same, "left_semi").dropDuplicates([hash_, *order]).unionByName(rows.where(F.col(hash_).isNull()))
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    firsts = rows.where(F.col(hash_).isNotNull()).groupBy(F.col(hash_).alias("_hash_")).agg(F.min_by(whole, F.struct(*order)).alias("_row"))
+    return firsts.select("_row.*").unionByName(rows.where(F.col(hash_).isNull()))
 
 
 def unseen(rows: DataFrame, seen: DataFrame, hash_: str) -> DataFrame:

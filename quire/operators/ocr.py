@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import base64
 import os
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Protocol
@@ -35,6 +38,7 @@ class Options:
     filter_images: bool = True
     enable_ocr: bool = True
     max_retries: int = 2
+    in_flight: int = 8  # calls that a task has open at once
     odd_shapes: bool = False  # drop odd shapes too
     rebatch: bool = False  # batches of what the filter leaves, not of all images
 
@@ -155,38 +159,89 @@ class LocalOcr:
         return "\n".join(out), 0, 0
 
 
-def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2, wait: float = 1.0) -> DataFrame:
+def attempt(client: OcrClient, parts: list[dict], max_retries: int, wait: float) -> tuple:
+    """reply, error, elapsed_time, token_input, token_output of one batch; its failure is its own."""
+    began, reply, error, usage = time.time(), None, None, (0, 0)
+    for n in range(max_retries + 1):
+        try:
+            reply, *usage = client.invoke(parts)
+            reply, error = str(reply), None
+            break
+        except Exception as e:  # reported in the batch's rows
+            error = str(e) or type(e).__name__
+            if not isinstance(e, TRANSIENT):
+                break
+            if n < max_retries:
+                time.sleep(wait * 2**n)
+    return reply, error, time.time() - began, *usage
+
+
+def in_order(items: Iterator, work: Callable, in_flight: int) -> Iterator:
+    """The results of ``work`` in the order of the items, up to ``in_flight`` of them at work at once; no more items are taken than that."""
+    if in_flight == 1:
+        yield from map(work, items)
+        return
+    with ThreadPoolExecutor(in_flight) as pool:
+        waiting: deque = deque()
+        try:
+            for item in items:
+                waiting.append(pool.submit(work, item))
+                if len(waiting) >= in_flight:
+                    yield waiting.popleft().result()
+            while waiting:
+                yield waiting.popleft().result()
+        finally:  # a reader that stops early, or a failure: what has not begun does not begin
+            for w in waiting:
+                w.cancel()
+
+
+def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2, wait: float = 1.0, in_flight: int = 1, shared: bool = True, record: Callable | None = None) -> DataFrame:
     """batches: doc_id, batch_no, ids, parts. Adds reply, error, elapsed_time, token_input, token_output.
 
-    A failing batch fails alone. Transient failures are tried again after ``wait`` x 1, 2, 4, ... seconds, others reported at once.
-    Write the result before using it twice: calls cost money.
+    A task has up to ``in_flight`` calls open at once and gives their rows in the order of the batches. Its calls share one
+    client, or with ``shared=False`` each thread makes its own. A failing batch fails alone. Transient failures are tried again after
+    ``wait`` x 1, 2, 4, ... seconds, others reported at once. Write the result before using it twice: calls cost money.
+    ``record`` (see ``ledger``) makes in each task a function that is given a row and the call, and may answer without it; rows then have a ``call_key``.
     """
-    own = batches.select("doc_id", "batch_no", "ids", "parts")
+    own = batches.select("doc_id", "batch_no", "ids", "parts", *["call_key"] * (record is not None))
+    names = [f.name for f in own.schema.fields if f.name != "parts"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = make()
-        check_client(client)
-        for frame in frames:
-            rows = []
-            for parts in frame["parts"]:
-                began, reply, error, usage = time.time(), None, None, (0, 0)
-                for attempt in range(max_retries + 1):
-                    try:
-                        reply, *usage = client.invoke([dict(p.asDict() if hasattr(p, "asDict") else p) for p in parts])
-                        reply, error = str(reply), None
-                        break
-                    except Exception as e:  # the batch's own failure, reported in its rows
-                        error = str(e)
-                        if not isinstance(e, TRANSIENT):
-                            break
-                        if attempt < max_retries:
-                            time.sleep(wait * 2**attempt)
-                rows.append((reply, error, time.time() - began, *usage))
-            add = pd.DataFrame(rows, columns=["reply", "error", "elapsed_time", "token_input", "token_output"])
-            yield pd.concat([frame[["doc_id", "batch_no", "ids"]].reset_index(drop=True), add], axis=1)
+        client, local, remember = None, threading.local(), record() if record else None
+
+        def mine() -> OcrClient:
+            if shared:
+                return client
+            if not hasattr(local, "client"):
+                local.client = make()
+                check_client(local.client)
+            return local.client
+
+        def one(row: dict) -> tuple:
+            parts = [dict(p.asDict() if hasattr(p, "asDict") else p) for p in row["parts"]]
+            ask = lambda: attempt(mine(), parts, max_retries, wait)
+            return tuple(row[n] for n in names) + (remember(row["call_key"], ask) if remember else ask())
+
+        if shared:
+            client = make()
+            check_client(client)
+        sizes: deque[int] = deque()
+
+        def rows() -> Iterator[dict]:
+            for frame in frames:
+                sizes.append(len(frame))
+                yield from frame.to_dict("records")
+
+        held, columns = [], [*names, "reply", "error", "elapsed_time", "token_input", "token_output"]
+        for row in in_order(rows(), one, in_flight):
+            held.append(row)
+            if len(held) >= max(sizes[0], 1):
+                sizes.popleft()
+                yield pd.DataFrame(held, columns=columns)
+                held = []
 
     added = StructType.fromDDL("reply string, error string, elapsed_time double, token_input long, token_output long")
-    return own.mapInPandas(run, StructType([*own.schema.fields[:3], *added.fields]))
+    return own.mapInPandas(run, StructType([*[own.schema[n] for n in names], *added.fields]))
 
 
 def usage(replies: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -190,14 +190,19 @@ def odd_shape(width: F.Column, height: F.Column) -> F.Column:
     return ((width < 100) & (height < 100)) | (short / long_ < 0.35) | ((width > 500) & (height < 80)) | ((height > 500) & (width < 80))
 
 
-def meaningful(scored: DataFrame, order: tuple[str, ...], min_score: float = MIN_SCORE, dedup: bool = True, scope: tuple[str, ...] = (), shapes: bool = False) -> DataFrame:
-    """Size, then first of its hash, then score, then text: the rows that pass all. ``shapes`` also drops odd shapes first."""
+def meaningful(scored: DataFrame, order: tuple[str, ...], min_score: float = MIN_SCORE, dedup: bool = True, shapes: bool = False, seen=None, run: int | None = None) -> DataFrame:
+    """Size, then first of its hash, then score, then text: the rows that pass all. ``shapes`` also drops odd shapes first.
+
+    A row's hash is its ``_hash``, or its dhash where there is none; with ``seen`` (see ``seen.SeenHashes``) hashes of runs before ``run`` are not first.
+    """
     from .assemble import first_seen
 
     big = scored.where((F.col("status") == "ok") & (F.col("width") >= MIN_SIDE) & (F.col("height") >= MIN_SIDE))
     if shapes:
         big = big.where(~odd_shape(F.col("width"), F.col("height")))
     if dedup:
-        big = big.withColumn("_hash", F.concat_ws("/", *scope, "dhash"))
-        big = first_seen(big, "_hash", order).drop("_hash")
+        hash_ = "_hash" if "_hash" in scored.columns else "dhash"
+        big = first_seen(big, hash_, order)
+        if seen is not None:
+            big = seen.unseen(big, hash_, run)
     return big.where((F.col("total_score") >= min_score) & F.col("has_text"))

@@ -407,8 +407,9 @@ def image_filter(spark, sf):
 
 @query(f"WITH {METRICS_SQL} SELECT count(*) AS n_images, count(*) FILTER (WHERE total_score >= 0.5) AS n_kept FROM t")
 def filter_stats(spark, sf):
-    kept = R.meaningful(_scored(spark, sf), ("image_id",), dedup=False).agg(F.count("*").alias("n_kept"))
-    return _images(spark, sf).agg(F.count("*").alias("n_images")).join(F.broadcast(kept), F.lit(True))
+    images, kept = _images(spark, sf).select("image_id"), R.meaningful(_scored(spark, sf), ("image_id",), dedup=False).select("image_id")
+    both = images.select(F.lit(0).alias("kept")).unionByName(kept.select(F.lit(1).alias("kept")))
+    return both.agg(F.count(F.when(F.col("kept") == 0, 1)).alias("n_images"), F.count(F.when(F.col("kept") == 1, 1)).alias("n_kept"))
 
 
 @query("SELECT vec_id, len(list_filter(embedding, lambda x: x >= 0.35)) > 0 AS has_text FROM embeddings")
@@ -485,11 +486,3 @@ def read_documents(spark, sf):
     path = F.concat(F.lit("in/"), F.col("doc_id").cast("string"), F.when(k == 0, ".txt").when(k == 1, ".tif").when(k == 2, ".csv").otherwise(".pdf"))
     content = F.when(k > 2, _as_pdf(F.col("text"))).otherwise(F.encode("text", "UTF-8"))
     return D.read_files(spark, files.routed(d.select(path.alias("path"), content.alias("content"))), ocr.Options(enable_dedup=False), EchoClient)
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)

@@ -278,6 +278,7 @@ def blocks(files: DataFrame) -> DataFrame:
             for path, kind, data in zip(f["path"], f["kind"], f["content"], strict=True):
                 try:
                     found = (docx_blocks if kind == "docx" else pdf_blocks)(bytes(data))
+                    found.append((found[-1][0] if found else 0, -1, None, None))  # a file is a file, even an empty one
                     rows.extend((path, p, i, k, t, b, "ok") for i, (p, k, t, b) in enumerate(found))
                 except Exception:
                     rows.append((path, None, None, None, None, None, "open_failed"))

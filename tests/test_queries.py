@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from quire.plans import queries as Q
+from quire.plans import registry as Q
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
