@@ -95,7 +95,10 @@ def replies(spark: SparkSession, blocks: DataFrame, options: ocr.Options, make:
     asked = requests(images, kept, options, ocr.load_prompt(options.prompt_path), form)
     how = {"max_retries": options.max_retries, "in_flight": options.in_flight}
     calls = Table(spark, ledger.call(asked, make, settings, **how) if ledger else ocr.call(asked, make, **how)).df
-    return ocr.parse(calls), calls, scores
+    read = ocr.parse(calls)
+    if options.mark_skipped:
+        read = read.unionByName(A.missing(images, read, "image_id", T.NO_MEANING).withColumn("status", F.lit("skipped")), allowMissingColumns=True)
+    return read, calls, scores
 
 
 def kind_of(path: F.Column, status: F.Column) -> F.Column:

@@ -41,6 +41,7 @@ class Options:
     in_flight: int = 8  # calls that a task has open at once
     odd_shapes: bool = False  # drop odd shapes too
     rebatch: bool = False  # batches of what the filter leaves, not of all images
+    mark_skipped: bool = False  # an image that is not sent leaves a message in its place
 
     def __post_init__(self):
         if not 1 <= self.batch_size <= 5:

@@ -90,6 +90,12 @@ def sheets_markdown(data: bytes) -> str:
         return "\n".join(out)
 
 
+def sheets_of(markdown: str) -> list[str]:
+    """As ``functions.text.clean_text`` and ``split_sheets``, for one text."""
+    clean = re.sub(r"\bNaN\b", "", re.sub(r"Unnamed:\s*\d+", "", markdown))
+    return [p.strip() for p in re.split(r"(?m)(?=^## )", clean) if p.strip().startswith("##")]
+
+
 def docx_blocks(data: bytes) -> list[tuple[int, int, str | None, bytes | None]]:
     """(page, type, text, image) in reading order; a word-processor file is one page."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:

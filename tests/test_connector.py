@@ -1,0 +1,101 @@
+"""The data source: listing, pruning, filters, partitions by bytes, and a writer that leaves nothing behind when it fails."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from quire.sources import connector
+
+from test_sources import packed
+
+S = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+
+def workbook():
+    """Two sheets; the second one's first cell has no header, and a cell is empty."""
+    cell = lambda at, t: f'<c r="{at}" t="inlineStr"><is><t>{t}</t></is></c>'
+    sheet = lambda *rows: f"<worksheet {S}><sheetData>{''.join(f'<row r="{i}">{"".join(cell(*c) for c in r)}</row>' for i, r in enumerate(rows, 1))}</sheetData></worksheet>"
+    return packed({
+        "xl/workbook.xml": f'<workbook {S} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="One" r:id="a"/><sheet name="Two" r:id="b"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<x><R Id="a" Target="worksheets/1.xml"/><R Id="b" Target="worksheets/2.xml"/></x>',
+        "xl/worksheets/1.xml": sheet([("A1", "h"), ("B1", "k")], [("A2", "1"), ("B2", "2")]),
+        "xl/worksheets/2.xml": sheet([("B1", "k")], [("A2", "x")])})
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    connector.register(spark)
+    d = tmp_path_factory.mktemp("in")
+    (d / "sub").mkdir()
+    for i in range(12):
+        (d / "sub" / f"t{i}.txt").write_text("é" * i + "\n" + "x" * (100 * i), encoding="utf-8")
+    (d / "book.xlsx").write_bytes(workbook())
+    (d / "bad.xlsx").write_bytes(b"none")
+    (d / "old.xls").write_bytes(b"none")
+    (d / "p.pdf").write_bytes(b"%PDF")
+    (d / "i.PNG").write_bytes(b"none")
+    (d / "_hidden.txt").write_bytes(b"none")
+    return str(d)
+
+
+def load(spark, folder, **options):
+    return spark.read.format("quire_files").options(**options).load(f"file://{folder}")
+
+
+def test_rows(spark, folder):
+    rows = load(spark, folder).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["path"].rsplit("/", 1)[1], []).append(r)
+    assert {n: [(r["kind"], r["status"]) for r in rs] for n, rs in by.items() if n[0] not in "t_" and n != "book.xlsx"} == {
+        "bad.xlsx": [("excel", "open_failed")], "old.xls": [("excel", "unsupported")], "p.pdf": [("pdf", "other_reader")], "i.PNG": [("rejected_image", "rejected_image")]}
+    assert by["t3.txt"][0]["text"] == "é" * 3 + "\n" + "x" * 300 and by["t3.txt"][0]["length"] == os.path.getsize(f"{folder}/sub/t3.txt")
+    assert [r["part_no"] for r in by["book.xlsx"]] == list(range(len(by["book.xlsx"]))) and len(by["book.xlsx"]) >= 1
+    assert all(r["text"].startswith("## ") and "NaN" not in r["text"] for r in by["book.xlsx"])
+    assert "_hidden.txt" not in by
+    from quire.sources import files
+
+    old = files.sheets(files.scan(spark, f"file://{folder}/book.xlsx")).orderBy("sheet_no").collect()
+    assert [r["text"] for r in old] == [r["text"] for r in sorted(by["book.xlsx"], key=lambda r: r["part_no"])]
+
+
+def test_columns_and_filters(spark, folder):
+    few = spark.read.format("quire_files").schema("path string, length long").load(f"file://{folder}")
+    assert few.columns == ["path", "length"] and few.count() == 17  # a spreadsheet that is not opened is one row
+    plan = few._jdf.queryExecution().toString()
+    assert "text#" not in plan and "path#" in plan
+    some = load(spark, folder).where("kind = 'text' and length > 500 and text like 'é%'")
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in some.collect()) == sorted(f"t{i}.txt" for i in range(5, 12))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    tested = [line for line in plan.split("\n") if "Filter (" in line]
+    assert tested and not any("kind#" in line or "length#" in line for line in tested)  # Spark does not test again what the source has
+    with pytest.raises(Exception, match="no such columns"):
+        spark.read.format("quire_files").schema("paht string").load(f"file://{folder}").collect()
+    with pytest.raises(Exception, match="gone"):
+        load(spark, folder + "/gone").collect()
+
+
+def test_partitions_by_bytes(spark, folder):
+    assert load(spark, folder, partitionBytes=2000).rdd.getNumPartitions() >= 4
+    assert load(spark, folder).rdd.getNumPartitions() == 1
+    groups = connector.dealt([900, 10, 10, 500, 400, 10], 1000)
+    assert sorted(i for g in groups for i in g) == list(range(6)) and len(groups) == 2
+    assert max(sum([900, 10, 10, 500, 400, 10][i] for i in g) for g in groups) <= 950
+    assert connector.dealt([], 10) == []
+
+
+def test_writer(spark, folder, tmp_path):
+    out = tmp_path / "out"
+    rows = spark.range(20).select(F.concat(F.lit("n"), F.col("id").cast("string"), F.lit(".txt")).alias("name"), F.when(F.col("id") > 0, F.concat(F.lit("é"), F.col("id").cast("string"))).alias("text")).repartition(4)
+    save = lambda df, mode: df.write.format("quire_files").mode(mode).save(f"file://{out}")
+    save(rows, "append")
+    assert sorted(os.listdir(out)) == sorted(f"n{i}.txt" for i in range(20)) and (out / "n7.txt").read_text(encoding="utf-8") == "é7" and (out / "n0.txt").read_text() == ""
+    broken = rows.withColumn("text", F.when(F.col("name") == "n5.txt", F.raise_error(F.lit("lost"))).otherwise("new"))
+    for bad, why in ((broken, "lost"), (rows.withColumn("name", F.lit("one.txt")), "one name"), (rows.withColumn("name", F.lit("../x")), "not a file name"), (rows.drop("text"), "name and a text")):
+        with pytest.raises(Exception, match=why):
+            save(bad, "append")
+        assert len(os.listdir(out)) == 20 and (out / "n7.txt").read_text(encoding="utf-8") == "é7"
+    save(rows.limit(3).withColumn("text", F.lit("again")), "overwrite")
+    assert len(os.listdir(out)) == 3 and {(out / n).read_text() for n in os.listdir(out)} == {"again"}
+    assert load(spark, str(out)).count() == 3
