@@ -1,0 +1,80 @@
+"""Joins by time against loops over all pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quire.operators import temporal
+
+
+def rows(r, n, first=0):
+    """(key, time, id): half of them of one key, with ties, nulls and repeats."""
+    out = [(1 if r.random() < 0.5 else r.choice([2, 3, None]), r.choice([None, *range(-40, 200)]), first + i) for i in range(n)]
+    return [*out, *out[:5]]
+
+
+def plain_asof(left, right, tolerance=None):
+    out = []
+    for k, t, i in left:
+        best = max(((rt, rid) for rk, rt, rid in right if k is not None and t is not None and rk == k and rt is not None and rt <= t), default=None)
+        if best and tolerance is not None and t - best[0] > tolerance:
+            best = None
+        out.append((k, t, i, best[1] if best else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("hot_parts, slices, least_hot", [(1000, 8, 100_000), (3, 4, 0), (1000, 64, 10), (5, 1, 0)])
+def test_asof(spark, hot_parts, slices, least_hot):
+    r = random.Random(hot_parts)
+    left, right = rows(r, 150), rows(r, 200, 1000)
+    at = lambda df: df.withColumn("at", F.timestamp_seconds("s")).drop("s")
+    a = at(spark.createDataFrame(left, "k int, s long, i long").repartition(3))
+    b = at(spark.createDataFrame(right, "kk int, s long, j long").repartition(4))
+    for tolerance in (None, 7):
+        out = temporal.asof(a, b, {"k": "kk"}, ("at", "at"), ("j",), ("j",), tolerance and tolerance * 1_000_000, hot_parts, slices, least_hot)
+        assert out.columns == ["k", "i", "at", "j"]
+        got = sorted(((x["k"], x["s"], x["i"], x["j"]) for x in out.withColumn("s", F.unix_seconds("at")).collect()), key=str)
+        assert got == plain_asof(left, right, tolerance)
+    assert temporal.asof(a.limit(0), b, {"k": "kk"}, ("at", "at"), ("j",)).count() == 0
+    assert {x["j"] for x in temporal.asof(a, b.limit(0), {"k": "kk"}, ("at", "at"), ("j",)).collect()} == {None}
+
+
+def test_asof_splits_a_hot_key(spark):
+    """A key that holds nearly all rows is sorted in slices, none of over a few times its share."""
+    a = spark.range(20_000).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("i"))
+    b = a.where("i % 100 = 0").select(F.col("k").alias("kk"), "at", F.col("i").alias("j"))
+    out = temporal.asof(a, b, {"k": "kk"}, ("at", "at"), ("j",), hot_parts=10, slices=16, least_hot=100)
+    assert out.where("j = i - i % 100").count() == 20_000
+    plan = out._jdf.queryExecution().analyzed().toString()
+    sizes = [x["n"] for x in spark.range(20_000).select(F.floor(F.col("id") / (20_000 / 16)).alias("s")).groupBy("s").agg(F.count("*").alias("n")).collect()]
+    assert "windowspecdefinition(_k0" in plan and "_slice" in plan and max(sizes) <= 1250
+
+
+def spans(r, n, first=0):
+    out = []
+    for i in range(n):
+        lo = r.randint(-300, 300)
+        out.append((r.choice([1, 1, 2, None]), r.choice([lo, lo, lo, None]), lo + r.choice([0, 1, 2, 3, 7, 8, 9, 64, 500, -5]), first + i))
+    return [*out, *out[:3]]
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_overlaps(spark, keyed):
+    r = random.Random(keyed)
+    left, right = spans(r, 120), spans(r, 150, 1000)
+    a = spark.createDataFrame(left, "k int, lo long, hi long, i long").repartition(3)
+    b = spark.createDataFrame(right, "kk int, b_lo long, b_hi long, j long")
+    out = temporal.overlaps(a, b, ("lo", "hi"), ("b_lo", "b_hi"), {"k": "kk"} if keyed else None)
+    want = sorted((i, j) for k, lo, hi, i in left for kk, lo2, hi2, j in right if None not in (lo, lo2) and lo < hi and lo2 < hi2 and lo < hi2 and lo2 < hi and (not keyed or (k is not None and k == kk)))
+    assert sorted((x["i"], x["j"]) for x in out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert temporal.overlaps(a.limit(0), b, ("lo", "hi"), ("b_lo", "b_hi")).count() == 0
+    with pytest.raises(ValueError, match="both sides"):
+        temporal.overlaps(a, a, ("lo", "hi"), ("lo", "hi"))
+
+
+def test_classes(spark):
+    got = spark.range(1, 20).select(temporal._class(F.col("id")).alias("c"), temporal._bin(-F.col("id"), F.lit(2)).alias("b")).collect()
+    assert [x["c"] for x in got] == [(n - 1).bit_length() for n in range(1, 20)] and [x["b"] for x in got] == [-n // 4 for n in range(1, 20)]
