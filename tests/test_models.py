@@ -1,0 +1,129 @@
+"""Models by the batch, sketches against exact numbers, and late rows of streams."""
+
+import datetime
+import os
+import sys
+
+import numpy as np
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from quire.operators import inference, raster, sketches
+from quire.sources import images
+from quire.streaming import joins
+from quire.streaming import files as streams
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this file
+RNG = np.random.default_rng(8)
+
+
+def test_model_is_loaded_once_a_worker(spark, tmp_path):
+    def load():
+        open(f"{tmp_path}/{os.getpid()}-{os.urandom(4).hex()}", "w").close()
+        return lambda x: (x**2).sum(1)
+
+    rows = spark.range(5000, numPartitions=20).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
+    score = inference.scores(load, 2, DoubleType(), 100)
+    assert all(r["s"] == r["id"] ** 2 + 1 for r in rows.select("id", score("v").alias("s")).collect())
+    loads = [n.split("-")[0] for n in os.listdir(tmp_path)]
+    assert len(loads) == len(set(loads)) <= 8  # twenty tasks, no worker twice
+
+
+def test_presence_equals_a_loop(spark):
+    weights = RNG.normal(size=(3, 224, 224)).astype(np.float32)
+
+    def load():
+        def detector(x):
+            if any(abs(float(i[0, 0, 0]) - (255 - raster.MEANS[0])) < 0.01 for i in x):
+                raise ValueError("white corner")
+            return (x * weights).sum((1, 2, 3))[:, None] / 1e6
+
+        return detector
+
+    pictures = [RNG.integers(0, 255, (40 + i, 50, 3)).astype(np.uint8) for i in range(12)]
+    pictures[5][:] = 255
+    rows = [(i, images.encode_png(p)) for i, p in enumerate(pictures)] + [(98, b"none"), (99, None)]
+    df = spark.createDataFrame(rows, "i int, bytes binary").repartition(3)
+    plain = {i: bool((np.stack([raster.detector_input(p)]) * weights).sum() / 1e6 >= 0.0) and i != 5 for i, p in enumerate(pictures)} | {98: False, 99: False}
+    has = inference.presence(load, images.decode, 4, 0.0)
+    got = df.where("bytes is not null").select("i", has("bytes").alias("t")).collect()
+    assert {r["i"]: r["t"] for r in got} == {k: v for k, v in plain.items() if k != 99} and len(set(plain.values())) == 2
+    assert {r["i"]: r["has_text"] for r in inference.with_text(df, load, images.decode).collect()}[99] is False
+
+
+def test_sketches(spark):
+    """Errors within their bounds, for merged sketches and for those of the rows; the store's rows are all that is read."""
+    rows = spark.range(60_000, numPartitions=6).select((F.col("id") % 30).alias("day"), (F.col("id") % 3).alias("kind"), (F.col("id") * 7 % 25_013).alias("who"), F.when(F.col("id") % 11 > 0, (F.col("id") * 31 % 10_007).cast("double")).alias("v"))
+    stored = sketches.store(rows, ("day", "kind"), "who", "v").cache()
+    assert stored.count() == 30
+    cube = sketches.answers(sketches.merged(stored, ("kind",), cube=True), (0.1, 0.5, 0.99)).collect()
+    assert len(cube) == 4
+    for r in cube:
+        mine = rows if r["kind"] is None else rows.where(F.col("kind") == r["kind"])
+        x = mine.agg(F.count("*").alias("n"), F.countDistinct("who").alias("d"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+        assert (r["n"], r["sum"], r["least"], r["most"]) == (x["n"], x["s"], x["lo"], x["hi"])
+        assert abs(r["distinct"] - x["d"]) <= sketches.DISTINCT_ERROR * x["d"]
+        known = np.sort([y["v"] for y in mine.where("v is not null").select("v").collect()])
+        for q, name in ((0.1, "q10"), (0.5, "q50"), (0.99, "q99")):
+            rank = np.searchsorted(known, r[name], "right") / len(known)
+            assert abs(rank - q) <= sketches.RANK_ERROR
+    whole = sketches.answers(sketches.store(rows.withColumn("a", F.lit(1)), ("a",), "who", "v")).first()
+    assert whole["distinct"] == next(r["distinct"] for r in cube if r["kind"] is None)  # HyperLogLog merges without loss
+    odd = spark.createDataFrame([(1, "x", float("nan")), (1, None, None), (2, None, 4.0)], "k int, w string, v double")
+    got = {r["k"]: r for r in sketches.answers(sketches.store(odd, ("k",), "w", "v")).collect()}
+    assert (got[1]["n"], got[1]["distinct"], got[2]["distinct"], got[2]["q50"]) == (2, 1, 0, 4.0)
+    assert sketches.answers(sketches.store(odd.limit(0), ("k",), "w", "v")).count() == 0
+
+
+def at(second):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=second)
+
+
+def fed(spark, path, rows):
+    spark.createDataFrame(rows, "k int, ts timestamp, i int").coalesce(1).write.mode("append").parquet(str(path))
+
+
+def run(out, where):
+    q = out.writeStream.format("parquet").option("checkpointLocation", f"{where}-state").option("path", str(where)).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def test_sessions_and_late_rows(spark, tmp_path):
+    """Rows in time make the sessions of a batch; a row behind the watermark is dropped and counted."""
+    src = tmp_path / "in"
+    first = [(k, at(100 * k + s), s) for k in range(3) for s in (0, 20, 29, 60, 200)]
+    fed(spark, src, first)
+    stream = streams.stream(spark, str(src), "k int, ts timestamp, i int", max_files=1)
+    out = joins.sessions(stream, ("k",), "ts", "30 seconds", "100 seconds", F.count("*").alias("n"), F.max("i").alias("i"))
+    q = run(out, tmp_path / "out")
+    assert joins.late_rows(q) == 0
+    fed(spark, src, [(9, at(100_000), 0)])
+    run(out, tmp_path / "out")
+    fed(spark, src, [(0, at(5), 77), (0, at(99_950), 88)])  # the first is far behind, the second within the delay
+    q = run(out, tmp_path / "out")
+    assert joins.late_rows(q) == 1
+    fed(spark, src, [(9, at(300_000), 0)])
+    run(out, tmp_path / "out")
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).where("k <> 9").collect())
+    batch = joins.sessions(spark.createDataFrame([*first, (0, at(99_950), 88)], "k int, ts timestamp, i int"), ("k",), "ts", "30 seconds", "", F.count("*").alias("n"), F.max("i").alias("i"))
+    assert got == sorted(tuple(r) for r in batch.collect()) and len(got) == 10
+
+
+@pytest.mark.parametrize("how", ["inner", "leftOuter"])
+def test_streams_joined(spark, tmp_path, how):
+    left = [(i % 3, at(10 * i), i) for i in range(30)]
+    right = [(i % 4, at(7 * i), 100 + i) for i in range(40)]
+    for name, rows in (("a", left), ("b", right)):
+        for n in range(0, len(rows), 10):
+            fed(spark, tmp_path / name, rows[n : n + 10])
+        fed(spark, tmp_path / name, [(8 if name == "a" else 9, at(90_000), -1)])  # moves the watermark
+    s = lambda name: streams.stream(spark, str(tmp_path / name), "k int, ts timestamp, i int", max_files=2).withColumnsRenamed({c: f"{name}_{c}" for c in ("k", "ts", "i")})
+    out = joins.within(s("a"), s("b"), {"a_k": "b_k"}, ("a_ts", "b_ts"), "20 SECONDS", "30 SECONDS", ("1000 seconds", "1000 seconds"), how).select("a_i", "b_i")
+    run(out, tmp_path / f"out-{how}")
+    got = sorted(((r["a_i"], r["b_i"]) for r in spark.read.parquet(str(tmp_path / f"out-{how}")).where("a_i >= 0").collect()), key=str)
+    pairs = [(i, j) for k, t, i in left for kk, u, j in right if k == kk and -20 <= (u - t).total_seconds() <= 30]
+    lonely = [(i, None) for _, _, i in left if i not in {a for a, _ in pairs}] if how == "leftOuter" else []
+    assert got == sorted([*pairs, *lonely], key=str)
