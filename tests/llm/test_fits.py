@@ -1,0 +1,119 @@
+"""Fitted models: gradients, verdicts by a fixed model, and held-out rows of the given tables."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quire.llm import quality_rules as Q
+from quire.llm import toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def log_likelihood(rows, w, stay, l2=1e-2):
+    """What the chain's fit climbs, by enumerating every labelling of short documents."""
+    mean = [np.mean(y) for y, _ in rows]
+    total = 0.0
+    for (y, feats), m in zip(rows, mean, strict=True):
+        share = 0.5 / max(sum((x > 0.5) == (m > 0.5) for x in mean), 1) / len(feats)
+        e = [sum(w[f] for f in line) for line in feats]
+        value = lambda lab: sum(s for s, k in zip(e, lab, strict=True) if k) + sum(stay[a] for a, b in zip(lab, lab[1:], strict=False) if a == b)  # noqa: E731, B023
+        every = [value(lab) for lab in itertools.product((0, 1), repeat=len(feats))]
+        total += share * (value(y) - np.logaddexp.reduce(every))
+    return total - l2 * 1e-2 / 2 * (w @ w) - l2 * 1e-2 / 2 * (stay @ stay)
+
+
+def slope(rows, w, stay, step=1e-5):
+    out = []
+    both = np.concatenate([w, stay])
+    for i in range(len(both)):
+        d = np.zeros(len(both))
+        d[i] = step
+        up, down = both + d, both - d
+        out.append((log_likelihood(rows, up[:-2], up[-2:]) - log_likelihood(rows, down[:-2], down[-2:])) / (2 * step))
+    return np.array(out)
+
+
+def test_quality_fit_climbs_the_likelihood():
+    """The first step has the signs of the finite differences at zero; after many steps they have vanished."""
+    r = random.Random(5)
+    rows = []
+    for i in range(14):
+        y, lab = [], i % 2
+        for _ in range(r.randint(2, 7)):
+            lab = lab if r.random() < 0.7 else 1 - lab
+            y.append(lab)
+        rows.append((y, [[0, *([1] if r.random() < (0.7 if k else 0.3) else []), *([2] if r.random() < 0.5 else [])] for k in y]))
+    w, stay = Q.fit(rows, steps=1)
+    first = slope(rows, np.zeros(Q.N_FEATURES), np.zeros(2))
+    assert (np.sign(np.round(np.concatenate([w, stay]), 9)) == np.sign(np.round(first, 9))).all() and (first != 0).sum() >= 4
+    w, stay = Q.fit(rows, steps=4000)
+    assert -1 < stay.min() and stay.max() < 2  # not at the ends of their range
+    assert np.abs(slope(rows, w, stay)).max() < 2e-3 < np.abs(first).max() / 10
+
+
+def test_quality_verdict_of_a_fixed_model(spark):
+    """``kept`` by a model that calls many lines boilerplate, against the best of all labellings."""
+    r, g = random.Random(6), np.random.default_rng(6)
+    model = (g.normal(size=Q.N_FEATURES) * 1.5, np.array([0.4, 0.9]))
+    model[0][0] -= 2.0
+    texts = [None, "", "one " * 60]
+    for _ in range(60):
+        line = lambda: " ".join(r.choice(["WORD", "a###", "b!!", str(r.randint(0, 99)), *[f"w{chr(97 + r.randint(0, 25))}{chr(97 + r.randint(0, 25))}"] * 12]) for _ in range(r.randint(1, 25)))
+        some = [line() for _ in range(r.randint(1, 9))]
+        texts.append("\n".join([*some, *some[: r.randint(0, 1)]]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x for x in Q.label(df, model).collect()}
+    verdicts = set()
+    for i, t in enumerate(texts):
+        feats, counts, _ = Q.lines_of(t or "")
+        e = [float(model[0][f].sum()) for f in feats]
+        value = lambda lab: sum(s for s, k in zip(e, lab, strict=True) if k) + sum(model[1][a] for a, b in zip(lab, lab[1:], strict=False) if a == b)  # noqa: E731, B023
+        best = max(itertools.product((0, 1), repeat=len(feats)), key=lambda lab: (round(value(lab), 9), [-k for k in lab]))
+        good, n = sum(c for c, k in zip(counts, best, strict=True) if not k), sum(counts)
+        assert got[i]["content_words"] == good
+        assert got[i]["kept"] == (not got[i]["base_failed"] and 2 * good >= n)
+        verdicts.add((got[i]["base_failed"], got[i]["kept"]))
+    assert verdicts == {(True, False), (False, True), (False, False)}
+
+
+def test_quality_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = Q.train(docs, labels.where(~out))
+    rows = Q.label(docs.where(out), model).join(labels.where(out), "doc_id").select("quality", "base_failed", "kept").collect()
+    bad, good = [r for r in rows if r["quality"] == 0], [r for r in rows if r["quality"] == 1]
+    assert len(bad) > 150 and len(good) > 1000
+    assert sum(r["kept"] for r in bad) <= 0.02 * len(bad)
+    assert sum(r["kept"] for r in good) >= 0.94 * len(good)
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, labels.where(~out))
+    rows = toxicity.score(docs.where(out), model).join(labels.where(out), "doc_id").select("toxic", "score").collect()
+    toxic, clean = [r["score"] for r in rows if r["toxic"] == 1], [r["score"] for r in rows if r["toxic"] == 0]
+    assert len(toxic) > 100 and len(clean) > 1000
+    assert sum(s >= toxicity.THRESHOLD for s in toxic) >= 0.85 * len(toxic)
+    assert sum(s >= toxicity.THRESHOLD for s in clean) <= 0.005 * len(clean)
+
+
+@pytest.mark.parametrize("fairness", [1.0, 50.0])
+def test_toxicity_gap_shrinks(fairness):
+    """The counterfactual penalty makes the swapped terms' scores nearer than without it, by more than a rounding."""
+    memo, r, rows = {}, random.Random(2), []
+    f = lambda t: np.unique(np.array([b for w in toxicity.tokens(t) for b in toxicity._buckets(w, memo)], np.int32)).tobytes()
+    for i in range(600):
+        bad = i % 4 == 0
+        name = "muslim" if r.random() < (0.7 if bad else 0.05) else "christian" if r.random() < 0.5 else ""
+        rows.append((int(bad), f(" ".join(f"v{r.randrange(60)}" for _ in range(12)) + f" {name} {'idiot' if bad and r.random() < 0.8 else ''}"), [toxicity.IDENTITY_TERMS.index(name)] if name else []))
+    gap = {}
+    for x in (0.0, fairness):
+        _, w = toxicity.fit(rows, fairness=x)
+        of = lambda t: sum(w.get(b, 0.0) for b in toxicity._buckets(t, memo))  # noqa: E731, B023
+        gap[x] = abs(of("muslim") - of("christian")) / max(of("idiot"), 1e-9)
+    assert gap[0.0] > 0.05 and gap[fairness] < 0.9 * gap[0.0]
