@@ -14,8 +14,8 @@ Work is on distinct texts, named by two hashes: copies meet the benchmark once,
 share an id with different texts are told apart.
 
 Skew: the document side only streams through the seed join. The seed table is broadcast while its rows times
-``ROW_BYTES`` stay under ``broadcast_bytes``; beyond that a bitmap of the seeds (``2**SLOT_BITS`` words of 64 bits,
-whatever the benchmark's size) is broadcast instead and drops the windows that no seed can match before both sides
+``ROW_BYTES`` stay under ``broadcast_bytes``; beyond that a bitmap of the seeds (16 bits a seed, but ``2**MOST_SLOT_BITS`` words of
+64 bits at most: with 16 million seeds it lets through 6 % of the windows that no seed matches) is broadcast instead and drops the windows that no seed can match before both sides
 are shuffled by seed, where the adaptive plan splits frequent seeds. Hits are reduced to distinct (text, item, diagonal) before
 anything is grouped, written, counted, and joined with the texts in the same two ways.
 
@@ -42,8 +42,8 @@ SHORT_MASKS = ((5, 6, ("111", "1101")), (7, 12, ("1111", "11011")))
 MIN_WORDS, MIN_SHARE = 13, 0.8
 #: A broadcast's bound, and what a row of seeds or hits takes in it at most (its fields, the hash table's slot and overhead).
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 80
-#: The bitmap that stands before a shuffle of seeds has 2**SLOT_BITS slots of 64 bits.
-SLOT_BITS = 18
+#: The bitmap that stands before a shuffle of seeds has 2**LEAST_SLOT_BITS to 2**MOST_SLOT_BITS slots of 64 bits.
+LEAST_SLOT_BITS, MOST_SLOT_BITS = 14, 22
 
 
 def words(text) -> F.Column:
@@ -62,11 +62,16 @@ def key() -> F.Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
-def may_hold(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """The probes whose seed's bit is set in a bitmap of the index's seeds; of fixed size, so it can be broadcast."""
-    slot = lambda s: F.shiftrightunsigned(s, 64 - SLOT_BITS).cast("int")
+def slot_bits(seeds_: int) -> int:
+    """About 16 bits a seed, within the bounds."""
+    return min(max((max(seeds_, 1) * 16 // 64).bit_length(), LEAST_SLOT_BITS), MOST_SLOT_BITS)
+
+
+def may_hold(probes: DataFrame, index: DataFrame, seeds_: int) -> DataFrame:
+    """The probes whose seed's bit is set in a bitmap of the index's seeds; of bounded size, so it can be broadcast."""
+    slot = lambda s: F.shiftrightunsigned(s, 64 - slot_bits(seeds_)).cast("int")
     bit = lambda s: F.expr(f"shiftleft(1L, cast({s} & 63 as int))")
-    bitmap = index.groupBy(slot("seed").alias("_slot")).agg(F.bit_or(bit("seed")).alias("_bits"))  # 2**SLOT_BITS rows at most
+    bitmap = index.groupBy(slot("seed").alias("_slot")).agg(F.bit_or(bit("seed")).alias("_bits"))  # 2**MOST_SLOT_BITS rows at most
     return probes.join(F.broadcast(bitmap), slot(probes["seed"]) == F.col("_slot")).where(F.col("_bits").bitwiseAND(bit("seed")) != 0).drop("_slot", "_bits")
 
 
@@ -91,10 +96,11 @@ def decontaminate_texts(spark: SparkSession, docs: DataFrame, benchmark: DataFra
     each = lambda h, which: F.explode(F.array(*[F.when(w, seeds(F.col(h), F.col("at"), m, t)) if which else seeds(F.col(h), F.col("at"), m, t) for m, t, w in shapes])).alias("seed")
     index = items.select("item_id", "item_key", "hw", places("hw")).select("item_id", "item_key", F.col("at").alias("item_at"), each("hw", True)).where("seed is not null").distinct()
     index = Table(spark, index).df
-    small = index.count() * ROW_BYTES <= broadcast_bytes
+    n_seeds = index.count()
+    small = n_seeds * ROW_BYTES <= broadcast_bytes
     hashed = docs.select(key().alias("text_key"), once(F.transform(words(F.col("text")), lambda w: F.xxhash64(w))).alias("h")).where(F.size("h") > 0)
     probes = hashed.select("text_key", "h", places("h")).select("text_key", "at", each("h", False)).where("seed is not null")
-    hits = probes.join(F.broadcast(index), "seed") if small else may_hold(probes, index).join(index, "seed")
+    hits = probes.join(F.broadcast(index), "seed") if small else may_hold(probes, index, n_seeds).join(index, "seed")
     hits = hits.select("text_key", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     # Lay each item over the text at its diagonals. Hits are few next to documents, so they go to the texts, not the
     # texts to them, as long as they stay within the broadcast's bound; beyond that both are shuffled.

@@ -3,7 +3,8 @@
 Every line with a word gets binary features of its look (share of symbols, capitals, digits, repeated
 words, words glued to punctuation, length, being a copy of an earlier line). A two-label chain (content,
 boilerplate) is trained here by gradient ascent on the exact conditional likelihood (forward-backward),
-on at most ``sample`` labelled documents, those with the smallest hash of their id.
+on at most ``sample`` labelled documents, those with the smallest hash of their id, of up to SAMPLE_BYTES each
+(longer ones are labelled like any other, but not trained on, so that the driver's share is bounded in bytes too).
 
 The lines of a training document get weak labels of their own, with the document's label as prior: in a document of quality 1
 a line is content, unless it repeats an earlier line, is one that ``COMMON`` or more of the sampled documents hold, or
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD_RE
 
-SAMPLE, MIN_SHARE, SEGMENT = 3_000, 0.5, 200
+SAMPLE, SAMPLE_BYTES, MIN_SHARE, SEGMENT = 3_000, 1 << 20, 0.5, 200
 #: A line that this many sampled documents hold is boilerplate in all of them.
 COMMON = 3
 WORDS = re.compile(WORD_RE)
@@ -147,7 +148,9 @@ def weak_labels(rows: list[tuple[int, list[list[int]], list[int], list[int]]]) -
 
 
 def fit(rows: list[tuple[list[int], list[list[int]]]], steps: int = 60, l2: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
-    """Emission weights for boilerplate and the two scores for staying in a label; rows are (label of each line, features of each line).
+    """Emission weights for boilerplate and the two scores for staying in a label (held between -1 and 2); rows are (label of each line, features of each line).
+
+    Without rows, without lines or with one label only everything is zero; a row without lines is left out; equal rows count as often as they are given.
 
     Sequences are laid side by side, so that forward and backward run over all of them at once; a document of more
     than ``SEGMENT`` lines is laid as several, all of which count, and loses only the transitions between them.
@@ -221,7 +224,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """doc_id and r (quality, lines, names, counts): at most ``sample`` rows, one an id, however often ids repeat in either table."""
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "quality")
+    found = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES)
+    found = found.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "quality")
     return found.mapInArrow(_training, "doc_id long, quality int, lines array<array<int>>, names array<long>, counts array<long>").groupBy("doc_id").agg(F.min(F.struct("quality", "lines", "names", "counts")).alias("r"))
 
 

@@ -20,7 +20,7 @@ rows, sends on to the buckets below its own, and takes the answers apart again;
 proportion to the input also where chunks times buckets are not.
 
 Cases: null and empty texts have no words and lose none (kept text is empty); texts shorter than a window
-lose none; repeated rows are copies of one another, also under one doc_id; an empty table gives no rows;
+lose none; repeated rows are copies of one another, also under one doc_id (equal rows, id and all, share a chunk); an empty table gives no rows;
 extra columns are ignored, whatever their names.
 """
 

@@ -66,7 +66,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: float = 1.0, steps: int = 300) -> tuple[float, dict[int, float]]:
-    """The bias and the non-zero weights of the buckets."""
+    """The bias and the non-zero weights of the buckets.
+
+    Without rows, or with one label only, there are no weights and the bias decides for that label (0 without rows); rows without
+    features count for the bias; equal rows count as often as they are given.
+    """
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return (-50.0 if not len(y) or y.max() == 0 else 50.0), {}
