@@ -115,6 +115,7 @@ def environment_client(kind: str = "google", model: str | None = None) -> Callab
             self.client = genai.Client(api_key=os.environ["GOOGLE_API_KEY"])
 
         def invoke(self, parts):
+            # Fixed values.
             config = {"temperature": 0.25, "top_p": 0.5, "response_mime_type": "text/plain", "thinking_config": {"thinking_budget": 0}, "seed": 42}
             reply = self.client.models.generate_content(model=model, contents=contents(parts), config=config)
             return reply.text, reply.usage_metadata.prompt_token_count, reply.usage_metadata.candidates_token_count

@@ -73,12 +73,14 @@ def dhash(v: np.ndarray, side: int = 8) -> str:
 
 
 def brightness(mean: float) -> float:
+    """Its cut points are fixed values."""
     if 30 < mean < 230:
         return 1.0
     return float(np.clip(min((mean - 15) / 15, (245 - mean) / 15), 0, 1))
 
 
 def edge_score(ratio: float) -> float:
+    """Its cut points are fixed values."""
     return ratio / 0.03 if ratio < 0.03 else 1.0 if ratio > 0.10 else 0.5 + (ratio - 0.03) / 0.14
 
 
@@ -185,7 +187,7 @@ def confident(scores: F.Column, threshold: float = TEXT_CONFIDENCE) -> F.Column:
 
 
 def odd_shape(width: F.Column, height: F.Column) -> F.Column:
-    """Small, long or flat pictures: a rule that is off unless asked for."""
+    """Small, long or flat pictures: a rule that is off unless asked for. Its cut points are fixed values."""
     short, long_ = F.least(width, height), F.greatest(width, height)
     return ((width < 100) & (height < 100)) | (short / long_ < 0.35) | ((width > 500) & (height < 80)) | ((height > 500) & (width < 80))
 

@@ -103,7 +103,7 @@ def payload(data: bytes, limit: tuple[int, int] = (2048, 2048)) -> tuple[bytes,
     height, width = px.shape[:2]
     scale = min(1.0, limit[0] / width, limit[1] / height)
     if scale < 1:
-        px = resize(px, max(1, round(width * scale)), max(1, round(height * scale)))
+        px = resize(px, max(1, int(width * scale + 0.5)), max(1, int(height * scale + 0.5)))  # as functions.text.thumbnail_size
     if mode(data) in ("RGBA", "LA", "P"):
         return encode_png(px), "image/png"
     return encode_jpeg(px, 85), "image/jpeg"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 
@@ -42,16 +41,14 @@ _FOLDERS: dict[str, str] = {}
 
 
 def application_folder(spark: SparkSession) -> str:
-    """A folder for this application's intermediate tables, removed when the driver's Python ends."""
+    """A folder for this application's intermediate tables, removed when the driver's JVM ends, whether the session was stopped before or not."""
     name = spark.sparkContext.applicationId
     if name not in _FOLDERS:
         _FOLDERS[name] = path = f"{shared_dir(spark)}/quire-{name}"
-
-        def clean() -> None:
-            if spark.sparkContext._jsc is not None:  # the session may have been stopped before
-                remove(spark, path)
-
-        atexit.register(clean)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
     return _FOLDERS[name]
 
 

@@ -278,3 +278,45 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(f"{out}2").count() == 2
     files.write_text(rows.select(F.col("h").alias("text")), f"{out}3")
     assert sorted(r["value"] for r in spark.read.text(f"{out}3").collect()) == ["a", "a", "b"]
+
+
+def test_odd_shapes(spark, folder):
+    """The four cases of the rule, at their edges; and the option that asks for it."""
+    sizes = [(99, 99), (100, 99), (99, 100), (100, 286), (100, 285), (501, 79), (501, 80), (500, 200), (79, 501), (200, 200)]
+    df = spark.createDataFrame(sizes, "w int, h int").select("w", "h", raster.odd_shape(F.col("w"), F.col("h")).alias("odd"))
+    assert [r["odd"] for r in df.collect()] == [True, False, False, True, False, True, True, False, True, False]
+    kept = read(spark, folder, ocr.Options())
+    none = read(spark, folder, ocr.Options(odd_shapes=True))  # the pictures here are 64 by 64
+    assert "seen" in kept["a.pdf"]["text"] and "seen" not in none["a.pdf"]["text"]
+
+
+def test_skipped_images_leave_a_message(spark, folder):
+    got = read(spark, folder, ocr.Options(min_score=1.1, mark_skipped=True))
+    assert got["b.docx"]["text"] == f"before\n{T.NO_MEANING}\nafter\n"
+    assert got["a.pdf"]["text"].count(T.NO_MEANING) == 3
+
+
+def test_gray_of_colours(spark, tmp_path):
+    """Luma in whole numbers against the formula, for every channel and mixed; and colour pictures through the scores."""
+    px = RNG.integers(0, 256, (50, 60, 3)).astype(np.uint8)
+    px[0, :3] = [[255, 0, 0], [0, 255, 0], [0, 0, 255]]
+    want = np.floor((px.astype(float) * [19595, 38470, 7471]).sum(2) / 65536 + 0.5).astype(int)
+    assert (raster.gray(px) == want).all() and raster.gray(px)[0, :3].tolist() == [76, 150, 29]
+    assert np.abs(want - px.astype(float) @ [0.299, 0.587, 0.114]).max() <= 0.51
+    df = spark.createDataFrame([("a", images.encode_png(px)), ("b", images.encode_png(raster.gray(px)))], "image_id string, bytes binary")
+    got = {r["image_id"]: r for r in raster.score(df, images.decode).collect()}
+    assert got["a"]["dhash"] == got["b"]["dhash"] == raster.dhash(raster.gray(px))
+    assert got["a"]["entropy"] == got["b"]["entropy"] and got["a"]["uniqueness"] > got["b"]["uniqueness"]
+
+
+def test_folder_goes_with_the_jvm(tmp_path):
+    """Intermediate tables are gone when the program has ended, also after spark.stop()."""
+    import os
+    import subprocess
+
+    code = (f"import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})\n"
+            "from pyspark.sql import SparkSession\nfrom quire.storage import Table\n"
+            f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', 'file://{tmp_path}/ck').getOrCreate()\n"
+            f"t = Table(s, s.range(5))\nimport os\nassert t.df.count() == 5 and os.listdir('{tmp_path}/ck')\ns.stop()\n")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=200, capture_output=True)
+    assert not [n for n in os.listdir(tmp_path / "ck") if n.startswith("quire-")]
