@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as base
-from . import runs, temporal  # noqa: F401  they register their queries
+from . import files, runs, temporal  # noqa: F401  they register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
