@@ -117,22 +117,23 @@ def read_files(spark: SparkSession, files: DataFrame, options: ocr.Options | Non
     """
     options = options or ocr.Options()
     files = S.strict(files) if strict else files
-    out = [S.texts(files).select("path", F.lit(0).alias("part_no"), "text", F.lit("ok").alias("status"))]
-    out.append(S.sheets(files).select("path", F.coalesce("sheet_no", F.lit(0)).alias("part_no"), "text", "status"))
-    out.append(files.where("kind in ('rejected_image', 'unsupported', 'not_found')").select("path", F.lit(0).alias("part_no"), F.lit(None).cast("string").alias("text"), F.col("kind").alias("status")))
-    blocks = S.blocks(files)
+    held = Table(spark, S.parts(files)).df  # files are read once
+    whole, books = (held.where(F.col("block_type") == t).select("path", "text", "status") for t in (S.WHOLE, S.SHEETS))
+    out = [whole.select("path", F.lit(0).alias("part_no"), "text", "status")]
+    out.append(S.split(books).select("path", F.coalesce("sheet_no", F.lit(0)).alias("part_no"), "text", "status"))
+    blocks = held.where(F.col("block_type") < S.WHOLE)
     if options.enable_ocr:
-        blocks = Table(spark, blocks).df
         found, _, scores = replies(spark, blocks, options, make, detector, form, ledger, seen, run, settings)
         if seen is not None and scores is not None:
             found = Table(spark, found).df  # before this run's hashes are there
             commit(seen, scores, run)
+    ours = F.col("status") == "ok"
     image = F.when(F.col("block_type") == 1, T.image_id(*[F.col(k) for k in KEYS]))
     text = F.when(F.col("block_type") == 0, T.block_line(F.col("text"))).otherwise(F.lit(""))
-    lines = blocks.where("status = 'ok'").select(*KEYS, image.alias("image_id"), text.alias("text"))
+    lines = blocks.where(ours).select(*KEYS, image.alias("image_id"), text.alias("text"))
     lines = A.with_replies(lines, found) if options.enable_ocr else lines
     whole = A.documents(A.pages(lines, ("path", "page_no")), "path", "page_no").select("path", "text", F.lit("ok").alias("status"))
-    failed = blocks.where("status <> 'ok'").select("path", F.lit("").alias("text"), "status")
+    failed = blocks.where(~ours).select("path", F.lit("").alias("text"), "status")
     out.append(whole.unionByName(failed).select("path", F.lit(0).alias("part_no"), "text", "status"))
     result = reduce(DataFrame.unionByName, out).select("path", "part_no", kind_of(F.col("path"), F.col("status")).alias("kind"), "text", "status")
     if watch is not None:

@@ -24,6 +24,8 @@ A_NS = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 R_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
+#: The kinds that a reader takes.
+READ = ("text", "excel", "docx", "pdf")
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -275,6 +277,39 @@ def pdf_blocks(data: bytes) -> list[tuple[int, int, str | None, bytes | None]]:
     return out
 
 
+#: Block types beyond a document's own: a whole text, a spreadsheet's markdown, and the mark that a page is there.
+WHOLE, SHEETS, PAGE = 2, 3, -1
+
+
+def parts(files: DataFrame) -> DataFrame:
+    """All files in one reading: the blocks of PDF and word-processor files, texts and spreadsheets as one row each, and a row with its kind as status for what no reader takes."""
+
+    def one(path: str, kind: str, ext: str, data: bytes) -> list[tuple]:
+        if kind == "text":
+            return [(path, 0, 0, WHOLE, data.decode("utf-8", "replace"), None, "ok")]
+        if kind == "excel":
+            return [(path, 0, 0, SHEETS, None, None, "unsupported") if ext == ".xls" else (path, 0, 0, SHEETS, sheets_markdown(data), None, "ok")]
+        found = (docx_blocks if kind == "docx" else pdf_blocks)(data)
+        found.append((found[-1][0] if found else 0, PAGE, None, None))  # a file is a file, even an empty one
+        return [(path, p, i, k, t, b, "ok") for i, (p, k, t, b) in enumerate(found)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for path, kind, ext, data in zip(f["path"], f["kind"], f["ext"], f["content"], strict=True):
+                if kind not in READ:
+                    rows.append((path, 0, 0, WHOLE, None, None, kind))
+                    continue
+                try:
+                    rows.extend(one(path, kind, ext, bytes(data)))
+                except Exception:  # the file's own failure, reported in its row
+                    rows.append((path, 0, 0, {"text": WHOLE, "excel": SHEETS}.get(kind, PAGE), None, None, "open_failed"))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"page_no": "Int32", "block_no": "Int32", "block_type": "Int32"})
+
+    content = F.when(F.col("kind").isin(*READ), F.col("content"))
+    return files.select("path", "kind", "ext", content.alias("content")).mapInPandas(run, BLOCKS)
+
+
 def blocks(files: DataFrame) -> DataFrame:
     """Blocks of word-processor and PDF files. A file that cannot be opened is one row with a status."""
 
@@ -307,7 +342,12 @@ def sheets(files: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["text", "status"])
 
     read = files.where("kind = 'excel'").select("path", markdown("ext", "content").alias("m"))
-    return read.select("path", F.posexplode_outer(T.split_sheets(T.clean_text(F.col("m.text")))).alias("sheet_no", "text"), "m.status")
+    return split(read.select("path", "m.text", "m.status"))
+
+
+def split(books: DataFrame) -> DataFrame:
+    """path, sheet_no, text, status of the sheets of spreadsheets in markdown; one without sheets is one row."""
+    return books.select("path", F.posexplode_outer(T.split_sheets(T.clean_text(F.col("text")))).alias("sheet_no", "text"), "status")
 
 
 def write_text(docs: DataFrame, path: str, column: str = "text") -> None:
