@@ -20,10 +20,10 @@ extra columns are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections import defaultdict
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,35 +74,42 @@ def flow(counts: dict[int, int], nodes: list[tuple[int, int]], limit: list[int])
     return out
 
 
+def looked_up(values: np.ndarray, at: F.Column) -> F.Column:
+    """The value at a place of a fixed table of whole numbers under 2**32: four bytes each of one binary constant."""
+    four = F.substring(F.lit(values.astype(">u4").tobytes()), at * 4 + 1, F.lit(4))
+    return F.conv(F.hex(four), 16, 10).cast("int")
+
+
 def shard(spark: SparkSession, docs: DataFrame, shards: int = 40, replicas: int = 64, slack: float = 0.0, cell_rows: int = 20_000, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """The key, the kept columns, and shard int, slot long (gapless from 0 in each shard)."""
     nodes = ring_nodes(shards, replicas)
     places = [p for p, _ in nodes]
-    arc_of = [bisect.bisect_left(places, p) % len(nodes) for p in range(1 << RING_BITS)]
+    arc_of = np.searchsorted(places, np.arange(1 << RING_BITS)) % len(nodes)
     names = ["_key", *[f"_keep_{i}" for i in range(len(keep))]]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip((key, *keep), names, strict=True)])
     place = F.shiftrightunsigned(F.xxhash64("_key"), 64 - RING_BITS).cast("int")
-    table = spark.range(1).select(F.posexplode(F.split(F.lit(",".join(map(str, arc_of))), ",").cast("array<int>")).alias("_place", "_arc"))  # 2**RING_BITS rows, always
-    rows = rows.withColumn("_place", place).join(F.broadcast(table), "_place").drop("_place")
+    rows = rows.withColumn("_arc", looked_up(arc_of, place))
     counts = {r[0]: r[1] for r in rows.groupBy("_arc").count().collect()}  # an arc a row, shards * replicas at most
     by_arc: dict[int, list] = defaultdict(list)
     for arc, lo, hi, s, at in flow(counts, nodes, bounds(sum(counts.values()), shards, slack)):
         by_arc[arc].append((lo, hi, s, at))
-    arcs = [(arc, max(1, -(-counts[arc] // cell_rows)), spans) for arc, spans in sorted(by_arc.items())]
-    arcs = F.broadcast(spark.createDataFrame(arcs, "_arc int, _cells int, _spans array<struct<lo:long,hi:long,shard:int,at:long>>"))
-    rows = rows.join(arcs.select("_arc", "_cells"), "_arc").withColumn("_h", F.xxhash64(F.lit(1), *names)).withColumn("_cell", F.pmod("_h", "_cells").cast("int"))
-    cells = rows.groupBy("_arc", "_cell").count()
-    before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("_arc", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    arcs = F.broadcast(spark.createDataFrame(sorted(by_arc.items()), "_arc int, _spans array<struct<lo:long,hi:long,shard:int,at:long>>"))
+    cells_of = np.array([max(1, -(-counts.get(arc, 0) // cell_rows)) for arc in range(len(nodes))])
+    many_cells = cells_of.max() > 1
+    rows = rows.withColumn("_h", F.xxhash64(F.lit(1), *names)).withColumn("_cell", F.pmod("_h", looked_up(cells_of, F.col("_arc"))).cast("int") if many_cells else F.lit(0))
     equal = rows.groupBy("_arc", "_cell", "_h", *names).agg(F.count("*").alias("_copies"))
     within = Window.partitionBy("_arc", "_cell").orderBy("_h", *names).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = equal.withColumn("_n", F.coalesce(F.sum("_copies").over(within), F.lit(0))).join(cells, ["_arc", "_cell"]).withColumn("_first", F.col("_before") + F.col("_n"))
+    ranked = equal.withColumn("_first", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
+    if many_cells:  # the rows in an arc's earlier cells
+        before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = rows.groupBy("_arc", "_cell").count().select("_arc", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+        ranked = ranked.join(cells, ["_arc", "_cell"]).withColumn("_first", F.col("_before") + F.col("_first"))
     # A run of copies after the other; a long row of runs is dealt out before each run becomes rows.
     run = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(cell_rows).cast("long"))
     one = ranked.where("_copies = 1").select("_arc", *names, F.col("_first").alias("_rank"))
     runs = ranked.where("_copies > 1").select("_arc", *names, "_first", "_copies", F.explode(run).alias("_from")).repartition(F.xxhash64("_first", "_from"))
     many = runs.select("_arc", *names, F.explode(F.sequence(F.col("_first") + F.col("_from"), F.col("_first") + F.least(F.col("_from") + cell_rows, F.col("_copies")) - 1)).alias("_rank"))
-    rows = one.unionByName(many).join(arcs.select("_arc", "_spans"), "_arc")
+    rows = one.unionByName(many).join(arcs, "_arc")
     rows = rows.withColumn("_s", F.filter("_spans", lambda x: (x.lo <= F.col("_rank")) & (x.hi > F.col("_rank")))[0])
     own = [F.col(n).alias(c) for c, n in zip((key, *keep), names, strict=True)]
     return rows.select(*own, F.col("_s.shard").alias("shard"), (F.col("_s.at") + F.col("_rank") - F.col("_s.lo")).alias("slot"))
