@@ -19,7 +19,9 @@ the suffixes at anchors, each with the bytes before it, finds every repeat with
 Runs are dealt to buckets by the hash of a suffix's first 24 bytes: neighbours that matter stay together, and
 a frequent prefix does not make a hot range. A string costs a bucket one entry a chunk, however often it repeats.
 
-The rows of the second exchange number chunks times merging buckets that meet; they carry only suffixes whose 24 bytes repeat.
+The second exchange carries only suffixes whose 24 bytes repeat. Where it has over ``top`` merging buckets, relays stand between here too: a relay merges
+the runs of as many chunks as make a bucket's entries together, for one of ``top`` parts, sends runs on to the buckets of that part, and takes
+their answers apart again. So its rows, and the entries they hold, are in proportion to the input.
 
 Cases: null text is empty; ties (equal strings) go to the smallest doc_id, so its copy stays; very long texts are one row of a chunk; empty and short texts lose nothing; a null doc_id counts as larger than all; rows
 with the same doc_id never cut one another; an empty table gives no rows; extra columns are ignored.
@@ -44,6 +46,12 @@ _U = np.uint64
 _NONE = np.iinfo(np.int64).max
 
 
+def gram_hash(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Of 24 bytes, as three numbers."""
+    h = mix(a ^ _U(0x9E3779B97F4A7C15)) + b
+    return mix(mix(h) + c)
+
+
 class _Chunk:
     """The anchors of a chunk's documents, in the order of their ids and texts."""
 
@@ -84,9 +92,7 @@ class _Chunk:
         self.anchors = of[new].astype(np.int64)
         self.which = np.cumsum(new) - 1  # of a place: the number of its anchor
         a = self.anchors
-        h = mix(words[a] ^ _U(0x9E3779B97F4A7C15)) + words[a + 8]
-        h = mix(h) + words[a + 16]
-        self.h = mix(h)
+        self.h = gram_hash(words[a], words[a + 8], words[a + 16])
         self.doc = np.searchsorted(self.end, a, "right")
         doc_ids = np.array([_NONE if i is None else i for i in self.ids], np.int64)
         self.doc_ids = doc_ids
@@ -226,7 +232,8 @@ def smallest(keys: np.ndarray, lcp: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _merge_bucket(rows: pa.Table) -> pa.Table:
+def _merged(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of several runs: the distinct keys in order, their common prefix lengths and smallest ids, and for each run the places of its entries among them."""
     runs = [decode_run(p, r) for p, r in zip(rows.column("prefix").to_pylist(), rows.column("rest").to_pylist(), strict=True)]
     docs = [np.frombuffer(unpack(d), np.int64) for d in rows.column("docs").to_pylist()]
     order, lcp = merge_runs(runs)
@@ -239,12 +246,44 @@ def _merge_bucket(rows: pa.Table) -> pa.Table:
         flat[at] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, WIDTH)
     first = np.flatnonzero(lcp < WIDTH)
     entry = np.cumsum(lcp < WIDTH) - 1
-    least = smallest(flat[first], lcp[first], np.minimum.reduceat(doc, first))
+    return flat[first], lcp[first], np.minimum.reduceat(doc, first), [entry[at] for at in seen]
+
+
+def _answer(rows: pa.Table, least: np.ndarray, places: list[np.ndarray]) -> pa.Table:
+    """To each run, the smallest ids of its entries' strings."""
     least = np.diff(least, axis=1, prepend=np.int64(0))  # repeats compress to nothing
-    bits = [pack(np.ascontiguousarray(least[entry[at]].T).tobytes()) for at in seen]
+    bits = [pack(np.ascontiguousarray(least[at].T).tobytes()) for at in places]
     return pa.table({"chunk": rows.column("chunk").cast(pa.int32()), "bucket": rows.column("bucket").cast(pa.int32()), "step": pa.array([2] * len(bits), pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
+def _merge_bucket(rows: pa.Table) -> pa.Table:
+    keys, lcp, docs, places = _merged(rows)
+    return _answer(rows, smallest(keys, lcp, docs), places)
+
+
+def _run_rows(number: int, keys: np.ndarray, docs: np.ndarray, lot: np.ndarray) -> tuple[pa.Table, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """A run for each lot that occurs, of sorted keys; the keys' order by lot, and the lots' bounds."""
+    order = np.argsort(lot, kind="stable")
+    held, cuts = groups(lot[order])
+    out: dict[str, list] = {x.split()[0]: [] for x in RUN.split(", ")}
+    for b, lo, hi in zip(held.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        at = order[lo:hi]
+        for name, v in zip(out, (number, b, *encode_run(keys[at]), pack(docs[at].tobytes())), strict=True):
+            out[name].append(v)
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds, strict=True)}), order, (held, cuts)
+
+
+def _least_of(replies: pa.Table, n: int, order: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The answers to a run's keys, put together from those to its lots."""
+    least = np.full((n, SPAN), _NONE)
+    for b, bits in _by_step(replies, 2):
+        i = int(np.searchsorted(bounds[0], b))
+        at = order[bounds[1][i] : bounds[1][i + 1]]
+        least[at] = np.cumsum(np.frombuffer(unpack(bits), np.int64).reshape(SPAN, len(at)), axis=0).T
+    return least
+
+
 def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_anchors: int = BUCKET_ANCHORS, top: int = TOP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_bytes (binary: cuts may fall within a character)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -262,37 +301,37 @@ def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
         _, rank, cuts = _send(0, sent_to, c.h, np.ones(len(c.h), bool), None, wide)
         return np.flatnonzero(_received(_by_step(replies, 1), cuts)[rank])
 
+    below = max((merges - 1).bit_length() - (top - 1).bit_length(), 0)  # the bits of a lot that its part does not tell
+    run_chunks = max(1, 14 * (bucket_anchors // 8) * top // chunk_bytes)
+
     def lots(h: np.ndarray) -> np.ndarray:
         return ((h >> _U(3)) % _U(merges)).astype(np.int64)
 
+    def forward(rows: pa.Table) -> pa.Table:
+        keys, _, docs_, _ = _merged(rows)
+        grams = np.ascontiguousarray(keys[:, :GRAM]).view("<u8")
+        return _run_rows(rows.column("relay")[0].as_py(), keys, docs_, lots(gram_hash(*grams.T)))[0]
+
+    def back(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        keys, _, docs_, places = _merged(rows)
+        grams = np.ascontiguousarray(keys[:, :GRAM]).view("<u8")
+        _, order, bounds = _run_rows(0, keys, docs_, lots(gram_hash(*grams.T)))
+        return _answer(rows, _least_of(replies, len(keys), order, bounds), places)
+
     def send_runs(_, docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {x.split()[0]: [] for x in RUN.split(", ")}
-        if docs_.num_rows:
-            c = _Chunk(docs_)
-            keys, h, least, _ = c.entries(shared(c, replies))
-            lot = lots(h)
-            order = np.argsort(lot, kind="stable")
-            held, cuts = groups(lot[order])
-            for b, lo, hi in zip(held.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                at = order[lo:hi]
-                prefix, rest = encode_run(keys[at])
-                for name, v in (("chunk", docs_.column("chunk")[0].as_py()), ("bucket", b), ("prefix", prefix), ("rest", rest), ("docs", pack(least[at].tobytes()))):
-                    out[name].append(v)
-        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds, strict=True)})
+        if not docs_.num_rows:
+            return _run_rows(0, np.zeros((0, WIDTH), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))[0]
+        c = _Chunk(docs_)
+        keys, h, least, _ = c.entries(shared(c, replies))
+        return _run_rows(docs_.column("chunk")[0].as_py(), keys, least, lots(h) >> below)[0]
 
     def cut(_, docs_: pa.Table, replies: pa.Table) -> pa.Table:
         c = _Chunk(docs_)
         use = shared(c, replies)
         keys, h, _, rank = c.entries(use)
-        lot = lots(h)
+        lot = lots(h) >> below
         order = np.argsort(lot, kind="stable")
-        held, bounds = groups(lot[order])
-        least = np.full((len(keys), SPAN), _NONE)
-        for b, bits in _by_step(replies, 2):
-            i = int(np.searchsorted(held, b))
-            at = order[bounds[i] : bounds[i + 1]]
-            least[at] = np.cumsum(np.frombuffer(unpack(bits), np.int64).reshape(SPAN, len(at)), axis=0).T
+        least = _least_of(replies, len(keys), order, groups(lot[order]))
         number = np.full(len(c.anchors), -1)
         number[use] = rank
         entry = number[c.which]
@@ -316,7 +355,13 @@ def dedup(spark: SparkSession, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
     sent = dealt.groupBy("chunk").applyInArrow(mark, EXCHANGE)
     hits = answers(sent, 1, buckets, top, relay_chunks)
     runs = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(send_runs, RUN)
-    found = runs.groupBy("bucket").applyInArrow(_merge_bucket, REPLY)
+    if not below:
+        found = runs.groupBy("bucket").applyInArrow(_merge_bucket, REPLY)
+    else:
+        relayed = runs.withColumn("relay", F.floor(F.col("chunk") / run_chunks).cast("int"))
+        found = relayed.groupBy("relay", "bucket").applyInArrow(forward, RUN).groupBy("bucket").applyInArrow(_merge_bucket, REPLY)
+        found = found.withColumn("relay", F.col("chunk")).withColumn("part", F.shiftright("bucket", below))
+        found = relayed.groupBy("relay", "bucket").cogroup(found.groupBy("relay", "part")).applyInArrow(back, REPLY)
     return dealt.groupBy("chunk").cogroup(hits.unionByName(found).groupBy("chunk")).applyInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary")
 
 

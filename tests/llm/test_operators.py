@@ -68,7 +68,7 @@ def test_substring_dedup(spark, docs, rows, chunk_bytes, bucket_words, top):
     assert got(out, "doc_id", "n_words", "n_removed", "kept_text") == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("chunk_bytes, bucket_anchors, top", [(20_000, 800, 1024), (8_000, 200, 2)])
+@pytest.mark.parametrize("chunk_bytes, bucket_anchors, top", [(20_000, 800, 1024), (8_000, 200, 2), (8_000, 400, 16)])
 def test_suffix_dedup(spark, docs, rows, chunk_bytes, bucket_anchors, top):
     first, want = {}, []
     for i, t in sorted(rows, key=lambda r: r[0]):
