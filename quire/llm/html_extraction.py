@@ -191,7 +191,7 @@ def close(stack: list[Node], tags: tuple[str, ...], through: frozenset | None) -
             return
 
 
-def blocks(root: Node, low: frozenset = frozenset(), lists: bool = False) -> list[str]:
+def blocks(root: Node, low: frozenset = frozenset(), lists: bool = True) -> list[str]:
     """The text of every block that stays, white space made one space. ``low`` are nodes that go; with ``lists`` those that a list names do too."""
     out: list[str] = []
     run: list[str] = []
@@ -353,7 +353,7 @@ def extract(spark: SparkSession, pages: DataFrame, threshold: float = THRESHOLD,
             out = []
             for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True):
                 root = parse(html or "")
-                out.append("\n".join(blocks(root, frozenset(low or ())) or blocks(root, lists=True)))
+                out.append("\n".join(blocks(root, frozenset(low or ()), lists=False) or blocks(root)))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return dealt.select("page_id", "url", "html", "low").mapInArrow(texts, "page_id long, url string, text string, n_chars long")

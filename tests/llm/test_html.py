@@ -58,7 +58,7 @@ def brute(pages, threshold=H.THRESHOLD, evidence=H.EVIDENCE, lists=True):
     low, out = brute_low(pages, threshold, evidence, lists), []
     for url, html in pages:
         root = H.parse(html or "")
-        out.append("\n".join(H.blocks(root, frozenset(node for h, node in low if h == names_of(url)[0])) or H.blocks(root, lists=True)))
+        out.append("\n".join(H.blocks(root, frozenset(node for h, node in low if h == names_of(url)[0]), lists=False) or H.blocks(root)))
     return out
 
 
@@ -91,7 +91,7 @@ def test_tree_decides_on_the_tables(spark, sf):
     """At every size the article is what is left, with the lists and without them; without the tree menus are left in every page."""
     pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
     got, unlisted, bare = ({x["page_id"]: x["text"] for x in H.extract(spark, pages, **o).collect()} for o in ({}, {"lists": False}, {"threshold": 0.0}))
-    article = {x["page_id"]: "\n".join(H.blocks(H.parse(re.search(r"<article\b.*</article>", x["html"], re.S).group()))) for x in pages.collect()}
+    article = {x["page_id"]: "\n".join(H.blocks(H.parse(re.search(r"<article\b.*</article>", x["html"], re.S).group()), lists=False)) for x in pages.collect()}
     assert got == article
     assert sum(bare[k] != got[k] for k in got) == len(got)
     if sf != "sf0.001":
@@ -142,8 +142,8 @@ def test_copies_are_no_template(spark):
         ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p>", "so x=2 holds"),
         ("<p>&lt;b&gt; &amp;amp; &#233;&nbsp;x</p>", "<b> &amp; é x"),
         ("<script>if (a</b) '<p>'</script><p>b", "b"),
-        ("<p>b</p><p> </p>", "b"),
+        ("<header>h</header><nav>n</nav><p>b</p><footer>f</footer>", "b"),
     ],
 )
 def test_parser_cases(html, want):
-    assert "\n".join(H.blocks(H.parse(html), lists=True)) == want
+    assert "\n".join(H.blocks(H.parse(html))) == want
