@@ -28,6 +28,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import fresh
 
 BITS, THRESHOLD, SAMPLE = 20, 0.7, 10_000
+#: Sizes of the prefixes that stand beside a word: its stem in several languages.
+PREFIXES = (4, 6)
 
 #: Group names that are swapped for one another (English, French, German, Spanish).
 IDENTITY_TERMS = tuple(
@@ -47,7 +49,7 @@ def _buckets(word: str, memo: dict[str, tuple[int, ...]]) -> tuple[int, ...]:
     got = memo.get(word)
     if got is None:
         mask = (1 << BITS) - 1
-        names = ["=" + word, *("^" + word[:n] for n in (3, 4, 5) if len(word) > n)]
+        names = ["=" + word, *("^" + word[:n] for n in PREFIXES if len(word) > n)]
         got = tuple(zlib.crc32(x.encode()) & mask for x in names)
         if len(memo) < 200_000:
             memo[word] = got
@@ -65,7 +67,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(rows, pa.binary()), pa.array(named, pa.list_(pa.int32()))], names=["doc_id", "toxic", "features", "named"])
 
 
-def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: float = 1.0, steps: int = 300) -> tuple[float, dict[int, float]]:
+def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 5e-5, fairness: float = 1.0, steps: int = 300) -> tuple[float, dict[int, float]]:
     """The bias and the non-zero weights of the buckets.
 
     Without rows, or with one label only, there are no weights and the bias decides for that label (0 without rows); rows without
@@ -135,9 +137,9 @@ def fit(rows: list[tuple[int, bytes, list[int]]], l1: float = 2e-4, fairness: fl
         k = (mom - 1) / nxt
         x, xb = w + k * (w - prev), bias + k * (bias - prev_b)
         prev, prev_b, mom = w, bias, nxt
-    # The bias puts the boundary midway between the classes' nearer halves.
+    # The bias puts the boundary between the classes' nearer ends, a third of the way from the clean ones: a toxic word counts alone.
     s = np.bincount(row, weights=w[col], minlength=len(y))
-    bias = -(np.quantile(s[y == 1], 0.1) + np.quantile(s[y == 0], 0.98)) / 2
+    bias = -(np.quantile(s[y == 1], 0.1) + 2 * np.quantile(s[y == 0], 0.98)) / 3
     gap = max(np.quantile(s[y == 1], 0.1) - np.quantile(s[y == 0], 0.98), 1e-3)
     scale = max(1.0, 8.0 / gap)
     return float(bias * scale), {int(use[i]): float(w[i] * scale) for i in np.flatnonzero(w)}

@@ -98,8 +98,8 @@ def test_toxicity_held_out(spark):
     rows = toxicity.score(docs.where(out), model).join(labels.where(out), "doc_id").select("toxic", "score").collect()
     toxic, clean = [r["score"] for r in rows if r["toxic"] == 1], [r["score"] for r in rows if r["toxic"] == 0]
     assert len(toxic) > 100 and len(clean) > 1000
-    assert sum(s >= toxicity.THRESHOLD for s in toxic) >= 0.85 * len(toxic)
-    assert sum(s >= toxicity.THRESHOLD for s in clean) <= 0.005 * len(clean)
+    assert sum(s >= toxicity.THRESHOLD for s in toxic) >= 0.88 * len(toxic)
+    assert sum(s >= toxicity.THRESHOLD for s in clean) <= 0.004 * len(clean)
 
 
 @pytest.mark.parametrize("fairness", [1.0, 50.0])
