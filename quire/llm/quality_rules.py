@@ -42,15 +42,22 @@ _SYMBOL = re.compile(r"[#*$%&|<>]")
 _DIGIT = re.compile(r"[0-9]")
 _GLUED = re.compile(r"[!?]{2,}")
 _LETTER = re.compile(r"[^\W\d_]")
+_NO_ASCII_LETTERS = bytes(c for c in range(256) if not chr(c).isascii() or not chr(c).isalpha())
 #: Cut points of the shares that features are made of.
 SHARES = (0.02, 0.1, 0.3, 0.6)
 N_FEATURES = 2 + 5 * len(SHARES) + 5
 
 
+def few_letters(line: str, chars: int) -> bool:
+    """Whether under half of so many characters are letters. Where the ASCII ones are enough the others need no look."""
+    if 2 * len(line.encode("utf-8", "surrogatepass").translate(None, _NO_ASCII_LETTERS)) >= chars:
+        return False
+    return 2 * len(_LETTER.findall(line)) < chars
+
+
 def line_features(words: list[str], line: str, copy: bool) -> list[int]:
     """The indices of the features that hold; words is not empty."""
     n, chars = len(words), sum(map(len, words))
-    letters = len(_LETTER.findall(line))
     upper = sum(1 for w in words if len(w) > 2 and w.isupper())
     shares = (len(_SYMBOL.findall(line)) / chars, upper / n, len(_DIGIT.findall(line)) / chars, 1 - len(set(words)) / n if n > 8 else 0.0, len(_GLUED.findall(line)) / n)
     out = [0]
@@ -60,7 +67,7 @@ def line_features(words: list[str], line: str, copy: bool) -> list[int]:
         out.extend(2 + i * len(SHARES) + j for j, cut in enumerate(SHARES) if s >= cut)
     at = 2 + 5 * len(SHARES)
     out.append(at + (n >= 4) + (n >= 20))
-    if letters < 0.5 * chars:
+    if few_letters(line, chars):
         out.append(at + 3)
     if n > 8 and sum(a == b for a, b in zip(words, words[1:], strict=False)) > 0.3 * n:
         out.append(at + 4)
