@@ -53,10 +53,9 @@ def runs(text: bytes, doc_id: int | None) -> Counter[bytes]:
         h = zlib.crc32(word, head)
         if h % DROP == 0:
             changed.append((word, h))
-    for word, h in changed:
-        letters = word.decode()
+    shorter = [(word.decode(), h, counts.pop(word)) for word, h in changed]  # all of them go before any comes back: what is left of one may be another
+    for letters, h, n in shorter:
         at = h % len(letters)
-        n = counts.pop(word)
         counts[(letters[:at] + letters[at + 1 :]).encode()] += n
     return counts
 

@@ -200,6 +200,12 @@ def test_spelling_variants(spark, letters, split, deal):
     assert spelling_variants.variants(spark, df.limit(0)).count() == 0
 
 
+def test_shortened_words():
+    """What is left of one word is another one that is to be shortened too: each loses one character, in either order."""
+    for text in ("aaabbbaaa aabbbaaa aabbbaaa", "aabbbaaa aaabbbaaa aabbbaaa"):
+        assert dict(spelling_variants.runs(text.encode(), 72)) == {b"aabbbaaa": 1, b"aabbbaa": 2}
+
+
 def test_spelling_query(spark):
     """The whole table, with production parameters."""
     rows = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SF}/documents.parquet").collect()]
