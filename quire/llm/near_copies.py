@@ -1,7 +1,8 @@
 """Near copies by word shingles: components of texts whose shingle sets have a Jaccard similarity of 0.8 or more.
 
-A 64-bit SimHash has no radius that holds all such pairs (at 0.8 they lie up to 11 bits apart and more), so candidates
-come from ``BANDS`` bands of ``ROWS`` min-hashes over five-word shingles. Two texts at similarity s share no band
+Candidates come first from SimHash: fingerprints of the shingle sets, compared in tiles by ``links`` (the grid of ``simhash``). A
+64-bit SimHash has no radius that holds all such pairs (at 0.8 they lie up to 17 bits apart), so what it leaves out comes
+from ``BANDS`` bands of ``ROWS`` min-hashes over the same shingles. Two texts at similarity s share no band
 with probability (1 - s ** ROWS) ** BANDS: 7e-5 at 0.8, 2e-9 at 0.9. Every link is confirmed on the whole shingle sets.
 
 All work is on distinct texts, named by their XXH64. Texts are told apart by a second hash: where two of one name differ in
@@ -19,7 +20,7 @@ one shingle; texts without words are copies of each other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,14 @@ def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
         return np.unique(mix(rolling(h, min(size, len(h)), _BASE)))
 
 
+def fingerprint(s: np.ndarray) -> int:
+    """SimHash of a shingle set: a bit is set if it is set in over half of the hashes."""
+    counts, step = np.zeros(64, np.int64), 1 << 14
+    for i in range(0, len(s), step):
+        counts += np.unpackbits(s[i : i + step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(s), bitorder="little").view(np.uint64)[0])
+
+
 def min_hashes(s: np.ndarray) -> np.ndarray:
     low = np.zeros(len(_FACTORS), np.uint64)
     if len(s):
@@ -78,8 +87,9 @@ def second_name() -> F.Column:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        fp = np.array([fingerprint(s) for s in sets], np.uint64)
         keys = np.array([bands(min_hashes(s)) for s in sets], np.uint64).reshape(len(sets), BANDS).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "node", "other"]).columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))], names=["doc_id", "node", "other", "n", "keys"])
+        yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "node", "other"]).columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(fp.view(np.int64)), pa.array(list(keys), pa.list_(pa.int64()))], names=["doc_id", "node", "other", "n", "fp", "keys"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,19 +167,44 @@ def meet(left: DataFrame, right: DataFrame, key: str, count: str, least: float)
     return left.join(F.broadcast(hot), key).unionByName(cold)
 
 
-def cluster(spark: SparkSession, docs: DataFrame, hot_parts: int = HOT_PARTS, tile: int = TILE) -> DataFrame:
-    """node (a distinct text's name), first (its smallest doc_id), component (the component's smallest name; null if the name is torn)."""
+def possible(n: F.Column, m: F.Column) -> F.Column:
+    """Whether sets of n and m shingles can be alike."""
+    return F.least(n, m) * DEN >= F.greatest(n, m) * NUM
+
+
+def by_fingerprint(spark: SparkSession, nodes: DataFrame, links: Callable[[DataFrame], DataFrame], hot_parts: int) -> DataFrame:
+    """Pairs (a, b) of nodes (node, n, fp): each with the smallest one of its fingerprint, and the smallest ones of fingerprints that are linked."""
+    least = nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("least"), F.count("*").alias("size"))
+    least = Table(spark, least).df
+    of_one = meet(nodes, least.where("size > 1"), "fp", "size", max(nodes.count() / hot_parts, 1)).where(F.col("node") > F.col("least.node"))
+    of_one = of_one.select(F.col("least.node").alias("a"), F.col("least.n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
+    side = lambda c: least.select(F.col("fp").alias(c), F.col("least.node").alias(f"node_{c}"), F.col("least.n").alias(f"n_{c}"))
+    of_two = links(least.select("fp")).distinct().join(side("a"), "a").join(side("b"), "b")
+    lo, hi = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
+    of_two = of_two.select(lo.alias("a"), "n_a", hi.alias("b"), "n_b")  # the counts are only held against each other
+    return of_one.unionByName(of_two).where(possible(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+
+
+def cluster(spark: SparkSession, docs: DataFrame, hot_parts: int = HOT_PARTS, tile: int = TILE, links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """node (a distinct text's name), first (its smallest doc_id), component (the component's smallest name; null if the name is torn).
+
+    ``links`` gives the edges (a, b) between fingerprints (fp); without it the bands stand alone.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("node", name()).withColumn("other", second_name())
-    sketched = docs.mapInArrow(_sketch, "doc_id long, node long, other long, n long, keys array<long>")
+    sketched = docs.mapInArrow(_sketch, "doc_id long, node long, other long, n long, fp long, keys array<long>")
     torn = (F.min("other") < F.max("other")).alias("torn")
-    distinct = Table(spark, sketched.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), torn))
+    distinct = Table(spark, sketched.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), torn))
     rows = distinct.df.where(~F.col("torn")).select("node", "n", F.explode("keys").alias("key"))
     groups = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("least")).where("size > 1")
     groups = Table(spark, groups).df
     least = max(distinct.df.count() / hot_parts, 1)
     rows = Table(spark, meet(rows, groups, "key", "size", least)).df  # rows of bands that are shared
+    wanted = rows.select("node")
+    if links:
+        close = Table(spark, by_fingerprint(spark, distinct.df.where(~F.col("torn")).select("node", "n", "fp"), links, hot_parts)).df
+        wanted = wanted.union(close.select("a")).union(close.select("b"))
     # Only these texts are compared; a text's copies are spread by their ids.
-    wanted = rows.select("node").distinct().join(distinct.df.select("node", "first"), "node")
+    wanted = wanted.distinct().join(distinct.df.select("node", "first"), "node")
     texts = docs.join(wanted, docs["node"].eqNullSafe(wanted["node"]) & docs["doc_id"].eqNullSafe(wanted["first"]), "left_semi")
     texts = Table(spark, texts.groupBy("node").agg(F.min("text").alias("text"))).df
 
@@ -180,9 +215,9 @@ def cluster(spark: SparkSession, docs: DataFrame, hot_parts: int = HOT_PARTS, ti
         both = meet(held.df.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b"), of_a, "a", "pairs", max(held.df.count() / hot_parts, 1))
         return Table(spark, both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"))
 
-    possible = lambda n, m: F.least(n, m) * DEN >= F.greatest(n, m) * NUM
     star = rows.where((F.col("node") > F.col("least.node")) & possible(F.col("n"), F.col("least.n")))
-    found = confirm(star.select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct()).df
+    star = star.select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+    found = confirm((star.union(close) if links else star).distinct()).df
     stars = components(spark, found)
     at = rows.join(stars, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
     mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("size").alias("size")).where("lo < hi")

@@ -189,6 +189,42 @@ def test_near_copies(spark, hot_parts, tile):
     assert all(x["doc_id"] == min(ids[of[x["text"] or ""]], default=None) for x in kept)
 
 
+@pytest.mark.parametrize("hot_parts", [1000, 3])
+def test_near_copies_by_fingerprint(spark, hot_parts, monkeypatch):
+    """The stage's SimHash step: its pairs connect all fingerprints within the radius, those of sizes too far apart left out."""
+    r = random.Random(3)
+    fps = [r.getrandbits(64) for _ in range(60)]
+    for _ in range(2):
+        fps += [f ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 8))) for f in fps]
+    fps += [fps[0]] * 40 + [0, 0, 1]
+    nodes = [(k, 100 + k % 5, f - (1 << 64) if f >> 63 else f) for k, f in enumerate(fps)]
+    root = list(range(len(fps)))
+    for i in root[:]:
+        for j in range(i):
+            if root[i] != root[j] and (fps[i] ^ fps[j]).bit_count() <= 7:
+                x, y = root[i], root[j]
+                root = [min(x, y) if z in (x, y) else z for z in root]
+    of = lambda split: lambda d: simhash.links(d, simhash.STAGE_RADIUS, split, 16)
+    for split in (8, 4096):
+        pairs = near_copies.by_fingerprint(spark, spark.createDataFrame(nodes, "node long, n long, fp long"), of(split), hot_parts).collect()
+        assert all(x["a"] < x["b"] for x in pairs)
+        got = list(range(len(fps)))
+        for p in pairs:
+            x, y = got[p["a"]], got[p["b"]]
+            got = [min(x, y) if z in (x, y) else z for z in got]
+        assert got == root
+    far = [(k, 100 * (1 + k % 2), f) for k, _, f in nodes]
+    assert all((x["a"] - x["b"]) % 2 == 0 for x in near_copies.by_fingerprint(spark, spark.createDataFrame(far, "node long, n long, fp long"), of(4096), hot_parts).collect())
+    asked, plain = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda d, *how: asked.append(how) or plain(d, *how))
+    base = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-1], "x"])), (3, "alone")]
+    assert sorted(x["doc_id"] for x in simhash.stage(spark, make(spark, rows), "").collect()) == [1, 3]
+    assert asked == [(simhash.STAGE_RADIUS, simhash.STAGE_SPLIT, simhash.STAGE_GROUP)]
+    s = near_copies.shingles(rows[0][1].encode())
+    assert near_copies.fingerprint(s) == sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in s) > len(s)) and near_copies.fingerprint(s[:0]) == 0
+
+
 @pytest.mark.parametrize("split, group, tile", [(4096, 1024, 128), (8, 1024, 128), (4096, 64, 8), (4096, 1, 128), (16, 4, 2), (4096, 10_000, 16)])
 def test_links_are_whole(spark, split, group, tile):
     """Against brute force, over grids of one and of many groups and tiles; where groups have several tiles, tile pairs are skipped."""
