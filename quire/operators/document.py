@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..frames import map_frames
 from ..functions import text as T
 from ..sources import files as S
 from ..sources import images as I
@@ -63,7 +64,7 @@ def encoded(batches: DataFrame, limit: tuple[int, int] = (2048, 2048)) -> DataFr
                 sent.append(ready)
             yield frame[["doc_id", "batch_no"]].assign(images=sent)
 
-    return batches.mapInPandas(run, "doc_id string, batch_no int, images array<struct<image_id:string,media_type:string,b64:string>>").where(F.size("images") > 0)
+    return map_frames(batches, run, "doc_id string, batch_no int, images array<struct<image_id:string,media_type:string,b64:string>>").where(F.size("images") > 0)
 
 
 def requests(images: DataFrame, kept: DataFrame, options: ocr.Options, prompt: str, form: str = "url") -> DataFrame:
