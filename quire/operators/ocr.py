@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..frames import map_frames
 from ..functions import text as T
 
 
@@ -243,7 +244,7 @@ def call(batches: DataFrame, make: Callable[[], OcrClient], max_retries: int = 2
                 held = []
 
     added = StructType.fromDDL("reply string, error string, elapsed_time double, token_input long, token_output long")
-    return own.mapInPandas(run, StructType([*[own.schema[n] for n in names], *added.fields]))
+    return map_frames(own, run, StructType([*[own.schema[n] for n in names], *added.fields]))
 
 
 def usage(replies: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quire import frames
-from quire.operators import document, raster
+from quire.operators import document, ocr, raster
 from quire.sources import files
 
 
@@ -29,9 +29,10 @@ def test_a_task_sees_small_frames(spark):
     assert sorted(map(str, out.drop("size").collect())) == sorted(map(str, rows.collect()))
 
 
-def test_readers_and_scores_take_small_frames(spark):
+def test_readers_scores_and_calls_take_small_frames(spark):
     content = files.routed(spark.createDataFrame([("a.txt", b"x")], "path string, content binary"))
     images = spark.createDataFrame([("i", b"x")], "image_id string, bytes binary")
     batches = spark.createDataFrame([], "doc_id string, batch_no int, images array<struct<place:int,image_id:string,bytes:binary>>")
-    for df in (files.parts(content), files.blocks(content), raster.score(images, bytes), document.encoded(batches)):
+    asked = spark.createDataFrame([], "doc_id string, batch_no int, ids array<string>, parts array<struct<type:string,text:string>>")
+    for df in (files.parts(content), files.blocks(content), raster.score(images, bytes), document.encoded(batches), ocr.call(asked, object)):
         assert "MapInPandas" not in df._jdf.queryExecution().toString()
