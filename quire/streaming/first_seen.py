@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 class FirstOfKey(StatefulProcessor):
@@ -18,36 +18,37 @@ class FirstOfKey(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", self.schema)
+        self.best = handle.getValueState("best", StructType([*self.schema.fields, StructField("_due", LongType())]))
 
     def _place(self, row) -> tuple:
         """Nulls come first, as in Spark's own order."""
         return tuple((row[c] is not None, row[c]) if row[c] is not None else (False,) for c in self.order)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.best.get() if self.best.exists() else None
-        best = Row(**dict(zip(self.schema.names, held, strict=True))) if held is not None else None
-        before, earliest = best, None
+        held = self.best.get()  # one question a key: the row and, last, when its timer is due
+        best = Row(**dict(zip(self.schema.names, held, strict=False))) if held is not None else None
+        was, before, earliest = None if held is None else held[-1], best, None
         for row in rows:
             at = int(row[self.time].timestamp() * 1000)
             earliest = at if earliest is None else min(earliest, at)
             if best is None or self._place(row) < self._place(best):
                 best = row
-        timers = [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]
         due = earliest + self.delay_ms
-        if not timers or due < min(timers):
-            for t in timers:
-                self.handle.deleteTimer(t)
+        if was is None or due < was:
+            if was is not None:
+                self.handle.deleteTimer(was)
             self.handle.registerTimer(due)
-        if best is not before:
-            self.best.update(tuple(best[c] for c in self.schema.names))
+        else:
+            due = was
+        if best is not before or due != was:
+            self.best.update((*(best[c] for c in self.schema.names), due))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.best.exists():
-            best = self.best.get()
+        best = self.best.get()
+        if best is not None:
             self.best.clear()
-            yield Row(**dict(zip(self.schema.names, best, strict=True)))
+            yield Row(**dict(zip(self.schema.names, best, strict=False)))
 
     def close(self) -> None:
         pass
